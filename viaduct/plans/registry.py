@@ -1,4 +1,4 @@
-"""Registered queries."""
+"""Registered queries and their SQL."""
 
 from __future__ import annotations
 
@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import rail_queries
+
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    return rail_queries.QUERIES["stats_operators" if "stats_operators" in rail_queries.QUERIES else "compare_best"](spark, sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return dict(rail_queries.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(rail_queries.SQL)
