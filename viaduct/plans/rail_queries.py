@@ -17,7 +17,8 @@ SQL: dict[str, str] = {}
 
 
 def hav(a: str, b: str, c: str, d: str) -> str:
-    return f"2 * {K.EARTH_RADIUS_M} * asin(sqrt(least(1.0, pow(sin(radians({c} - {a}) / 2), 2) + cos(radians({a})) * cos(radians({c})) * pow(sin(radians({d} - {b}) / 2), 2))))"
+    x = f"pow(sin(radians({c} - {a}) / 2), 2) + cos(radians({a})) * cos(radians({c})) * pow(sin(radians({d} - {b}) / 2), 2)"
+    return f"2 * {K.EARTH_RADIUS_M} * asin(sqrt(CASE WHEN {x} > 1 THEN 1 ELSE {x} END))"
 
 
 def half_up(c: str, digits: int) -> str:
