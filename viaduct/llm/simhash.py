@@ -18,6 +18,7 @@ doc_id gets a fingerprint and its component, and never names one unless no membe
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -205,7 +206,7 @@ def links(fps: DataFrame, radius: int, n: int) -> DataFrame:
     the radius are linked to the smallest of them: those are within the radius for even radii; for odd ones the wider
     half is checked.
     """
-    out = []
+    out, large = [], []
     for k, (bits, t) in enumerate(plan(fps, radius, n)):
         mask = mask_of(bits)
         key = F.col("fp").bitwiseAND(F.lit(mask).cast("long"))
@@ -219,12 +220,10 @@ def links(fps: DataFrame, radius: int, n: int) -> DataFrame:
         small = rows.where(F.col("size") <= BUCKET_PAIRS)
         pairs = small.where("home").select("key", F.col("fp").alias("x")).join(small.select("key", F.col("fp").alias("y")), "key")
         out.append(pairs.where(f"x != y and {distance('x', 'y')} <= {radius}").selectExpr("greatest(x, y) as a", "least(x, y) as b"))
-        large = rows.where(F.col("size") > BUCKET_PAIRS).select("fp").distinct()
-        out.append(shared_neighbours(large, radius))
-    edges = out[0]
-    for e in out[1:]:
-        edges = edges.unionByName(e)
-    return edges.distinct()
+        large.append(rows.where(F.col("size") > BUCKET_PAIRS).select("fp"))
+    # A fingerprint is in large buckets of several parts at once: its neighbours are written once for all of them.
+    crowded = settle(reduce(DataFrame.unionByName, large).distinct(), "crowded")
+    return reduce(DataFrame.unionByName, [*out, shared_neighbours(crowded, radius)]).distinct()
 
 
 def shared_neighbours(fps: DataFrame, radius: int) -> DataFrame:
