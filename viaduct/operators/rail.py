@@ -29,8 +29,9 @@ def stop_events(trips: DataFrame, routes: DataFrame, stop_times: DataFrame, stop
 
 
 def drop_bad_coord_trips(events: DataFrame) -> DataFrame:
-    bad = events.where(C.invalid_coord(F.col("stop_lat"), F.col("stop_lon"))).select(*TRIP).distinct()
-    return events.join(bad, TRIP, "left_anti")
+    """A window over the trip, not an anti-join: it reuses the exchange of the steps around it."""
+    bad = F.max(C.invalid_coord(F.col("stop_lat"), F.col("stop_lon"))).over(Window.partitionBy(*TRIP))
+    return events.withColumn("bad", bad).where("not bad").drop("bad")
 
 
 def renumbered(events: DataFrame) -> DataFrame:
@@ -69,10 +70,20 @@ def clean_events(events: DataFrame) -> DataFrame:
     return cumulative_distance(drop_single_stop_trips(drop_zero_segment_trips(segment_distance(renumbered(drop_bad_coord_trips(events))))))
 
 
-def od_pairs(events: DataFrame) -> DataFrame:
-    """Every two stops of a trip, the first before the second. A trip's stops are few, so no trip is skewed."""
-    side = lambda p: events.select(*TRIP, *[F.col(c).alias(f"{p}_{c}") for c in ("stop_sequence", "stop_id", "stop_name", "parent_station", "departure_time", "arrival_time", "cumul_m")])
-    pairs = side("dep").join(side("arr"), TRIP).where("dep_stop_sequence < arr_stop_sequence")
+STOP = ("stop_sequence", "stop_id", "stop_name", "parent_station", "departure_time", "arrival_time", "cumul_m")
+
+
+def od_pairs(events: DataFrame, attributes: tuple[str, ...] = ()) -> DataFrame:
+    """Every two stops of a trip, the first before the second, with attributes of the trip (smallest values).
+
+    A trip's stops are few, so they are gathered in one row, on the partitioning that the windows before it have, and
+    expanded there: no self-join and no further exchange.
+    """
+    stops = F.sort_array(F.collect_list(F.struct(*STOP))).alias("stops")
+    trips = events.groupBy(*TRIP).agg(stops, *[F.min(c).alias(c) for c in attributes])
+    pairs = trips.select(*TRIP, *attributes, "stops", F.posexplode("stops").alias("at", "dep"))
+    pairs = pairs.select(*TRIP, *attributes, "dep", F.explode(F.slice("stops", F.col("at") + 2, F.size("stops"))).alias("arr"))
+    pairs = pairs.select(*TRIP, *attributes, *[F.col(f"{e}.{c}").alias(f"{e}_{c}") for e in ("dep", "arr") for c in STOP])
     return pairs.withColumn("distance_km", C.half_up((F.col("arr_cumul_m") - F.col("dep_cumul_m")) / 1000.0, 2))
 
 
