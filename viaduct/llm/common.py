@@ -41,6 +41,14 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*settled: DataFrame) -> None:
+    """Delete tables of settle() that nothing reads any more: what derives from them has been settled itself."""
+    for df in settled:
+        if files := df.inputFiles():
+            folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+            folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def held_out(doc_id: Column) -> Column:
     """True for the fifth of documents that no label may be learnt from."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import settle
+from .common import discard, settle
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -14,7 +14,7 @@ def components(edges: DataFrame) -> DataFrame:
     Alternating large-star and small-star steps: each node's neighbours are linked to the smallest of them, until
     every node hangs on its component's smallest one. A step only aggregates a minimum by node (with partial sums on
     the map side) and joins it back, so a node of any degree is never gathered. Each step's edges are written to the
-    shared folder; the driver sees one checksum a step.
+    shared folder, the last step's are then deleted; the driver sees one checksum a step.
     """
     now, before = settle(edges.select("a", "b").distinct(), "edges"), None
     while True:
@@ -22,7 +22,10 @@ def components(edges: DataFrame) -> DataFrame:
         if check == before:
             break
         before = check
-        now = settle(small_star(settle(large_star(now), "large")), "small")
+        large = settle(large_star(now), "large")
+        discard(now)
+        now = settle(small_star(large), "small")
+        discard(large)
     roots = now.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("component"))
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
 

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_arrow, settle
+from .common import discard, map_arrow, settle
 from .graph import components
 
 BITS = 64
@@ -324,22 +324,26 @@ def near_pairs(marks: DataFrame, radius: int = 2) -> DataFrame:
             part = fp.bitwiseAND(F.lit(mask_of(bits)).cast("long"))
             for m in flips(bits, t) if t else [0]:
                 keys.append(F.xxhash64(F.lit(j), F.lit(k), part.bitwiseXOR(F.lit(m).cast("long"))))
-    rows = settle(marks.select("doc_id", F.explode(F.array(*keys)).alias("key")), "wide")
-    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    rows = rows.join(shared.select("key"), "key")
+    wide = settle(marks.select("doc_id", F.explode(F.array(*keys)).alias("key")), "wide")
+    shared = wide.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    rows = wide.join(shared.select("key"), "key")
     order = Window.partitionBy("key").orderBy("doc_id")
     held = rows.select("doc_id", F.first("doc_id").over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("first"), F.lag("doc_id").over(order).alias("before"))
     pairs = held.select(F.col("doc_id").alias("a"), F.explode(F.array("first", "before")).alias("b")).where("b < a").distinct()
     fps = marks.dropDuplicates(["doc_id"])
     pairs = pairs.join(fps.select(F.col("doc_id").alias("a"), F.col("fps").alias("x")), "a").join(fps.select(F.col("doc_id").alias("b"), F.col("fps").alias("y")), "b")
     bits = " + ".join(distance(f"x[{j}]", f"y[{j}]") for j in range(WIDE))
-    return pairs.where(f"{bits} <= {int(APART * WIDE * BITS)}").select("a", "b")
+    out = settle(pairs.where(f"{bits} <= {int(APART * WIDE * BITS)}").select("a", "b"), "near")
+    discard(wide)
+    return out
 
 
 def near_classes(docs: DataFrame, shingle: int = 5) -> DataFrame:
     """doc_id and component_id of the documents that are near another one."""
     marks = settle(wide_fingerprints(docs, shingle), "wide-fingerprints")
-    return components(settle(near_pairs(marks), "near")).withColumnRenamed("node", "doc_id").withColumnRenamed("component", "component_id")
+    pairs = near_pairs(marks)
+    discard(marks)
+    return components(pairs).withColumnRenamed("node", "doc_id").withColumnRenamed("component", "component_id")
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
