@@ -20,6 +20,8 @@ HASH_BITS = 60
 LIMIT_BYTES = 1 << 20
 #: Prefixes are summed so many bits deeper than an even split of all bytes needs.
 SLACK = 6
+#: Directory levels whose prefixes are looked up by broadcast.
+TOP = 10
 #: Overflow pages are numbered in salted parts of about so many rows.
 PAGE_ROWS = 10_000
 
@@ -42,7 +44,10 @@ def directory(rows: DataFrame, limit: int, above: int, deepest: int) -> DataFram
     levels = cells.select("cell", "bytes", "n", F.explode(F.sequence(F.lit(above), F.lit(deepest))).alias("d"))
     levels = levels.withColumn("prefix", F.expr(f"shiftright(cell, {deepest} - d)"))
     split = levels.groupBy("d", "prefix").agg(F.sum("bytes").alias("bytes"), F.sum("n").alias("n")).where((F.col("bytes") > limit) & (F.col("n") > 1)).select("d", "prefix", F.lit(1).alias("over"))
-    return levels.join(split, ["d", "prefix"], "left").groupBy("cell").agg((above + F.count("over")).cast("int").alias("depth"))
+    # The few prefixes of the top levels have most cells each: at most 2 ** (TOP + 1) rows are broadcast for them.
+    top = levels.where(F.col("d") <= TOP).join(F.broadcast(split.where(F.col("d") <= TOP)), ["d", "prefix"], "left")
+    rest = levels.where(F.col("d") > TOP).join(split.where(F.col("d") > TOP), ["d", "prefix"], "left")
+    return top.unionByName(rest).groupBy("cell").agg((above + F.count("over")).cast("int").alias("depth"))
 
 
 def assign(docs: DataFrame, limit: int = LIMIT_BYTES) -> DataFrame:
