@@ -179,6 +179,31 @@ def test_near_stage_drops_near_copies_only(docs, rows):
             assert a in kept
 
 
+def test_near_stage_is_exact_at_the_threshold(spark, monkeypatch):
+    rnd = random.Random(9)
+    text = lambda n: [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+    phrase, texts = text(12), []
+    for _ in range(40):
+        base = text(rnd.randrange(80, 200))
+        texts.append(base)
+        for _ in range(3):  # the similarity falls on both sides of 0.8
+            w = list(base)
+            for at in rnd.sample(range(len(w)), max(1, len(w) * rnd.randrange(1, 4) // 100)):
+                w[at] = "changed"
+            texts.append(w)
+    texts += [phrase + text(60) for _ in range(60)]  # a hot phrase between texts that are not near
+    big = text(100)
+    texts += [big[:k] + ["other"] + big[k + 1 :] for k in range(60)]
+    rnd.shuffle(texts)
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in texts]
+    want = brute_components(list(range(len(texts))), lambda a, b: 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]))
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id long, text string")
+    for common in (32, 2):
+        monkeypatch.setattr(simhash, "COMMON", common)
+        got = {r.doc_id: r.component_id for r in simhash.near_classes(docs).collect()}
+        assert {i: got.get(i, i) for i in want} == want
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(k + 1, k) for k in range(200)] + [(k, 500) for k in range(501, 700)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
