@@ -238,6 +238,36 @@ def test_substrings_cut_planted_passages_only(spark):
     assert set(report) == {i for own in holders.values() if len(own) > 1 for i in own}
 
 
+def test_substrings_cut_the_whole_common_run(spark):
+    rnd = random.Random(12)
+    text = lambda n: [f"w{rnd.randrange(10**12)}" for _ in range(n)]
+    rows, passages = [], {}
+    for p in range(40):
+        run = text(48 + p % 20) if p else ["same"] * 60
+        # The first holder has only the middle, so the whole run is shared by later documents only.
+        for k, part in enumerate((run[10:40], run, run, run)):
+            rows.append((4 * p + k, " ".join([*text(40), *part, *text(40)])))
+        passages[p] = set(run)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    out = {r.doc_id: r.text.split() for r in substrings.remove(docs).collect()}
+    for p, run in passages.items():
+        assert len(out[4 * p]) == 110
+        for i in (4 * p + 2, 4 * p + 3):  # a paragraph of similarity 0.8 may take two other words at either end
+            assert not run & set(out[i]) and 76 <= len(out[i]) <= 80
+
+
+def test_near_contents_are_found_in_crowded_buckets(spark, monkeypatch):
+    rnd = random.Random(13)
+    text = lambda n: [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+    phrase, bodies = text(14), [text(10) for _ in range(60)]
+    bodies += [b[:-1] + ["edited"] for b in bodies]
+    rows = [(i, " ".join(phrase + b)) for i, b in enumerate(bodies)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(substrings, "BUCKET", 4)
+    found = {(r.doc_id, r.first_id) for r in substrings.links(docs).collect()}
+    assert sum((i + 60, i) in found for i in range(60)) >= 54 and all(a - 60 == b for a, b in found)
+
+
 def test_tuned_bands_reach_the_recall():
     b, r = substrings.tune(0.8, 0.95)
     assert 1 - (1 - 0.8**r) ** b >= 0.95 and 1 - (1 - 0.8**r) ** (b - 1) < 0.95
