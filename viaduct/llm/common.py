@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -15,6 +14,8 @@ WS_CHARS = " \t\n\x0b\x0c\r"
 WS_CLASS = r"[\x20\x09-\x0D]"
 #: Rows of one Arrow batch are worked on in blocks of about so many characters.
 BLOCK_CHARS = 2_000_000
+#: Spark's setting by which the shuffle files of a query go when it ends.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,22 +23,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster shares (spark.checkpoint.dir); a temporary one only where none is set, as in tests."""
+    """The folder that the cluster shares: spark.checkpoint.dir, or a checkpoint folder that the application has set."""
     conf = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if conf:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(conf)
-        return conf.rstrip("/")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="viaduct-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    found = conf or spark.sparkContext.getCheckpointDir()
+    if not found:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return found.rstrip("/")
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:
-    """Write df as a Parquet table in the shared folder and read it back: cuts lineage and survives lost executors."""
+    """Write df as a Parquet table in the shared folder and read it back: cuts lineage and survives lost executors.
+
+    The shuffle files of the write are deleted with it: nothing reads them once the table is there.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEAN_UP, "false")
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -83,8 +89,9 @@ def hot_limit(total: int) -> int:
 def spread_join(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:
     """Inner join of rows with groups (one row for each key; `size` rows of `rows` have it, `total` in all).
 
-    Hot keys are broadcast with their values: under 1000 rows. All others are shuffled.
+    Hot keys are broadcast with their values: under 1000 rows. All others are shuffled, without the rows of hot keys.
     """
     limit = hot_limit(total)
-    hot = rows.join(F.broadcast(groups.where(F.col(size) > limit)), key)
-    return hot.unionByName(rows.join(groups.where(F.col(size) <= limit), key))
+    hot = groups.where(F.col(size) > limit)
+    cold = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(groups.where(F.col(size) <= limit), key)
+    return rows.join(F.broadcast(hot), key).unionByName(cold)

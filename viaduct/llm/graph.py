@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, settle
+from .common import discard, settle, spread_join
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -13,8 +13,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternating large-star and small-star steps: each node's neighbours are linked to the smallest of them, until
     every node hangs on its component's smallest one. A step only aggregates a minimum by node (with partial sums on
-    the map side) and joins it back, so a node of any degree is never gathered. Each step's edges are written to the
-    shared folder, the last step's are then deleted; the driver sees one checksum a step.
+    the map side) and joins it back, the few nodes of very many edges by broadcast, so no node is ever gathered. Each
+    step's edges are written to the shared folder, the last step's are then deleted; the driver sees one checksum a step.
     """
     now, before = settle(edges.select("a", "b").distinct(), "edges"), None
     while True:
@@ -22,24 +22,25 @@ def components(edges: DataFrame) -> DataFrame:
         if check == before:
             break
         before = check
-        large = settle(large_star(now), "large")
+        large = settle(large_star(now, check[0]), "large")
         discard(now)
-        now = settle(small_star(large), "small")
+        now = settle(small_star(large, check[0]), "small")
         discard(large)
     roots = now.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("component"))
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
 
 
-def large_star(edges: DataFrame) -> DataFrame:
+def large_star(edges: DataFrame, total: int) -> DataFrame:
     """Every larger neighbour of a node is linked to the smallest of the node and its neighbours."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
-    # (u = a, v = b) with v > u: link v to min(u)
-    return edges.select(F.col("b").alias("u"), F.col("a").alias("v")).join(least.withColumnRenamed("a", "u"), "u").select(F.col("v").alias("a"), F.col("m").alias("b")).where("a > b").distinct()
+    # (u = b, v = a) with v > u: link v to min(u)
+    least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"), F.count(F.lit(1)).alias("size")).withColumnRenamed("a", "u")
+    moved = spread_join(edges.select(F.col("b").alias("u"), F.col("a").alias("v")), least, "u", "size", total)
+    return moved.select(F.col("v").alias("a"), F.col("m").alias("b")).where("a > b").distinct()
 
 
-def small_star(edges: DataFrame) -> DataFrame:
+def small_star(edges: DataFrame, total: int) -> DataFrame:
     """Every smaller neighbour of a node, and the node, are linked to the smallest of them."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    moved = edges.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b")
+    least = edges.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("size"))
+    moved = spread_join(edges, least, "a", "size", total).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b")
     return least.select("a", F.col("m").alias("b")).unionByName(moved).distinct()
