@@ -1,18 +1,25 @@
-"""Token counts of whole texts, with overlap resynchronisation for huge ones.
+"""Token counts of whole texts, with overlap resynchronisation for long ones.
 
 A text of over `chunk` characters is encoded in chunks that overlap, with offsets. Two neighbours are spliced at a common
-token boundary that is proven stable: a place where a character that is no white space is followed by white space. The
-tokenizer's pattern never lets a token cross such a place, nor look beyond it from the left, so what stands left of it in
-one chunk and right of it in the next is what the whole text gives. If an overlap holds no such place, it is widened;
-if the rest of the text holds none, the chunk runs to the end. Shorter texts are cut at all stable places, and the worker
-remembers the counts of the strings between them.
-
-Defined results: a null text counts as empty (no bytes, no tokens); repeated rows each count; other columns are ignored.
+token boundary that is proven stable: between a letter or digit and white space, punctuation or a symbol, or between a
+punctuation mark or symbol and white space. The tokenizer's pattern always ends a token there, and neither side looks
+across, so what stands left of the place in one chunk and right of it in the next is what the whole text gives; both
+encodings must have the boundary, and it must not be so near to an end of its chunk that a special string could be cut.
+If an overlap holds no such place, it is widened by doubling; if the whole chunk holds none, the chunk goes on to the next
+place, which is looked up before anything is encoded, so each character is encoded about once whatever the script. A run
+without any place is one piece to the tokenizer's pattern and is encoded as one. Shorter texts are cut at white space, and
+the worker remembers the counts of the strings between.
+
+Defined results: a null text counts as empty (no bytes, no tokens); repeated rows and null ids each count; an empty table
+gives no rows; other columns are ignored; a count depends on its own text alone, so there are no ties.
 """
 
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -24,11 +31,11 @@ from .bpe import UNICODE_SPACE
 from .common import map_arrow
 from .tokens import default_path, load
 
-CHUNK = 50_000
+CHUNK = 8_000
 OVERLAP = 200
 LIMIT = 512
-#: No white space, then white space, to Python, Rust and Unicode alike.
-STABLE = re.compile(r"(?<=[!-~])(?=[ \t\n\r])")
+#: No special string of the vocabulary is longer.
+MARGIN = 32
 #: Texts of one space or line feed between words can be cut at every space; others at the end of each word.
 PLAIN = re.compile(r"\s\s|[^\S \n]|^\s|\s$")
 STRINGS = re.compile(r"[SPACE]*[^SPACE]+|[SPACE]+".replace("SPACE", UNICODE_SPACE))
@@ -36,32 +43,71 @@ STRINGS = re.compile(r"[SPACE]*[^SPACE]+|[SPACE]+".replace("SPACE", UNICODE_SPAC
 MEMORY = 500_000
 
 
+def characters(kinds: str) -> str:
+    """The inside of a pattern's brackets for all characters whose general category starts so, in Unicode 3.2 and now: the
+    tables of any library agree on them."""
+    old, out, start = unicodedata.ucd_3_2_0, [], None
+    for c in range(sys.maxunicode + 2):
+        inside = c <= sys.maxunicode and unicodedata.category(chr(c))[0] in kinds and old.category(chr(c))[0] in kinds
+        if inside and start is None:
+            start = c
+        elif not inside and start is not None:
+            out.append(re.escape(chr(start)) + "-" + re.escape(chr(c - 1)))
+            start = None
+    return "".join(out)
+
+
+@lru_cache(maxsize=1)
+def stable() -> re.Pattern[str]:
+    """Finds places that end a token in any context. An apostrophe may start a token with letters, but ends none."""
+    letters, signs = characters("LN"), characters("PS")
+    return re.compile(f"(?<=[{letters}])(?=[ \t\n\r{signs}])|(?<=[{signs}])(?=[ \t\n\r])")
+
+
 def resynchronised(text: str, path: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> int:
     """The number of tokens of a text, encoded in overlapping chunks."""
-    t, total, start = load(path), 0, 0  # all left of start is counted; start is a stable place
-    while True:
+    find, n = stable().finditer, len(text)
+
+    def encoded(start: int, end: int) -> tuple[list[int], list[int]]:
+        """Where the tokens of text[start:end] begin and end."""
+        offsets = load(path).encode(text[start:end], add_special_tokens=False).offsets
+        return [a + start for a, _ in offsets], [b + start for _, b in offsets]
+
+    def end_of(start: int) -> int:
+        """The end of a chunk from start: `chunk` characters, or beyond the first place that its end can be spliced at."""
         end = start + chunk
-        if end >= len(text):
-            return total + len(t.encode(text[start:], add_special_tokens=False).ids)
-        back = overlap
-        while True:  # widen the overlap until it holds a stable place that is a boundary on both sides
-            low = max(start + 1, end - back)
-            here = t.encode(text[start:end], add_special_tokens=False)
-            next_start = t.encode(text[low : end + overlap], add_special_tokens=False)
-            ends = {b for _, b in here.offsets}
-            begins = {a + low for a, _ in next_start.offsets}
-            places = [m.start() for m in STABLE.finditer(text, low, end) if m.start() - start in ends and m.start() in begins]
-            if places:
+        if end >= n or next(find(text, max(start + MARGIN, end - chunk // 2), end - MARGIN), None):
+            return min(end, n)
+        place = next(find(text, max(start + MARGIN, end - MARGIN)), None)
+        return n if place is None else min(n, place.start() + MARGIN + 1)
+
+    total, done, end = 0, 0, end_of(0)  # all left of done is counted
+    begins, ends = encoded(0, end)
+    while end < n:
+        back = min(overlap, chunk // 2)
+        while True:
+            low = max(done, end - back - 2 * MARGIN)
+            # The next chunk starts at a place, so that its first tokens are likely to be the text's.
+            place = next(find(text, low, end), None)
+            low = place.start() if place else low
+            next_end = end_of(end)
+            next_begins, next_ends = encoded(low, next_end)
+            cut = next((m.start() for m in find(text, low + MARGIN if low else 0, end - MARGIN) if boundary(ends, m.start()) and boundary(next_begins, m.start())), None)
+            if cut is not None or end - back - 2 * MARGIN <= done:
                 break
-            if low == start + 1:  # none in this chunk: a longer one
-                end, back = end + chunk, overlap
-                if end >= len(text):
-                    return total + len(t.encode(text[start:], add_special_tokens=False).ids)
-            else:
-                back *= 2
-        cut = places[-1]
-        total += sum(b <= cut - start for _, b in here.offsets)
-        start = cut
+            back *= 2
+        if cut is None:  # not one common boundary in the whole chunk: both are encoded as one
+            end = next_end
+            begins, ends = encoded(done, end)
+            continue
+        total += bisect_right(ends, cut) - bisect_left(begins, done)
+        done, end, begins, ends = cut, next_end, next_begins, next_ends
+    return total + len(begins) - bisect_left(begins, done)
+
+
+def boundary(places: list[int], at: int) -> bool:
+    k = bisect_left(places, at)
+    return k < len(places) and places[k] == at
 
 
 class Counter(dict):
