@@ -7,8 +7,11 @@ stands between white space is kept for the worker's next texts, so a round works
 Reads the public tokenizer file (BPE with word ends; lower case; white space dropped) and gives what its library gives:
 special strings in a text become their ids, other text is composed (NFC), lower-cased and split by the file's pattern.
 
+A text with a code point that Python's Unicode tables lack is normalised and split by the library, whose tables are its
+own; its words are encoded here like all others.
+
 Defined results: a null text counts as empty (no ids, empty decoded text); repeated rows are each encoded; other columns
-are ignored.
+are ignored; of equal ranks in a word the leftmost pair merges first; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -78,6 +81,7 @@ class BPE:
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")").split
         self.space = regex.compile(f"[{UNICODE_SPACE}]+").sub
         letters = byte_letters()
+        self.byte_of = {c: b for b, c in enumerate(letters)}
         self.first = np.array([vocab[c] for c in letters], np.int64)
         self.last = np.array([vocab[c + self.suffix] for c in letters], np.int64)
         left = np.array([vocab[a] for a, _ in merges], np.int64)
@@ -106,9 +110,9 @@ class BPE:
         k = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[k] == key, self.ranks[k], NONE)
 
-    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all words in a row, and how many each has."""
-        raw = [w.encode("utf-8", "surrogatepass") for w in words]
+    def encode_words(self, words: list[str] | list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words (or their UTF-8) in a row, and how many each has."""
+        raw = [w if isinstance(w, bytes) else w.encode("utf-8", "surrogatepass") for w in words]
         size = np.array([len(r) for r in raw], np.int64)
         data = np.frombuffer(b"".join(raw), np.uint8)
         sym = self.first[data]
@@ -209,12 +213,19 @@ class BPE:
         if not text:
             return []
         if not text.isascii() and any(unicodedata.category(c) == "Cn" for c in set(text)):
-            # Letters newer than Python's tables: the library has its own tables, so it decides.
-            return [library(self.path).encode(x, add_special_tokens=False).ids for x in word_pieces(text)]
+            return [[self.special[p]] if p in self.special else self._newer(p) for p in self.cut(text)]
         if any(s in text for s in self.special):
             return [[self.special[p]] if p in self.special else self._places(p) for p in self.cut(text)]
         return [self._places(text)]
 
+    def _newer(self, text: str) -> list[int]:
+        """The ids of a text with letters newer than Python's tables: the library lower-cases and splits it."""
+        t, out = library(self.path), []
+        for piece in word_pieces(text):
+            words = [bytes(map(self.byte_of.__getitem__, w)) for w, _ in t.pre_tokenizer.pre_tokenize_str(t.normalizer.normalize_str(piece))]
+            out += self.encode_words(words)[0].tolist() if words else []
+        return out
+
     def _places(self, text: str) -> np.ndarray:
         return np.fromiter(map(self.memory.__getitem__, self.strings(text)), np.int64)
 
