@@ -2,11 +2,19 @@
 
 Each distinct word of a text gives two terms, hashed into a table of `BUCKETS`: the word, and its first letters, so that
 inflected and compounded forms share a term. The score is the logistic of a bias, the terms' weights and the dot products
-of their factors: pairs such as an insult and a group's name count beyond the sum of their own weights. Terms
-enter with their log odds ratio in the sample as value, those that tell nothing with 0. The machine is trained in numpy by AdaGrad on a bounded sample of labelled documents and broadcast (BUCKETS * (1 + FACTORS) floats).
-
-Defined results: null and empty texts get the bias alone; a label table without rows gives the score 0 everywhere;
-repeated rows each get their score; other columns are ignored; of repeated labels of a document the larger one counts.
+of their factors: pairs such as an insult and a group's name count beyond the sum of their own weights.
+
+Two kinds of terms are in the machine. Those that tell by themselves enter with their log odds ratio in the sample as
+value. Those that tell jointly, though alike in both classes by themselves, enter with the value 1: of the PAIR_TERMS most
+frequent words every pair's counts in the classes are compared with what the more telling of the two words alone would
+give. All other terms have the value 0. The pair sum is divided by the number of the text's terms in the machine, so it
+does not fade in long texts. The machine is trained in numpy by AdaGrad on a bounded sample of labelled documents and
+broadcast (BUCKETS * (2 + FACTORS) floats).
+
+Defined results: null and empty texts get the bias alone; a label table without rows gives the score 0 everywhere; an
+empty table gives no rows; repeated rows each get their score, and a document's repeated rows are one in the sample; other
+columns are ignored; of repeated labels of a document the larger one counts; a score of exactly 0.5 predicts 1; of words
+of equal frequency the one of the smaller bucket is taken into the pairs.
 """
 
 from __future__ import annotations
@@ -34,6 +42,10 @@ DECAY = 1e-3
 #: Only terms of so many sampled documents are learnt, whose share differs between the classes by so many standard errors.
 MIN_DOCS = 3
 CHANCE = 2.5
+#: So many of the most frequent words of the sample are tried in pairs; a pair needs so many documents and standard errors.
+PAIR_TERMS = 2048
+MIN_PAIR = 8
+PAIR_CHANCE = 6
 #: Words that a worker remembers before it starts anew.
 MEMORY = 500_000
 
@@ -53,10 +65,11 @@ class Machine:
     bias: float
     weight: np.ndarray  # (BUCKETS,)
     factor: np.ndarray  # (BUCKETS, FACTORS)
+    active: np.ndarray  # (BUCKETS,): 1 for terms in the machine
 
 
 def telling(docs: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
-    """Each term's value: its absolute log odds ratio between the classes, 0 if its counts could be chance."""
+    """Each term's value by itself: its absolute log odds ratio between the classes, 0 if its counts could be chance."""
     n1, n0 = float(labels.sum()), float(len(labels) - labels.sum())
     in1, in0 = np.zeros(BUCKETS), np.zeros(BUCKETS)
     for d, y in zip(docs, labels, strict=True):
@@ -67,13 +80,44 @@ def telling(docs: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     return np.where((apart >= CHANCE) & (in1 + in0 >= MIN_DOCS), np.abs(odds), 0).astype(np.float32)
 
 
+def joint(docs: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
+    """The terms of pairs that tell more than either term alone. docs: each document's word terms, without prefixes."""
+    if not len(docs):
+        return np.empty(0, np.int64)
+    each = [np.unique(d) for d in docs]
+    count = np.bincount(np.concatenate([np.empty(0, np.int64), *each]), minlength=BUCKETS)
+    order = np.lexsort((np.arange(BUCKETS), -count))[:PAIR_TERMS]
+    chosen = np.sort(order[count[order] >= MIN_DOCS])
+    if not len(chosen):
+        return chosen
+    place = np.full(BUCKETS, -1)
+    place[chosen] = np.arange(len(chosen))
+    both = np.zeros((2, len(chosen), len(chosen)), np.float32)
+    for y in (0, 1):
+        own = [place[d] for d, k in zip(each, labels, strict=True) if k == y]
+        for k in range(0, len(own), 1024):
+            x = np.zeros((min(1024, len(own) - k), len(chosen)), np.float32)
+            for row, d in zip(x, own[k : k + 1024], strict=True):
+                row[d[d >= 0]] = 1
+            both[y] += x.T @ x
+    n, ones = both[0] + both[1], both[1]
+    share = np.diag(ones) / np.diag(n)
+    low, high = np.minimum.outer(share, share), np.maximum.outer(share, share)
+    # Between the shares of the two words there is nothing that the words alone don't say.
+    expected = np.clip(ones / np.maximum(n, 1), low, high).clip(1e-3, 1 - 1e-3)
+    apart = np.abs(ones - n * expected) / np.sqrt(np.maximum(n, 1) * expected * (1 - expected))
+    apart[(n < MIN_PAIR) | np.eye(len(chosen), dtype=bool)] = 0
+    return chosen[(apart >= PAIR_CHANCE).any(axis=0)]
+
+
 def fit(docs: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Machine:
-    """docs: each document's terms. AdaGrad on the logistic loss; pairs are averaged over a document's terms."""
+    """docs: each document's terms, words and prefixes in turn. AdaGrad on the logistic loss."""
     rng = np.random.default_rng(seed)
     value = telling(docs, labels)
+    value[joint([d[::2] for d in docs], labels)] += 1
     weight, factor, bias = np.zeros(BUCKETS, np.float32), rng.normal(0, 0.1, (BUCKETS, FACTORS)).astype(np.float32), 0.0
-    lengths = np.array([max(len(d), 1) for d in docs])
     docs = [d[value[d] > 0] for d in docs]
+    lengths = np.array([max(len(d), 1) for d in docs])
     gw, gv, gb = np.ones(BUCKETS, np.float32), np.ones((BUCKETS, FACTORS), np.float32), 1.0
     for _ in range(EPOCHS if docs else 0):
         for at in np.array_split(rng.permutation(len(docs)), max(1, len(docs) // BATCH)):
@@ -96,7 +140,7 @@ def fit(docs: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Machine:
             weight[used] -= RATE * dw / np.sqrt(gw[used])
             factor[used] -= RATE * dv / np.sqrt(gv[used])
             bias -= RATE * db / gb**0.5
-    return Machine(bias, weight * value, factor * value[:, None])
+    return Machine(bias, weight * value, factor * value[:, None], (value > 0).astype(np.float32))
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, size: int) -> tuple[list[np.ndarray], np.ndarray, float]:
@@ -107,12 +151,15 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, size: int) -> tuple[l
     # A hash of the id decides, so the sample is spread evenly and the same each time.
     chosen = marks.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share * 1_000_000)
 
+    # One row of each document: what repeats a doc_id would weigh more, and without bound.
+    own = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("y").alias("y"))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [np.array([t for w in sorted(words(x.as_py())) for t in terms(w)], np.int32) for x in batch.column("text")]
             yield pa.record_batch([batch.column("y"), pa.array(rows, pa.list_(pa.int32()))], names=["y", "terms"])
 
-    got = map_arrow(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("y", "text"), run, "y int, terms array<int>").toArrow()
+    got = map_arrow(own.select("y", "text"), run, "y int, terms array<int>").toArrow()
     rows = [np.asarray(x.values, np.int64) for x in got.column("terms")]
     return rows, np.array(got.column("y").to_pylist(), float), n.get(1, 0) / max(sum(n.values()), 1)
 
@@ -126,15 +173,15 @@ class Scorer:
 
     def forget(self) -> None:
         self.known: dict[bytes, int] = {}
-        self.part = np.zeros((1 << 12, FACTORS + 2), np.float32)
+        self.part = np.zeros((1 << 12, FACTORS + 3), np.float32)
 
     def learn(self, new: list[bytes]) -> None:
         n = len(self.known)
         while n + len(new) > len(self.part):
-            self.part = np.resize(self.part, (2 * len(self.part), FACTORS + 2))
+            self.part = np.resize(self.part, (2 * len(self.part), FACTORS + 3))
         ids = np.array([terms(w) for w in new]).reshape(-1, 2)
         v = self.m.factor[ids]
-        self.part[n : n + len(new)] = np.column_stack([self.m.weight[ids].sum(1), (v * v).sum((1, 2)), v.sum(1)])
+        self.part[n : n + len(new)] = np.column_stack([self.m.weight[ids].sum(1), (v * v).sum((1, 2)), self.m.active[ids].sum(1), v.sum(1)])
         self.known.update(zip(new, range(n, n + len(new)), strict=True))
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
@@ -146,7 +193,7 @@ class Scorer:
             if new := [w for w in found if w not in self.known]:
                 self.learn(new)
             s = self.part[np.fromiter(map(self.known.__getitem__, found), np.int64, len(found))].sum(0, dtype=np.float64)
-            out[i] = self.m.bias + s[0] + 0.5 * ((s[2:] ** 2).sum() - s[1]) / max(2 * len(found), 1)
+            out[i] = self.m.bias + s[0] + 0.5 * ((s[3:] ** 2).sum() - s[1]) / max(s[2], 1)
         return 1 / (1 + np.exp(-np.clip(out + self.shift, -60, 60)))
 
 
