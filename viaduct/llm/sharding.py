@@ -3,10 +3,11 @@
 A document hashes to 60 bits. The directory is indexed by the leading bits: it starts as one bucket, and only a bucket
 over the byte limit splits on one more bit, until every shard fits. Byte sums of fine prefixes give all levels of the
 directory at once; prefixes that would split further still are summed again, deeper, for their own rows alone. Documents
-that share all 60 bits (repeated rows) go to overflow pages of that bucket, filled up to the limit.
+that share all 60 bits (repeated rows) go to overflow pages of that bucket, filled by their running bytes.
 
 Defined results: a null text has no bytes; a null doc_id hashes as the empty string; repeated rows share a hash and are
-kept; a document over the limit is a shard, or an overflow page, of its own; other columns are carried through.
+kept; a document over the limit is a shard, or an overflow page, of its own; which of several rows of one size is on which
+page is open; an empty table gives no rows; other columns are carried through, but for those of the names that assign() adds.
 """
 
 from __future__ import annotations
@@ -53,9 +54,15 @@ def directory(rows: DataFrame, limit: int, above: int, deepest: int) -> DataFram
 def assign(docs: DataFrame, limit: int = LIMIT_BYTES) -> DataFrame:
     """docs with n_bytes, depth, shard (the bucket's bits, and a page number if it overflowed) as further columns.
 
-    Names of these columns in docs are replaced.
+    Columns of these names in docs are replaced; of any other name they stay.
     """
-    base = docs.withColumn("n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")).withColumn("h", hash_of(F.col("doc_id")))
+    added = ("n_bytes", "depth", "shard")
+    base = docs.select(
+        F.struct(*[c for c in docs.columns if c not in added]).alias("doc"),
+        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+        hash_of(F.col("doc_id")).alias("h"),
+        F.monotonically_increasing_id().alias("row"),
+    )
     rows = settle(base.select("h", "n_bytes"), "hashes")
     total = rows.agg(F.sum("n_bytes")).first()[0] or 0
     found, above, todo = None, 0, rows
@@ -81,18 +88,24 @@ def assign(docs: DataFrame, limit: int = LIMIT_BYTES) -> DataFrame:
     out = out.withColumn("shard", F.when(F.col("depth") == 0, F.lit("")).otherwise(bits))
     if HASH_BITS in levels:
         out = overflow(out, limit)
-    return out.drop("h", "full")
+    return out.select("doc.*", *added)
 
 
 def overflow(out: DataFrame, limit: int) -> DataFrame:
-    """Pages for buckets that can't split: salted parts of PAGE_ROWS rows, cut by running bytes."""
+    """Pages for buckets that can't split: salted parts of PAGE_ROWS rows, cut where their running bytes pass a page.
+
+    A row of over half the limit is a page of its own. For the others a page is as wide as the limit less the largest of
+    them, so the row that reaches beyond its width still fits; at least half of each page but the last is filled.
+    """
     rest, full = out.where(~F.col("full")), out.where(F.col("full"))
-    sizes = full.groupBy("h").agg(F.count(F.lit(1)).alias("n_rows"), F.max("n_bytes").alias("largest"))
-    salted = full.join(sizes, "h").withColumn("salt", F.expr(f"pmod(xxhash64(monotonically_increasing_id()), 1 + n_rows div {PAGE_ROWS})"))
-    rank = F.row_number().over(Window.partitionBy("h", "salt").orderBy("n_bytes")) - 1
-    page = F.floor(F.col("rank") / F.expr(f"greatest({limit} div greatest(largest, 1), 1)"))
-    paged = salted.withColumn("rank", rank).withColumn("shard", F.concat_ws("-", "shard", F.col("salt").cast("string"), page.cast("string")))
-    return rest.unionByName(paged.drop("n_rows", "largest", "salt", "rank"))
+    small = F.col("n_bytes") <= limit // 2
+    sizes = full.groupBy("h").agg(F.count(F.lit(1)).alias("n_rows"), F.max(F.when(small, F.col("n_bytes"))).alias("largest"))
+    salted = full.join(sizes, "h").withColumn("salt", F.expr(f"pmod(xxhash64(row), 1 + n_rows div {PAGE_ROWS})"))
+    before = Window.partitionBy("h", "salt", small).orderBy("n_bytes", "row").rowsBetween(Window.unboundedPreceding, -1)
+    page = F.expr(f"cast(coalesce(ahead, 0) div ({limit} + 1 - coalesce(largest, 0)) as string)")
+    salted = salted.withColumn("ahead", F.sum("n_bytes").over(before))
+    name = F.when(small, F.concat_ws("-", "shard", F.col("salt").cast("string"), page)).otherwise(F.concat_ws("-", "shard", "salt", F.lit("row"), "row"))
+    return rest.unionByName(salted.withColumn("shard", name).drop("n_rows", "largest", "salt", "ahead"))
 
 
 def shard_report(docs: DataFrame, limit: int = LIMIT_BYTES) -> DataFrame:
