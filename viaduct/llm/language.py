@@ -5,7 +5,8 @@ each language (every position is labelled), and a document's probabilities are t
 text. It is trained in numpy by backpropagation through time on a bounded sample, with Adam, and broadcast (some kB).
 
 Defined results: null texts and texts without a letter are `und` with score 0; without training rows everything is `und`;
-repeated rows each get their prediction; other columns are ignored.
+repeated rows each get their prediction; other columns are ignored; of equal probabilities the language that comes first
+in the alphabet is taken; an empty table gives no rows. At most LANGS languages are learnt, those of most documents.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ SAMPLE_WINDOWS = 3
 EPOCHS = 6
 BATCH = 128
 RATE = 0.02
+#: The most languages that a model learns; a column with more values is dirty, and its rarest ones are left out.
+LANGS = 256
 #: Windows worked on at once.
 WIDTH = 2048
 UNKNOWN = "und"
@@ -178,12 +181,14 @@ def sample(docs: DataFrame, size: int) -> tuple[list[str], np.ndarray, np.ndarra
     Of a document it takes windows spread over its length; rows come to the driver as bytes of bounded number and size.
     """
     known = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))).where(F.octet_length("text") > 0)
-    n = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    n = {r["lang"]: r["count"] for r in known.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(LANGS).collect()}
     langs = sorted(n)
     if not langs:
         return [], np.empty((0, WINDOW), np.uint8), np.empty((0, WINDOW), np.float32), np.empty(0, np.int64)
-    share = F.coalesce(*[F.when(F.col("lang") == k, min(1.0, size / n[k])) for k in langs], F.lit(0.0))
-    chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share * 1_000_000).select("lang", "text")
+    shares = docs.sparkSession.createDataFrame([(k, min(1.0, size / n[k])) for k in langs], "lang string, share double")
+    chosen = known.join(F.broadcast(shares), "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.col("share") * 1_000_000)
+    # A doc_id that repeats is one document of the sample.
+    chosen = chosen.groupBy("doc_id").agg(F.min(F.struct("lang", "text")).alias("x")).select("x.*")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
