@@ -7,7 +7,8 @@ the upper fence of its own group: Q3 + FENCE * max(Q3 - Q1, least spread). Group
 the sketch of all documents, so a rare language or source is not judged by itself.
 
 Defined results: a null or empty text has no words and fails the base rules; null lang or source is a group of its own;
-repeated rows each count and each get a verdict; other columns are carried through by keep().
+repeated rows each count and each get a verdict; a ratio equal to its fence passes; an empty table gives no rows; other
+columns are carried through by keep().
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WS_CHARS, settle
+from .common import WS_CHARS, discard, settle
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
@@ -140,6 +141,20 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def keep(docs: DataFrame) -> DataFrame:
-    """The documents that pass, with all their columns. Texts are read twice and not shuffled."""
-    sketch = settle(sketches(signals(counts(docs.select("text", "lang", "source")))), "sketch")
-    return judged(signals(counts(docs.select(F.struct(*docs.columns).alias("__doc"), "text", "lang", "source"))), sketch).where("kept").select("__doc.*")
+    """The documents that pass, with all their columns.
+
+    The counts are made once and written with a digest of the text; the rejected rows' keys then meet the documents in an
+    anti-join. The key has the doc_id, so that copies of one text spread over the shuffle.
+    """
+    key = ["doc_id", "digest", "lang", "source"]
+    digest = F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("digest")
+    counted = signals(counts(docs.select("doc_id", "text", "lang", "source"))).select("doc_id", digest, "lang", "source", "base_failed", *SIGNALS)
+    base = settle(counted, "quality")
+    sketch = settle(sketches(base), "sketch")
+    rejected = settle(judged(base, sketch).where("not kept").select(*key), "rejected")
+    discard(base, sketch)
+    tagged = docs.select(F.struct(*docs.columns).alias("doc"), "doc_id", digest, "lang", "source")
+    same = F.lit(True)
+    for c in key:
+        same = same & tagged[c].eqNullSafe(rejected[c])
+    return tagged.join(rejected, same, "left_anti").select("doc.*")

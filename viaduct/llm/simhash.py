@@ -274,12 +274,12 @@ def with_nodes(marks: DataFrame, named: DataFrame) -> DataFrame:
 # ---- near copies of lower similarity: exact Jaccard of the shingle sets
 
 #: Independent fingerprints of a text, and so 64 times as many bits, whose distance tells which pairs are worth a look.
-WIDE = 16
+WIDE = 4
 #: Texts are near from a Jaccard similarity of NEAR[0] / NEAR[1] on.
 NEAR = (4, 5)
-#: Pairs of more differing bits (of 1024) are not looked at. Those at 0.8 differ in about 155 (deviation 11), in 192 (12) at
-#: worst, for four shingles out of five: the filter is 7 deviations away.
-APART = 280
+#: Pairs of more differing bits (of 256) are not looked at. Those at 0.8 differ in about 39 (deviation 6), in 48 (6) at
+#: worst, for four shingles out of five: the filter is over 6 deviations away. Unrelated texts differ in 128 (8).
+APART = 88
 #: Shingles in the prefixes of over so many texts, and of over a millionth of all, come last in the order of prefixes.
 COMMON = 32
 
