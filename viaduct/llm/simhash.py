@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import discard, map_arrow, settle, spread_join
 from .graph import components
+from .shingles import ODD, Hashes, mix, sequence_hash, shingle_set
 
 BITS = 64
 SEED = 42
@@ -274,16 +275,17 @@ def with_nodes(marks: DataFrame, named: DataFrame) -> DataFrame:
 # ---- near copies of lower similarity: exact Jaccard of the shingle sets
 
 #: Independent fingerprints of a text, and so 64 times as many bits, whose distance tells which pairs are worth a look.
-WIDE = 4
+WIDE = 16
 #: Texts are near from a Jaccard similarity of NEAR[0] / NEAR[1] on.
 NEAR = (4, 5)
-#: Pairs of more differing bits (of 256) are not looked at. Those at 0.8 differ in about 39 (deviation 6), in 48 (6) at
-#: worst, for four shingles out of five: the filter is over 6 deviations away. Unrelated texts differ in 128 (8).
-APART = 88
+#: Pairs of more differing bits (of 1024) are not looked at. Those at 0.8 differ in 140 to 160 (deviation 12 at most), so
+#: the filter is 5 deviations away; pairs at 0.57 differ in 247 (14). Sets of fewer than FEW shingles can differ in 194 at
+#: 0.8 and are not filtered.
+APART, FEW = 225, 6
 #: Shingles in the prefixes of over so many texts, and of over a millionth of all, come last in the order of prefixes.
 COMMON = 32
-
-_M1, _M2, _SHIFT = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53), np.uint64(33)
+#: So many of a text's keys tell whether a pair has met in an earlier bucket.
+EARLIER = 64
 
 
 def wide_fingerprint(hashed: np.ndarray, count: int = WIDE) -> np.ndarray:
@@ -291,22 +293,13 @@ def wide_fingerprint(hashed: np.ndarray, count: int = WIDE) -> np.ndarray:
     if not len(hashed):
         return np.zeros(count, np.int64)
     total = np.zeros(count * BITS, np.int64)
-    seeds = np.arange(1, count + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    seeds = np.arange(1, count + 1, dtype=np.uint64) * ODD
     for k in range(0, len(hashed), 255):
-        x = hashed[k : k + 255, None] ^ seeds
-        x = (x ^ (x >> _SHIFT)) * _M1
-        x = (x ^ (x >> _SHIFT)) * _M2
-        bits = np.unpackbits((x ^ (x >> _SHIFT)).astype("<u8").view(np.uint8), axis=1, bitorder="little")
+        bits = np.unpackbits(mix(hashed[k : k + 255, None] ^ seeds).astype("<u8").view(np.uint8), axis=1, bitorder="little")
         total += np.add.reduce(bits, axis=0, dtype=np.uint8)
     return np.packbits(2 * total > len(hashed), bitorder="little").view("<i8").astype(np.int64)
 
 
-def shingle_set(text: str | None, shingle: int) -> np.ndarray:
-    """The distinct hashes in order; a text without words has the one hash 0."""
-    out = np.unique(hashes(text, shingle))
-    return out if len(out) else np.zeros(1, np.uint64)
-
-
 def prefix(own: np.ndarray, common: np.ndarray) -> np.ndarray:
     """The first hashes of a set, common ones last. Two sets that are near have one of these in common, in any fixed order."""
     if len(common):
@@ -319,10 +312,10 @@ def signatures(docs: DataFrame, shingle: int) -> DataFrame:
     """doc_id, node (hash of the shingle set), n (its size), fps and keys (the prefix by hashes alone)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        none = np.empty(0, np.uint64)
+        none, known = np.empty(0, np.uint64), Hashes()
         for batch in batches:
-            sets = [shingle_set(t.as_py(), shingle) for t in batch.column("text")]
-            nodes = pa.array(np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64))
+            sets = [shingle_set(t.as_py(), shingle, known) for t in batch.column("text")]
+            nodes = pa.array([sequence_hash(s) for s in sets], pa.int64())
             fps = pa.array([wide_fingerprint(s) for s in sets], pa.list_(pa.int64()))
             keys = pa.array([prefix(s, none).view(np.int64) for s in sets], pa.list_(pa.int64()))
             yield pa.record_batch([batch.column("doc_id"), nodes, pa.array([len(s) for s in sets], pa.int64()), fps, keys], names=["doc_id", "node", "n", "fps", "keys"])
@@ -336,10 +329,10 @@ def sets_of(docs: DataFrame, wanted: DataFrame, shingle: int, common: np.ndarray
     sent = docs.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        late = sent.value
+        late, known = sent.value, Hashes()
         for batch in batches:
-            sets = [shingle_set(t.as_py(), shingle) for t in batch.column("text")]
-            nodes = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64)
+            sets = [shingle_set(t.as_py(), shingle, known) for t in batch.column("text")]
+            nodes = np.array([sequence_hash(s) for s in sets], np.int64)
             # A doc_id that repeats with other texts brings those too.
             mine = np.flatnonzero(nodes == batch.column("node").to_numpy())
             rows = [(sets[k] if late is None else prefix(sets[k], late)).view(np.int64) for k in mine]
@@ -349,13 +342,20 @@ def sets_of(docs: DataFrame, wanted: DataFrame, shingle: int, common: np.ndarray
     return map_arrow(texts.select("node", "text"), run, "node long, hashes array<bigint>")
 
 
+def likely(a: str, b: str) -> str:
+    """Whether two sets can be near, by their sizes and fingerprints (columns n and fps with these endings)."""
+    bits = " + ".join(distance(f"fps_{a}[{j}]", f"fps_{b}[{j}]") for j in range(WIDE))
+    return f"{NEAR[1]} * least(n_{a}, n_{b}) >= {NEAR[0]} * greatest(n_{a}, n_{b}) and (least(n_{a}, n_{b}) < {FEW} or {bits} <= {APART})"
+
+
+def side(nodes: DataFrame, p: str) -> DataFrame:
+    return nodes.select(F.col("node").alias(p), F.col("n").alias(f"n_{p}"), F.col("fps").alias(f"fps_{p}"))
+
+
 def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
-    """Of the pairs a, b of nodes those that are near: sizes and bits sort out, the sets themselves decide."""
-    side = lambda p: nodes.select(F.col("node").alias(p), F.col("n").alias(f"n_{p}"), F.col("fps").alias(f"fps_{p}"))
-    bits = " + ".join(distance(f"fps_a[{j}]", f"fps_b[{j}]") for j in range(WIDE))
-    kept = pairs.join(side("a"), "a").join(side("b"), "b")
-    kept = settle(kept.where(f"{NEAR[1]} * least(n_a, n_b) >= {NEAR[0]} * greatest(n_a, n_b) and {bits} <= {APART}").select("a", "b"), "likely")
-    wanted = kept.select(F.col("a").alias("node")).unionByName(kept.select(F.col("b").alias("node"))).distinct()
+    """pairs: a, b of nodes that can be near. Those that are: the sets themselves decide."""
+    pairs = settle(pairs, "pairs")
+    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     sets = settle(sets_of(docs, wanted.join(nodes.select("node", "first_id"), "node"), shingle).dropDuplicates(["node"]), "sets")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -366,18 +366,19 @@ def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int)
                 keep.append(NEAR[1] * both >= NEAR[0] * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    joined = kept.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y")
+    joined = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y")
     out = settle(map_arrow(joined, run, "a long, b long"), "near")
-    discard(kept, sets)
+    discard(pairs, sets)
     return out
 
 
 def near_links(docs: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
     """Links a > b of nodes whose components are those of all near pairs: no pair and no bucket is left out.
 
-    Sets that are near share a hash of their prefixes. All members of such a bucket are held against its first one;
-    that joins a large group of near copies at a cost in proportion to it. Then the members other than the first are
-    compared with each other where they are not connected yet.
+    Sets that are near share a hash of their prefixes. All members of such a bucket are held against its most popular
+    one, whose keys most others have: the text that a group of near copies is made from. That joins a large group at a
+    cost in proportion to it. Then the members of one bucket that are not connected yet are compared with each other; sizes
+    and fingerprints, and in crowded buckets the sets themselves, rule their pairs out before they are made.
     """
     wide = settle(nodes.select("node", F.explode("keys").alias("key")), "wide")
     total = wide.count()
@@ -386,29 +387,48 @@ def near_links(docs: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
     if len(common):
         late = settle(docs.sparkSession.createDataFrame(pa.table({"key": common.view(np.int64)})), "common")
         moved = settle(wide.join(F.broadcast(late), "key", "left_semi").select("node").distinct(), "moved")
-        again = sets_of(docs, moved.join(nodes.select("node", "first_id"), "node"), shingle, common)
-        both = wide.join(moved, "node", "left_anti").unionByName(again.select("node", F.explode("hashes").alias("key")).distinct())
+        again = sets_of(docs, moved.join(nodes.select("node", "first_id"), "node"), shingle, common).dropDuplicates(["node"])
+        both = wide.join(moved, "node", "left_anti").unionByName(again.select("node", F.explode("hashes").alias("key")))
         both = settle(both, "wide")
         discard(wide, late, moved)
         wide = both
-    shared = settle(wide.groupBy("key").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("size")).where("size > 1"), "shared")
-    rows = settle(spread_join(wide, shared, "key", "size", total).where("node != first").select("key", "node", "first"), "rows")
+    shared = settle(wide.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "shared")
+    rows = settle(spread_join(wide, shared, "key", "size", total), "rows")
     discard(wide, shared)
-    near = verified(docs, nodes, rows.select(F.col("node").alias("a"), F.col("first").alias("b")).distinct(), shingle)
-    member = components(near)
-    rest = rows.select("key", "node").join(member, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    groups = rest.groupBy("key", "component").agg(F.count(F.lit(1)).alias("m"))
-    mixed = groups.groupBy("key").agg(F.count(F.lit(1)).alias("groups")).where("groups > 1").select("key")
-    rest = settle(rest.join(mixed, "key"), "rest")
+    popular = rows.groupBy("node").agg(F.sum("size").alias("popularity"))
+    first = rows.join(popular, "node").groupBy("key").agg(F.max(F.struct("popularity", "node"))["node"].alias("first"), F.count(F.lit(1)).alias("of"))
+    star = spread_join(rows.select("key", "node"), settle(first, "first"), "key", "of", total).where("node != first")
+    star = star.selectExpr("greatest(node, first) as a", "least(node, first) as b").distinct()
+    star = star.join(side(nodes, "a"), "a").join(side(nodes, "b"), "b").where(likely("a", "b")).select("a", "b")
+    near = verified(docs, nodes, star, shingle)
+    rest = rows.select("key", "node").join(components(near), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = rest.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size")).where("low < high").select("key", "size")
+    rest = settle(spread_join(rest, settle(mixed, "mixed"), "key", "size", total).join(nodes.select("node", "n", "fps"), "node"), "rest")
     discard(rows)
-    parts = rest.select("key", "component").distinct()
-    apart = parts.select("key", F.col("component").alias("c")).join(parts.select("key", F.col("component").alias("d")), "key").where("c > d")
-    pairs = apart.join(rest.select("key", F.col("component").alias("c"), F.col("node").alias("x")), ["key", "c"])
-    pairs = pairs.join(rest.select("key", F.col("component").alias("d"), F.col("node").alias("y")), ["key", "d"])
-    more = verified(docs, nodes, pairs.selectExpr("greatest(x, y) as a", "least(x, y) as b").distinct(), shingle)
+    pairs = pairs_of(rest.where(F.col("size") <= BUCKET_PAIRS), "true")
+    crowded = rest.where(F.col("size") > BUCKET_PAIRS)
+    sets = sets_of(docs, crowded.select("node").distinct().join(nodes.select("node", "first_id"), "node"), shingle).dropDuplicates(["node"])
+    # 32 bits a shingle: what falls together by chance is allowed for, and the whole hashes decide afterwards.
+    sets = settle(sets.select("node", F.transform("hashes", lambda h: F.shiftright(h, 32).cast("int")).alias("set")), "half-sets")
+    # A pair is looked at in the first bucket that it shares, as far as its first keys tell.
+    earlier = crowded.groupBy("node").agg(F.slice(F.sort_array(F.collect_list("key")), 1, EARLIER).alias("own"))
+    crowded = crowded.join(earlier, "node").withColumn("own", F.filter("own", lambda k: k < F.col("key"))).join(sets, "node")
+    alike = f"not arrays_overlap(own_a, own_b) and {sum(NEAR)} * (size(array_intersect(set_a, set_b)) + 2) >= {NEAR[0]} * (n_a + n_b)"
+    pairs = settle(pairs.unionByName(pairs_of(crowded, alike)).distinct(), "rest-pairs")
+    discard(rest, sets)
+    more = verified(docs, nodes, pairs, shingle)
+    discard(pairs)
     return near.unionByName(more)
 
 
+def pairs_of(rest: DataFrame, more: str) -> DataFrame:
+    """rest: key, node, component, n, fps and what `more` needs. Returns the pairs a > b of a bucket, of two components, that
+    can be near; none is made that sizes, fingerprints or `more` rule out."""
+    each = [c for c in rest.columns if c not in ("key", "node", "size")]
+    x, y = (rest.select("key", F.col("node").alias(p), *[F.col(c).alias(f"{c}_{p}") for c in each]) for p in ("a", "b"))
+    return x.join(y, "key").where(f"a > b and component_a != component_b and {likely('a', 'b')} and {more}").select("a", "b")
+
+
 def near_classes(docs: DataFrame, shingle: int = 5) -> DataFrame:
     """doc_id and component_id of the documents that are near another one. Equal sets of shingles are one node."""
     marks = settle(signatures(docs, shingle), "signatures")
@@ -420,10 +440,15 @@ def near_classes(docs: DataFrame, shingle: int = 5) -> DataFrame:
     linked = member.join(least, "component").select("node", "component_id")
     copies = ids.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("size")).where("size > 1").select("node", "first_id")
     named = linked.join(copies, "node", "full").select("node", F.coalesce("component_id", "first_id").alias("component_id"))
-    return ids.join(named, "node").select("doc_id", "component_id")
+    out = settle(ids.join(named, "node").select("doc_id", "component_id"), "near-classes")
+    discard(nodes, ids)
+    return out
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """docs without the documents that are near one of a smaller doc_id of their component. Null doc_ids stay."""
-    gone = near_classes(docs).where("component_id < doc_id").select("doc_id")
+    """docs without the documents that are near one of a smaller doc_id of their component. Null doc_ids stay.
+
+    Rows that repeat a doc_id share its verdict.
+    """
+    gone = near_classes(docs).where("component_id < doc_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
