@@ -1,5 +1,6 @@
-"""Fixed values of the domain."""
+"""Fixed values of the domain: numbers, codes, keys and column names that must be as they are for right results."""
 
+# Radii, factors, limits and speeds; route types of rail; spellings of no value; days; columns of gold.
 EARTH_RADIUS_M = 6_371_000.0
 DETOUR = 1.3
 RAIL_TYPES = (2, 100, 101, 102, 103, 104, 105, 106, 107, 108, 109, 110, 111, 112, 113, 114, 116, 117)
@@ -29,16 +30,32 @@ ELECTRIFIED = {
 ZONES = {
     "FR": "Europe/Paris", "DE": "Europe/Berlin", "AT": "Europe/Vienna", "CH": "Europe/Zurich", "IT": "Europe/Rome",
     "ES": "Europe/Madrid", "NL": "Europe/Amsterdam", "BE": "Europe/Brussels", "CZ": "Europe/Prague", "PL": "Europe/Warsaw",
-    "HU": "Europe/Budapest", "SE": "Europe/Stockholm", "DK": "Europe/Copenhagen", "GB": "Europe/London", "PT": "Europe/Lisbon",
+    "HU": "Europe/Budapest", "SK": "Europe/Bratislava", "SI": "Europe/Ljubljana", "HR": "Europe/Zagreb", "RS": "Europe/Belgrade",
+    "RO": "Europe/Bucharest", "BG": "Europe/Sofia", "GR": "Europe/Athens", "SE": "Europe/Stockholm", "NO": "Europe/Oslo",
+    "FI": "Europe/Helsinki", "DK": "Europe/Copenhagen", "EE": "Europe/Tallinn", "LT": "Europe/Vilnius", "LV": "Europe/Riga",
+    "PT": "Europe/Lisbon", "IE": "Europe/Dublin", "GB": "Europe/London", "TR": "Europe/Istanbul", "UA": "Europe/Kyiv",
+    "MD": "Europe/Chisinau", "MK": "Europe/Skopje", "ME": "Europe/Podgorica", "AL": "Europe/Tirane", "LU": "Europe/Luxembourg",
 }
-# Alpha-3 to alpha-2 codes, and the neighbour whose grid value a micro-state takes.
+# Alpha-3 to alpha-2 codes of European and neighbouring countries (others stay as they are), and the
+# neighbour whose grid value a micro-state takes.
 ISO2 = {
     "FRA": "FR", "DEU": "DE", "CHE": "CH", "ITA": "IT", "ESP": "ES", "AUT": "AT", "BEL": "BE", "NLD": "NL", "POL": "PL",
     "GBR": "GB", "SWE": "SE", "DNK": "DK", "IRL": "IE", "BIH": "BA", "BGR": "BG", "HRV": "HR", "CZE": "CZ", "FIN": "FI",
     "GRC": "GR", "HUN": "HU", "NOR": "NO", "PRT": "PT", "ROU": "RO", "SVK": "SK", "SVN": "SI", "LUX": "LU", "EST": "EE",
-    "LVA": "LV", "LTU": "LT",
+    "LVA": "LV", "LTU": "LT", "CYP": "CY", "MLT": "MT", "ISL": "IS", "SRB": "RS", "MNE": "ME", "MKD": "MK", "MDA": "MD",
+    "UKR": "UA", "BLR": "BY", "RUS": "RU", "ALB": "AL", "GEO": "GE", "AZE": "AZ", "TUR": "TR", "ARM": "AM", "XKX": "XK",
+    "SMR": "SM", "AND": "AD",
+}
+# Names of countries.
+COUNTRY_NAMES = {
+    "FR": "France", "DE": "Germany", "CH": "Switzerland", "IT": "Italy", "ES": "Spain", "AT": "Austria", "BE": "Belgium",
+    "NL": "Netherlands", "PL": "Poland", "GB": "United Kingdom", "SE": "Sweden", "DK": "Denmark", "IE": "Ireland",
+    "CZ": "Czechia", "FI": "Finland", "GR": "Greece", "HU": "Hungary", "NO": "Norway", "PT": "Portugal", "RO": "Romania",
+    "SK": "Slovakia", "SI": "Slovenia", "HR": "Croatia", "BG": "Bulgaria", "LU": "Luxembourg", "EE": "Estonia",
+    "LV": "Latvia", "LT": "Lithuania", "RS": "Serbia", "TR": "Türkiye", "UA": "Ukraine",
 }
 MICRO_STATES = {"MC": "FR", "VA": "IT", "LI": "CH"}
+MICRO_CODES = ("MCO", "VAT", "LIE", "AND")
 # Countries whose airports count, and the box that Russian ones must lie in (latitudes, longitudes).
 AIR_COUNTRIES = (
     "AT", "BE", "BG", "HR", "CY", "CZ", "DK", "EE", "FI", "FR", "DE", "GR", "HU", "IE", "IT", "LV", "LT", "LU", "MT", "NL",
@@ -56,6 +73,13 @@ AIR_BLENDS = {
     "large_medium_5000km": (105, {"small_medium": 0.1, "medium_medium": 0.4, "large_medium": 0.5}),
     "large_large_unlimited": (106, {"small_medium": 0.1, "medium_long": 0.3, "large_long": 0.6}),
 }
+# Words of the labels of flights, by token of the flight class; other distances are long haul.
+AIRPORT_LABELS = {"small": "Small airport", "medium": "Medium airport", "large": "Large airport"}
+HAUL_LABELS = {"1000km": "Short haul"}
+HAUL_ELSE = "Long haul"
+# The countries that have a partition of the gold tables of their own.
+GOLD_COUNTRIES = tuple(ELECTRIFIED)
+OTHER_COUNTRY = "XX"
 BLANKS = ("", "---/---", "-/-")
 DAYS = ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday")
 GOLD_COLUMNS = (

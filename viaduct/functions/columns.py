@@ -92,6 +92,25 @@ def train_number(c: Column) -> Column:
     return F.regexp_extract(c, r"\d{3,6}", 0)
 
 
+def train_number_list(c: Column) -> Column:
+    """All blocks of three to six digits."""
+    return F.regexp_extract_all(c, F.lit(r"(\d{3,6})"), 1)
+
+
+def known_mask(c: Column) -> Column:
+    """mask_from_text() where the text names a day; null where it names none."""
+    mask = mask_from_text(c)
+    return F.when(mask != "0000000", mask)
+
+
+def column_name(c: Column, renamed: dict[str, str]) -> Column:
+    """Names of a column catalogue: no quotes, spaces or capitals, and one spelling for known variants."""
+    plain = F.lower(F.trim(F.regexp_replace(c, '"', "")))
+    if not renamed:
+        return plain
+    return F.coalesce(F.create_map(*[F.lit(x) for kv in renamed.items() for x in kv])[plain], plain)
+
+
 def haversine_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     a = F.pow(F.sin(F.radians(lat2 - lat1) / 2), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(F.radians(lon2 - lon1) / 2), 2)
     return 2 * EARTH_RADIUS_M * F.asin(F.sqrt(F.when(a > 1, 1.0).otherwise(a)))
