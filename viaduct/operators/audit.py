@@ -29,6 +29,12 @@ def feed_volumetry(df: DataFrame) -> DataFrame:
     return n.agg(F.count(F.lit(1)).alias("feeds"), F.sum("n").alias("rows"), F.percentile("n", 0.5).alias("median"), F.round(F.avg("n"), 2).alias("mean"), F.max("n").alias("largest"))
 
 
+def feed_sizes(df: DataFrame, feeds: DataFrame) -> DataFrame:
+    """source, n of every feed, empty ones (n = 0) included."""
+    n = df.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    return feeds.select("source").distinct().join(n, "source", "left").select("source", F.coalesce("n", F.lit(0)).alias("n"))
+
+
 def rail_share(routes: DataFrame, rail: DataFrame) -> DataFrame:
     all_ = routes.groupBy("source").agg(F.count(F.lit(1)).alias("routes"))
     some = rail.groupBy("source").agg(F.count(F.lit(1)).alias("rail_routes"))
@@ -49,6 +55,30 @@ def semantic_duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
     return each.agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("keys"), F.round(100.0 * (F.sum("n") - F.count(F.lit(1))) / F.sum("n"), 3).alias("repeat_pct"))
 
 
+def exact_duplicates(df: DataFrame) -> DataFrame:
+    """Rows, and how many of them repeat another one in all columns."""
+    return semantic_duplicates(df, df.columns)
+
+
+def topology_summary(events: DataFrame, many: int = 100) -> DataFrame:
+    """One row: trips, quartiles of their stops, trips of one stop and of over `many`."""
+    n = events.groupBy(*TRIP).agg(F.count(F.lit(1)).alias("n"))
+    quantile = lambda q: F.percentile("n", q)
+    return n.agg(F.count(F.lit(1)).alias("trips"), quantile(0.25).alias("q1"), quantile(0.5).alias("median"), quantile(0.75).alias("q3"), F.max("n").alias("most"), F.count_if(F.col("n") == 1).alias("single"), F.count_if(F.col("n") > many).alias("long"))
+
+
+def first_sequences(events: DataFrame) -> DataFrame:
+    """How many trips start at each sequence number."""
+    first = events.groupBy(*TRIP).agg(F.min("stop_sequence").alias("first"))
+    return first.groupBy("first").agg(F.count(F.lit(1)).alias("trips"))
+
+
+def largest_trips(events: DataFrame, n: int) -> DataFrame:
+    """The trips of most stops, with the pairs they expand to."""
+    stops = events.groupBy(*TRIP).agg(F.countDistinct("stop_sequence").alias("stops"))
+    return stops.withColumn("pairs", F.expr("stops * (stops - 1) div 2")).orderBy(F.desc("stops"), *TRIP).limit(n)
+
+
 def trip_topology(events: DataFrame) -> DataFrame:
     n = events.groupBy(*TRIP).agg(F.count(F.lit(1)).alias("n"))
     return n.groupBy(F.col("n").alias("stops")).agg(F.count(F.lit(1)).alias("trips"))
@@ -56,11 +86,17 @@ def trip_topology(events: DataFrame) -> DataFrame:
 
 def od_explosion_estimate(events: DataFrame) -> DataFrame:
     n = events.groupBy(*TRIP).agg(F.countDistinct("stop_sequence").alias("n"))
-    return n.agg(F.count(F.lit(1)).alias("trips"), F.sum("n").alias("stops"), F.sum(F.expr("n * (n - 1) div 2")).alias("pairs"), F.percentile("n", 0.5).alias("median"), F.max("n").alias("most"))
+    return n.agg(F.count(F.lit(1)).alias("trips"), F.sum("n").alias("stops"), F.sum(F.expr("n * (n - 1) div 2")).alias("pairs"), F.percentile("n", 0.25).alias("q1"), F.percentile("n", 0.5).alias("median"), F.percentile("n", 0.75).alias("q3"), F.max("n").alias("most"), F.round(F.sum(F.expr("n * (n - 1) div 2")) / F.sum("n"), 4).alias("ratio"))
 
 
-def mode_distribution(events: DataFrame) -> DataFrame:
-    n = events.groupBy("route_type").agg(F.count(F.lit(1)).alias("n"), F.countDistinct(*TRIP).alias("trips"))
+def modes_by_country(events: DataFrame) -> DataFrame:
+    return events.groupBy("country").agg(F.array_join(F.transform(F.array_sort(F.collect_set("route_type")), lambda x: x.cast("string")), ",").alias("route_types"))
+
+
+def mode_distribution(events: DataFrame, exact: bool = True) -> DataFrame:
+    """Rows, trips and share of each route type; approximate trips need no exchange of all trip ids."""
+    trips = F.countDistinct(*TRIP) if exact else F.approx_count_distinct(F.struct(*TRIP), 0.02)
+    n = events.groupBy("route_type").agg(F.count(F.lit(1)).alias("n"), trips.alias("trips"))
     return n.withColumn("pct", F.round(100.0 * F.col("n") / F.sum("n").over(Window.partitionBy()), 2))
 
 
@@ -72,6 +108,12 @@ def top_values(df: DataFrame, column: str, n: int) -> DataFrame:
     return df.groupBy(column).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.col(column).asc_nulls_first()).limit(n)
 
 
+def hubs(events: DataFrame, n: int) -> DataFrame:
+    """The stops that most routes and trips serve."""
+    out = events.groupBy("source", "stop_id").agg(F.countDistinct("route_id").alias("routes"), F.countDistinct("trip_id").alias("trips"))
+    return out.orderBy(F.desc("routes"), F.desc("trips"), "source", "stop_id").limit(n)
+
+
 def case_variants(df: DataFrame, column: str) -> DataFrame:
     out = df.where(F.col(column).isNotNull()).groupBy(F.lower(column).alias("lowered")).agg(F.array_sort(F.collect_set(column)).alias("v"))
     return out.where(F.size("v") > 1).select("lowered", F.array_join("v", "|").alias("variants"))
@@ -94,6 +136,12 @@ def timezone_audit(agency: DataFrame) -> DataFrame:
     return odd.groupBy("agency_timezone").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("source").alias("sources"), F.countDistinct("agency_id").alias("operators"))
 
 
+def timezone_conflicts(agency: DataFrame) -> DataFrame:
+    """Operators that appear with several zones."""
+    zones = agency.groupBy("agency_name").agg(F.array_sort(F.collect_set(F.coalesce("agency_timezone", F.lit("none")))).alias("zones"), F.countDistinct("source").alias("sources"))
+    return zones.where(F.size("zones") > 1).select("agency_name", F.array_join("zones", ",").alias("zones"), "sources")
+
+
 def calendar_audit(calendar: DataFrame, before: int) -> DataFrame:
     end = F.col("end_date").try_cast("int")
     return calendar.groupBy(C.days_mask().alias("days_of_week")).agg(F.count(F.lit(1)).alias("n"), F.min("start_date").alias("first"), F.max("end_date").alias("last"), F.count_if(F.col("start_date") > F.col("end_date")).alias("reversed"), F.count_if(F.coalesce(end < before, F.lit(False))).alias("expired"))
@@ -106,6 +154,15 @@ def threshold_sensitivity(events: DataFrame, dates: list[int]) -> DataFrame:
     return one.select(F.explode(F.array(*[F.struct(F.lit(d).alias("cutoff"), F.col(str(d)).alias("kept")) for d in dates])).alias("x")).select("x.*")
 
 
+def threshold_scenarios(events: DataFrame, dates: list[int], most: list[int]) -> DataFrame:
+    """Rows kept for each cut-off date if of each country the `most` newest expired ones stay. One scan counts all dates."""
+    end = F.col("end_date").try_cast("int")
+    by_country = events.groupBy("country").agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.coalesce(end >= d, F.lit(True))).alias(f"fresh_{d}") for d in dates])
+    kept = lambda d, m: F.sum(F.col(f"fresh_{d}") + F.least(F.col("n") - F.col(f"fresh_{d}"), F.lit(m)))
+    one = by_country.agg(*[kept(d, m).alias(f"{d}_{m}") for d in dates for m in most])
+    return one.select(F.explode(F.array(*[F.struct(F.lit(d).alias("cutoff"), F.lit(m).alias("rescued"), F.col(f"{d}_{m}").alias("kept")) for d in dates for m in most])).alias("x")).select("x.*")
+
+
 def attrition(before: DataFrame, after: DataFrame, by: str) -> DataFrame:
     both = before.select(by, F.lit(1).alias("b"), F.lit(0).alias("a")).unionByName(after.select(by, F.lit(0).alias("b"), F.lit(1).alias("a")))
     out = both.groupBy(by).agg(F.sum("b").alias("before"), F.sum("a").alias("after"))
@@ -130,6 +187,34 @@ def duplicate_groups(trips: DataFrame, keys: list[str]) -> DataFrame:
     return trips.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("source").alias("sources")).where("n > 1")
 
 
+def alias_groups(trips: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Groups of equal keys that appear under several names."""
+    out = trips.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_set(name)).alias("names"))
+    return out.where(F.size("names") > 1).select(*keys, "n", F.array_join("names", "|").alias("names"))
+
+
+def duplicates_by_source(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """How many rows of each feed are in a group of several rows."""
+    n = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    return rows.join(n, keys, "left_semi").groupBy("source").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def together(pairs: DataFrame, names: DataFrame, column: str, group: str) -> DataFrame:
+    """similar_names() with the number of groups (tables, countries) that have both names."""
+    own = names.select(F.col(column).alias("name"), group).distinct()
+    both = pairs.join(own, "name").join(own.withColumnRenamed("name", "other"), ["other", group])
+    n = both.groupBy("name", "other").agg(F.count(F.lit(1)).alias("together"))
+    return pairs.join(n, ["name", "other"], "left").withColumn("together", F.coalesce("together", F.lit(0)))
+
+
+def value_kinds(df: DataFrame, table: str) -> DataFrame:
+    """table, column, type: the kinds of values that the columns of a table of strings have, in one scan."""
+    kind = lambda c: F.when(F.col(c).cast("string").rlike(r"^-?\d+$"), "int").when(F.col(c).cast("string").try_cast("double").isNotNull(), "double").when(F.col(c).isNotNull(), "string")
+    one = df.agg(*[F.collect_set(kind(c)).alias(c) for c in df.columns])
+    each = one.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("types")) for c in df.columns])).alias("x"))
+    return each.select(F.lit(table).alias("table"), "x.column", F.explode("x.types").alias("type"))
+
+
 def similar_names(names: DataFrame, column: str, ratio: float = 0.8, gap: int = 3) -> DataFrame:
     """Pairs of distinct names whose Levenshtein ratio is over `ratio` and whose lengths differ by at most `gap`.
 

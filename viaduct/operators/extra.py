@@ -37,9 +37,8 @@ def fallback_factor(df: DataFrame, factor: str, operator: str, country: str) ->
     mean = F.avg(factor)
     by_operator = df.groupBy(operator).agg(mean.alias("by_operator")).where(F.col(operator).isNotNull())
     by_country = df.groupBy(country).agg(mean.alias("by_country")).where(F.col(country).isNotNull())
-    all_ = df.agg(mean).first()[0]
-    out = df.join(by_operator, operator, "left").join(by_country, country, "left")
-    return out.withColumn(factor, F.round(F.coalesce(factor, "by_operator", "by_country", F.lit(all_)), 4)).drop("by_operator", "by_country")
+    out = df.join(by_operator, operator, "left").join(by_country, country, "left").crossJoin(df.agg(mean.alias("by_all")))
+    return out.withColumn(factor, F.round(F.coalesce(factor, "by_operator", "by_country", "by_all"), 4)).drop("by_operator", "by_country", "by_all")
 
 
 def segment_emissions(df: DataFrame, factor: str) -> DataFrame:
@@ -53,6 +52,18 @@ def replace_with_fk(fact: DataFrame, cities: DataFrame, city: str, country: str,
     return fact.join(dim, [city, country], "left").drop(city, country)
 
 
+def replace_both_ends(flights: DataFrame, cities: DataFrame) -> DataFrame:
+    """Flights with the city ids of both ends in place of names and countries; emission_ref stays. cities: as above."""
+    out = replace_with_fk(flights, cities, "origin_city", "origin_country", "origin_city_id")
+    return replace_with_fk(out, cities, "dest_city", "dest_country", "dest_city_id")
+
+
+def with_emission_ref(events: DataFrame, table: DataFrame) -> DataFrame:
+    """Events with the emission_ref of their country and route type. table: of emission_table()."""
+    keys = table.where("country_code is not null").select(F.col("country_code").alias("country"), "route_type", "emission_ref")
+    return events.join(keys, ["country", "route_type"], "left")
+
+
 def surrogate_keys(dim: DataFrame, order: list[str], name: str) -> DataFrame:
     """Numbers from 1 for a small dimension table."""
     return dim.withColumn(name, F.row_number().over(Window.orderBy(*order)))
@@ -103,10 +114,15 @@ def dedupe_best_row(rows: DataFrame, keys: list[str]) -> DataFrame:
     return best.join(days, keys)
 
 
-def factor_comparison(df: DataFrame, a: str, b: str) -> DataFrame:
-    gap = 100.0 * (F.col(a) - F.col(b)) / F.col(b)
+def factor_gaps(df: DataFrame, a: str, b: str) -> DataFrame:
+    """df with gap: by how many per cent a is over b."""
+    return df.where(F.col(b) > 0).withColumn("gap", 100.0 * (F.col(a) - F.col(b)) / F.col(b))
+
+
+def factor_comparison(df: DataFrame, a: str, b: str, by: list[str] | None = None) -> DataFrame:
+    """The spread of the gap, for all rows or for each group."""
     p = lambda q: F.round(F.percentile("gap", q), 2)
-    return df.where(F.col(b) > 0).select(gap.alias("gap")).agg(F.round(F.min("gap"), 2).alias("lowest"), p(0.25).alias("q1"), p(0.5).alias("median"), F.round(F.avg("gap"), 2).alias("mean"), p(0.75).alias("q3"), F.round(F.max("gap"), 2).alias("highest"))
+    return factor_gaps(df, a, b).groupBy(*(by or [])).agg(F.round(F.min("gap"), 2).alias("lowest"), p(0.25).alias("q1"), p(0.5).alias("median"), F.round(F.avg("gap"), 2).alias("mean"), p(0.75).alias("q3"), F.round(F.max("gap"), 2).alias("highest"))
 
 
 def shape_length_ratio(shapes: DataFrame) -> DataFrame:
@@ -117,6 +133,26 @@ def shape_length_ratio(shapes: DataFrame) -> DataFrame:
     return out.withColumn("ratio", F.round(F.col("declared") / F.nullif("metres", F.lit(0.0)), 4))
 
 
+def shape_units(ratios: DataFrame) -> DataFrame:
+    """source, mean_ratio, unit: km where declared lengths are about a thousandth of the metres, m where about equal."""
+    mean = ratios.groupBy("source").agg(F.round(F.avg("ratio"), 6).alias("mean_ratio"), F.count(F.lit(1)).alias("shapes"))
+    unit = F.when(F.col("mean_ratio").between(0.0005, 0.002), "km").when(F.col("mean_ratio").between(0.5, 2.0), "m").otherwise("unknown")
+    return mean.withColumn("unit", unit)
+
+
+def rescaled_shapes(shapes: DataFrame, units: DataFrame) -> DataFrame:
+    """Declared lengths in metres; those of feeds whose unit makes no sense are dropped."""
+    out = shapes.join(units.select("source", "unit"), "source", "left")
+    metres = F.when(F.col("unit") == "km", F.col("shape_dist_traveled") * 1000.0).when(F.col("unit") == "m", F.col("shape_dist_traveled"))
+    return out.withColumn("shape_dist_traveled", metres).drop("unit")
+
+
+def ranked_options(candidates: DataFrame, keys: list[str]) -> DataFrame:
+    """candidates (mode, duration_min, connections, emissions_co2) ranked in each group: time, then changes, then CO2."""
+    order = Window.partitionBy(*keys).orderBy(F.col("duration_min").asc_nulls_last(), "connections", F.col("emissions_co2").asc_nulls_last(), F.desc("mode"))
+    return candidates.withColumn("rank", F.row_number().over(order))
+
+
 def fastest_option(compare: DataFrame) -> DataFrame:
     """train or flight by duration, then CO2; the one that exists if there is one alone."""
     t, f = F.col("train_duration_min"), F.col("flight_duration_min")
@@ -124,11 +160,14 @@ def fastest_option(compare: DataFrame) -> DataFrame:
     return compare.withColumn("fastest", F.when(f.isNull(), "train").when(t.isNull(), "flight").when(train_first, "train").otherwise("flight"))
 
 
-def compare_candidates(compare: DataFrame) -> DataFrame:
-    """One row for each mode that serves a city pair."""
+def compare_candidates(rail: DataFrame, flights: DataFrame) -> DataFrame:
+    """One row for each mode that serves a city pair: the best trains and the best flights, stacked.
+
+    connections: changes on the way; a flight has one at either airport.
+    """
     keys = ["departure_city", "departure_country", "arrival_city", "arrival_country"]
-    side = lambda m: compare.where(f"{m}_distance_km is not null").select(*keys, F.lit(m).alias("mode"), *[F.col(f"{m}_{c}").alias(c) for c in ("distance_km", "duration_min", "emissions_co2")])
-    return side("train").unionByName(side("flight"))
+    side = lambda df, m, n: df.select(*keys, F.lit(m).alias("mode"), F.lit(n).alias("connections"), *[F.col(f"{m}_{c}").alias(c) for c in ("distance_km", "duration_min", "emissions_co2")])
+    return side(rail, "train", 0).unionByName(side(flights, "flight", 2))
 
 
 def day_night_balance(gold: DataFrame) -> DataFrame:
@@ -138,11 +177,16 @@ def day_night_balance(gold: DataFrame) -> DataFrame:
     return out.withColumn("night_pct", pct).withColumn("class", F.when(F.col("nights") == 0, "day only").when(F.col("nights") == F.col("n"), "night only").otherwise("both"))
 
 
+KPI_COLUMNS = ("departure_city", "arrival_city", "agency_name", "distance_km", "emissions_co2")
+
+
 def kpi_overview(gold: DataFrame) -> DataFrame:
+    filled = sum((F.when(F.col(c).isNotNull(), 1.0).otherwise(0.0) for c in KPI_COLUMNS), F.lit(0.0))
     train, night = F.col("mode") == "train", F.coalesce("is_night_train", F.lit(False))
     return gold.agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(train).alias("trains"), F.count_if(~train).alias("flights"), F.round(100.0 * F.count_if(night) / F.nullif(F.count_if(train), F.lit(0)), 2).alias("night_pct"),
         F.round(F.avg(F.when(train, F.col("emissions_co2"))), 2).alias("mean_train_co2"), F.countDistinct("departure_country").alias("countries"),
+        F.round(F.sum(filled) * 100.0 / (len(KPI_COLUMNS) * F.nullif(F.count(F.lit(1)), F.lit(0))), 2).alias("mean_filled_pct"),
     )
 
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import (
     AIR_BLENDS, AIR_COUNTRIES, AIRPORT_RADIUS_M, CITY_CELL_DEG, CITY_RADIUS_M, DIESEL_G_PKM, ELECTRIC_TYPES, ELECTRIFIED,
-    EMISSION_ROUTE_TYPES, ENERGY_USE, ENERGY_USE_ELSE, EUROPE_BOX, ISO2, MICRO_STATES, MIN_FLIGHT_KM,
+    COUNTRY_NAMES, EMISSION_ROUTE_TYPES, ENERGY_USE, ENERGY_USE_ELSE, EUROPE_BOX, ISO2, MICRO_CODES, MICRO_STATES, MIN_FLIGHT_KM,
 )
 from ..functions import columns as C
 
@@ -69,7 +71,7 @@ def airport_pairs(airports: DataFrame, least_km: float = MIN_FLIGHT_KM) -> DataF
 
     The register of airports has a fixed extent (some thousand rows), whatever the timetables grow to.
     """
-    side = lambda p: airports.select(F.col("ident").alias(f"{p}_id"), F.col("type").alias(f"{p}_type"), F.col("iso_country").alias(f"{p}_country"), F.col("latitude_deg").alias(f"{p}_lat"), F.col("longitude_deg").alias(f"{p}_lon"))
+    side = lambda p: airports.select(F.col("ident").alias(f"{p}_id"), F.col("name").alias(f"{p}_name"), F.col("type").alias(f"{p}_type"), F.col("iso_country").alias(f"{p}_country"), F.col("latitude_deg").alias(f"{p}_lat"), F.col("longitude_deg").alias(f"{p}_lon"))
     pairs = side("origin").join(side("dest"), F.col("origin_id") != F.col("dest_id"))
     km = F.round(C.haversine_m(F.col("origin_lat"), F.col("origin_lon"), F.col("dest_lat"), F.col("dest_lon")) / 1000.0, 2)
     return pairs.withColumn("distance_km", km).where(F.col("distance_km") >= least_km).drop("origin_lat", "origin_lon", "dest_lat", "dest_lon")
@@ -98,9 +100,13 @@ def latest_per_country(intensity: DataFrame) -> DataFrame:
 
 
 def intensity_by_country(intensity: DataFrame) -> DataFrame:
-    """country_code, intensity: two-letter codes; micro-states take their neighbour's value, AD the mean of FR and ES."""
+    """country_code, intensity: two-letter codes; micro-states take their neighbour's value, AD the mean of FR and ES.
+
+    A code that the table lacks stays as it is, so no row is lost and it can be reported.
+    """
     code = F.create_map(*[F.lit(x) for kv in ISO2.items() for x in kv])
-    known = latest_per_country(intensity).select(code[F.col("entity_code")].alias("country_code"), "intensity").where("country_code is not null")
+    known = latest_per_country(intensity).where(~F.col("entity_code").isin(*MICRO_CODES))
+    known = known.select(F.coalesce(code[F.col("entity_code")], "entity_code").alias("country_code"), "intensity")
     near = F.create_map(*[F.lit(x) for n in sorted(set(MICRO_STATES.values())) for x in (n, [m for m, k in MICRO_STATES.items() if k == n][0])])
     micro = known.select(near[F.col("country_code")].alias("country_code"), "intensity").where("country_code is not null")
     both = known.where("country_code in ('FR', 'ES')").agg(F.avg("intensity").alias("intensity"), F.count(F.lit(1)).alias("n")).where("n = 2")
@@ -125,13 +131,44 @@ def air_factor_weighted(base: DataFrame) -> DataFrame:
     return table.join(base, "class", "left").groupBy("emission_ref", "trajet_type").agg(grams.alias("g_per_pkm"))
 
 
+def air_factor_table(base: DataFrame) -> DataFrame:
+    """emission_ref, g_per_pkm, detail: the base classes numbered from 1 by name, then the flight classes from 100 on."""
+    own = base.where("class is not null").withColumn("emission_ref", F.row_number().over(Window.orderBy("class")).cast("long"))
+    own = own.select("emission_ref", F.round(F.col("kg_per_pkm") * 1000, 3).alias("g_per_pkm"), F.concat(F.lit("Air "), "class", F.lit(", mean")).alias("detail"))
+    parts = {kind: " + ".join(f"{w} x {c}" for c, w in blend.items()) for kind, (_, blend) in AIR_BLENDS.items()}
+    text = F.create_map(*[F.lit(x) for kv in parts.items() for x in kv])
+    mixed = air_factor_weighted(base).select("emission_ref", "g_per_pkm", F.concat(F.lit("Air "), "trajet_type", F.lit(", "), text[F.col("trajet_type")]).alias("detail"))
+    return own.unionByName(mixed)
+
+
 def rail_factors(countries: DataFrame, intensity: DataFrame) -> DataFrame:
     """country_code, route_type, g per passenger km. countries: country_code; intensity: of intensity_by_country()."""
     known = intensity.groupBy("country_code").agg(F.avg("intensity").alias("intensity"))
     use = F.coalesce(F.create_map(*[F.lit(x) for kv in ENERGY_USE.items() for x in kv])[F.col("route_type")], F.lit(ENERGY_USE_ELSE))
     share = F.coalesce(F.create_map(*[F.lit(x) for kv in ELECTRIFIED.items() for x in kv])[F.col("country_code")], F.lit(sum(ELECTRIFIED.values()) / len(ELECTRIFIED)))
-    mean = intensity.agg(F.avg("intensity")).first()[0]
-    rows = countries.withColumn("route_type", F.explode(F.array(*map(F.lit, EMISSION_ROUTE_TYPES)))).join(known, "country_code", "left")
-    power = use * F.coalesce("intensity", F.lit(60.0 if mean is None else mean))
+    mean = intensity.agg(F.coalesce(F.avg("intensity"), F.lit(60.0)).alias("mean_intensity"))  # one row
+    rows = countries.withColumn("route_type", F.explode(F.array(*map(F.lit, EMISSION_ROUTE_TYPES)))).join(known, "country_code", "left").crossJoin(mean)
+    power = use * F.coalesce("intensity", "mean_intensity")
     grams = F.when(F.col("route_type").isin(*ELECTRIC_TYPES), power).otherwise(share * power + (1 - share) * DIESEL_G_PKM)
     return rows.select("country_code", "route_type", F.round(grams, 3).alias("g_per_pkm"))
+
+
+def emission_table(rail: DataFrame, air: DataFrame) -> DataFrame:
+    """emission_ref, country_code, route_type, g_per_pkm, detail: air_factor_table() and, numbered after it, rail_factors().
+
+    Both are dimensions of a few hundred rows.
+    """
+    last = air.agg(F.coalesce(F.max("emission_ref"), F.lit(0)).alias("last"))
+    number = F.row_number().over(Window.orderBy("country_code", "route_type"))
+    numbered = rail.withColumn("number", number).crossJoin(last).withColumn("emission_ref", F.col("number") + F.col("last"))
+    detail = F.concat(F.lit("Rail type "), F.col("route_type").cast("string"), F.lit(", "), "country_code")
+    return numbered.select("emission_ref", "country_code", "route_type", "g_per_pkm", detail.alias("detail")).unionByName(air, allowMissingColumns=True)
+
+
+def city_dimension(*places: DataFrame) -> DataFrame:
+    """city_id, city_name, country_code, country_name: the cities of all places (city_name, city_country), by country and name."""
+    each = [p.select("city_name", F.col("city_country").alias("country_code")).dropna() for p in places]
+    rows = reduce(DataFrame.unionByName, each).distinct().where(F.length("country_code") == 2)
+    name = F.create_map(*[F.lit(x) for kv in COUNTRY_NAMES.items() for x in kv])[F.col("country_code")]
+    # A dimension: all cities of the world are some hundred thousand rows.
+    return rows.select(F.row_number().over(Window.orderBy("country_code", "city_name")).alias("city_id"), "city_name", "country_code", name.alias("country_name"))

@@ -19,13 +19,38 @@ def rail_filter(routes: DataFrame, types: tuple[int, ...] = RAIL_TYPES) -> DataF
     return routes.withColumn("route_type", F.col("route_type").try_cast("int")).where(F.col("route_type").isin(*types))
 
 
-def stop_events(trips: DataFrame, routes: DataFrame, stop_times: DataFrame, stops: DataFrame, agency: DataFrame, calendar: DataFrame) -> DataFrame:
-    """One row for each stop of each rail trip. Routes are cut to rail before the large join; of equal stops one stays."""
-    trips = trips.join(rail_filter(routes), ["source", "route_id"])
-    out = trips.join(stop_times.where("stop_sequence is not null"), TRIP).join(stops, ["source", "stop_id"], "left").join(agency, ["source", "agency_id"], "left")
-    out = out.join(calendar.select("source", "service_id", C.days_mask().alias("days_of_week"), "start_date", "end_date"), ["source", "service_id"], "left")
+def trip_rows(trips: DataFrame, routes: DataFrame, agency: DataFrame, calendar: DataFrame) -> DataFrame:
+    """One row for each rail trip, with what its route, operator and service say. Routes are cut to rail first."""
+    days = F.col("days_of_week") if "days_of_week" in calendar.columns else C.days_mask().alias("days_of_week")
+    out = trips.join(rail_filter(routes), ["source", "route_id"]).join(agency, ["source", "agency_id"], "left")
+    out = out.join(calendar.select("source", "service_id", days, "start_date", "end_date"), ["source", "service_id"], "left")
+    return out.withColumn("country", F.substring("source", 1, 2))
+
+
+def events_of(rows: DataFrame, stop_times: DataFrame, stops: DataFrame) -> DataFrame:
+    """One row for each stop of each trip of trip_rows(); of equal stops one stays."""
+    out = rows.join(stop_times.where("stop_sequence is not null"), TRIP).join(stops, ["source", "stop_id"], "left")
     order = Window.partitionBy(*TRIP, "stop_sequence", "stop_id").orderBy("arrival_time", "departure_time")
-    return out.withColumn("rank", F.row_number().over(order)).where("rank = 1").drop("rank").withColumn("country", F.substring("source", 1, 2))
+    return out.withColumn("rank", F.row_number().over(order)).where("rank = 1").drop("rank")
+
+
+def stop_events(trips: DataFrame, routes: DataFrame, stop_times: DataFrame, stops: DataFrame, agency: DataFrame, calendar: DataFrame) -> DataFrame:
+    """One row for each stop of each rail trip."""
+    return events_of(trip_rows(trips, routes, agency, calendar), stop_times, stops)
+
+
+def night_stop_events(trips: DataFrame, routes: DataFrame, stop_times: DataFrame, stops: DataFrame, agencies: DataFrame, calendar: DataFrame) -> DataFrame:
+    """One row for each stop of each night train, in the columns of stop_events(). The tables have no source of their own."""
+    named = resolve_composite_ids(trips, agencies).join(routes.select("route_id", "route_short_name", "route_long_name"), "route_id", "left")
+    days = calendar.select("service_id", C.days_mask().alias("days"), *[C.norm_date8(F.col(c), strict=False).alias(c) for c in ("start_date", "end_date")])
+    out = named.join(stop_times.where(F.col("stop_sequence").try_cast("int").isNotNull()), "trip_id").join(stops.where("stop_lat is not null and stop_lon is not null"), "stop_id").join(days, "service_id", "left")
+    country = C.country_alias(F.col("stop_country"))
+    return out.select(
+        "source", "trip_id", "route_id", "service_id", "trip_short_name", "trip_headsign", F.lit(105).alias("route_type"), "route_short_name", "route_long_name", "agency_id", "agency_name",
+        C.fix_timezone(F.lit(None).cast("string"), country).alias("agency_timezone"), "stop_id", "stop_name", F.col("stop_lat").cast("double").alias("stop_lat"), F.col("stop_lon").cast("double").alias("stop_lon"),
+        F.lit(None).cast("string").alias("parent_station"), F.col("stop_sequence").try_cast("int").alias("stop_sequence"), C.time_part(F.col("arrival_time")).alias("arrival_time"),
+        C.time_part(F.col("departure_time")).alias("departure_time"), F.coalesce("days", F.lit("0000000")).alias("days_of_week"), "start_date", "end_date", country.alias("country"),
+    )
 
 
 def drop_bad_coord_trips(events: DataFrame) -> DataFrame:
@@ -44,6 +69,18 @@ def renumbered(events: DataFrame) -> DataFrame:
     return out.withColumn("again", again).withColumn("rank", rank).withColumn("stop_sequence", F.when(F.col("again"), F.col("rank")).otherwise(F.col("stop_sequence")).cast("int")).drop("seconds", "n_here", "again", "rank")
 
 
+def filled_sequences(events: DataFrame, sentinel: int = 99) -> DataFrame:
+    """Trips with a missing sequence are numbered from 0 by the old sequence, missing ones last, and time; in others the
+    sentinel becomes one more than the largest real sequence."""
+    trip = Window.partitionBy(*TRIP)
+    missing = F.max(F.col("stop_sequence").isNull()).over(trip)
+    order = trip.orderBy(F.coalesce("stop_sequence", F.lit(9999)), F.coalesce("departure_time", "arrival_time"), "stop_id")
+    out = events.withColumn("missing", missing).withColumn("rank", F.row_number().over(order) - 1)
+    out = out.withColumn("real", F.max(F.when(F.col("stop_sequence") != sentinel, F.col("stop_sequence"))).over(trip))
+    filled = F.when(F.col("missing"), F.col("rank")).when(F.col("stop_sequence") == sentinel, F.col("real") + 1).otherwise(F.col("stop_sequence"))
+    return out.withColumn("stop_sequence", filled.cast("int")).drop("missing", "rank", "real")
+
+
 def segment_distance(events: DataFrame) -> DataFrame:
     """Whole metres to the next stop, with the detour factor; null at the last stop."""
     after = Window.partitionBy(*TRIP).orderBy("stop_sequence")
@@ -70,7 +107,7 @@ def clean_events(events: DataFrame) -> DataFrame:
     return cumulative_distance(drop_single_stop_trips(drop_zero_segment_trips(segment_distance(renumbered(drop_bad_coord_trips(events))))))
 
 
-STOP = ("stop_sequence", "stop_id", "stop_name", "parent_station", "departure_time", "arrival_time", "cumul_m")
+STOP = ("stop_sequence", "stop_id", "stop_name", "parent_station", "departure_time", "arrival_time", "cumul_m", "country")
 
 
 def od_pairs(events: DataFrame, attributes: tuple[str, ...] = ()) -> DataFrame:
@@ -79,18 +116,24 @@ def od_pairs(events: DataFrame, attributes: tuple[str, ...] = ()) -> DataFrame:
     A trip's stops are few, so they are gathered in one row, on the partitioning that the windows before it have, and
     expanded there: no self-join and no further exchange.
     """
-    stops = F.sort_array(F.collect_list(F.struct(*STOP))).alias("stops")
+    known = [c for c in STOP if c in events.columns]
+    stops = F.sort_array(F.collect_list(F.struct(*known))).alias("stops")
     trips = events.groupBy(*TRIP).agg(stops, *[F.min(c).alias(c) for c in attributes])
     pairs = trips.select(*TRIP, *attributes, "stops", F.posexplode("stops").alias("at", "dep"))
     pairs = pairs.select(*TRIP, *attributes, "dep", F.explode(F.slice("stops", F.col("at") + 2, F.size("stops"))).alias("arr"))
-    pairs = pairs.select(*TRIP, *attributes, *[F.col(f"{e}.{c}").alias(f"{e}_{c}") for e in ("dep", "arr") for c in STOP])
+    pairs = pairs.select(*TRIP, *attributes, *[F.col(f"{e}.{c}").alias(f"{e}_{c}") for e in ("dep", "arr") for c in known])
     return pairs.withColumn("distance_km", C.half_up((F.col("arr_cumul_m") - F.col("dep_cumul_m")) / 1000.0, 2))
 
 
 def enrich_route_type(events: DataFrame) -> DataFrame:
-    """The generic type 2 becomes the lowest specific type that the same route has anywhere."""
-    own = F.min(F.when(F.col("route_type") != 2, F.col("route_type"))).over(Window.partitionBy("source", "route_id"))
-    return events.withColumn("route_type", F.when(F.col("route_type") == 2, F.coalesce(own, F.col("route_type"))).otherwise(F.col("route_type")))
+    """The generic type 2 becomes the lowest specific type that the same route has anywhere.
+
+    The types seen are grouped first, with partial sums, and joined back: a route of very many rows is never gathered.
+    """
+    own = events.where("route_type != 2").groupBy("source", "route_id").agg(F.min("route_type").alias("own_type"))
+    out = events.join(own, ["source", "route_id"], "left")
+    kind = F.when(F.col("route_type") == 2, F.coalesce("own_type", "route_type")).otherwise(F.col("route_type"))
+    return out.select(*[kind.alias(c) if c == "route_type" else c for c in events.columns])
 
 
 def propagate_first_nonnull(df: DataFrame, keys: list[str], columns: list[str], order: str) -> DataFrame:
@@ -111,12 +154,15 @@ def reconstruct_calendar(calendar: DataFrame, dates: DataFrame) -> DataFrame:
     return out.select("source", "service_id", F.coalesce("days_of_week", "made_mask").alias("days_of_week"), F.coalesce("start_date", "made_start").alias("start_date"), F.coalesce("end_date", "made_end").alias("end_date"))
 
 
-def expiry_filter_with_rescue(events: DataFrame, least_trips: int, before: int = EXPIRED_BEFORE) -> DataFrame:
-    """Expired services go, but only in countries that keep `least_trips` trips after that."""
+def expiry_filter_with_rescue(rows: DataFrame, least_trips: int, before: int = EXPIRED_BEFORE, counted: DataFrame | None = None) -> DataFrame:
+    """Expired services go, but only in countries that keep `least_trips` trips after that.
+
+    rows: trips or stop events; counted: other rows to count the trips on, such as those of trips that have stops.
+    """
     fresh = F.coalesce(F.col("end_date").try_cast("int") >= before, F.lit(True))
-    left = events.where(fresh).groupBy("country").agg(F.countDistinct("source", "trip_id").alias("n_left"))
+    left = (rows if counted is None else counted).where(fresh).groupBy("country").agg(F.countDistinct("source", "trip_id").alias("n_left"))
     rich = left.where(F.col("n_left") >= least_trips).select("country", F.lit(True).alias("rich"))
-    return events.join(rich, "country", "left").where(fresh | F.col("rich").isNull()).drop("rich")
+    return rows.join(rich, "country", "left").where(fresh | F.col("rich").isNull()).drop("rich")
 
 
 def rescue_top_recent(events: DataFrame, most: int, before: int = EXPIRED_BEFORE) -> DataFrame:
@@ -168,8 +214,12 @@ def match_l2(a: DataFrame, b: DataFrame) -> DataFrame:
 
 def merge_prefer(a: DataFrame, b: DataFrame) -> DataFrame:
     """All of a, and the trips of b that no trip of a matches."""
-    gone = match_l1(a, b).select(*TRIP).unionByName(match_l2(a, b).select(*TRIP)).distinct()
-    return b.join(gone, TRIP, "left_anti").unionByName(a, allowMissingColumns=True)
+    return b.join(matched_trips(a, b), TRIP, "left_anti").unionByName(a, allowMissingColumns=True)
+
+
+def matched_trips(night: DataFrame, trips: DataFrame) -> DataFrame:
+    """source, trip_id of the timetable's trips that a night train matches by name or by number and operator."""
+    return match_l1(night, trips).select(*TRIP).unionByName(match_l2(night, trips).select(*TRIP)).distinct()
 
 
 def upsert_by_source(old: DataFrame, new: DataFrame) -> DataFrame:

@@ -11,14 +11,103 @@ from ..constants import GOLD_COLUMNS
 from ..functions import columns as C
 
 
-def where_all(df: DataFrame, *, exact: dict | None = None, contains: dict | None = None, least: dict | None = None, most: dict | None = None) -> DataFrame:
-    """Optional filters: equality, case-insensitive literal containment, bounds. None values are skipped."""
-    tests: list[Column] = [F.col(c) == v for c, v in (exact or {}).items() if v is not None]
-    tests += [F.contains(F.lower(F.col(c)), F.lit(v.lower())) for c, v in (contains or {}).items() if v is not None]
-    tests += [F.col(c) >= v for c, v in (least or {}).items() if v is not None] + [F.col(c) <= v for c, v in (most or {}).items() if v is not None]
+def where_all(df: DataFrame, *, exact: dict | None = None, contains: dict | None = None, like: dict | None = None, least: dict | None = None, most: dict | None = None) -> DataFrame:
+    """Optional filters: equality, case-insensitive literal containment, patterns, bounds. None values are skipped."""
+    given = lambda d: [(F.col(c), v) for c, v in (d or {}).items() if v is not None]
+    tests: list[Column] = [c == v for c, v in given(exact)] + [F.contains(F.lower(c), F.lit(v.lower())) for c, v in given(contains)]
+    tests += [c.like(v) for c, v in given(like)] + [c >= v for c, v in given(least)] + [c <= v for c, v in given(most)]
     return df.where(reduce(lambda a, b: a & b, tests)) if tests else df
 
 
+def counted_page(df: DataFrame, order: list[Column | str], number: int, size: int) -> DataFrame:
+    """A page, each row with `total`, the number of all rows."""
+    total = df.agg(F.count(F.lit(1)).alias("total"))
+    return page(df, order, number, size).crossJoin(total)
+
+
+def upper(code: str | None) -> str | None:
+    return code and code.upper()
+
+
+def list_routes(
+    gold: DataFrame, *, mode: str | None = None, source: str | None = None, departure_country: str | None = None, arrival_country: str | None = None,
+    departure_city: str | None = None, arrival_city: str | None = None, departure_station: str | None = None, arrival_station: str | None = None,
+    agency_name: str | None = None, route_type: int | str | None = None, is_night_train: bool | None = None, days_of_week: str | None = None,
+    min_distance_km: float | None = None, max_distance_km: float | None = None, min_co2: float | None = None, max_co2: float | None = None,
+    service_start_after: str | None = None, service_end_before: str | None = None,
+) -> DataFrame:
+    """Connections by up to 18 filters; dates as YYYY-MM-DD or eight digits."""
+    day = lambda d: d and d.replace("-", "")
+    dated = gold.withColumns({"__start": C.norm_date8(F.col("service_start_date")), "__end": C.norm_date8(F.col("service_end_date"))}) if service_start_after or service_end_before else gold
+    out = where_all(
+        dated,
+        exact={"mode": mode, "source": source, "departure_country": upper(departure_country), "arrival_country": upper(arrival_country), "route_type": None if route_type is None else str(route_type), "is_night_train": is_night_train},
+        contains={"departure_city": departure_city, "arrival_city": arrival_city, "departure_station": departure_station, "arrival_station": arrival_station, "agency_name": agency_name},
+        like={"days_of_week": days_of_week},
+        least={"distance_km": min_distance_km, "emissions_co2": min_co2, "__start": day(service_start_after)},
+        most={"distance_km": max_distance_km, "emissions_co2": max_co2, "__end": day(service_end_before)},
+    )
+    return out.select(*gold.columns)
+
+
+def list_compare(
+    compare: DataFrame, *, departure_city: str | None = None, departure_country: str | None = None, arrival_city: str | None = None, arrival_country: str | None = None, best_mode: str | None = None,
+    min_train_duration: float | None = None, max_train_duration: float | None = None, min_flight_duration: float | None = None, max_flight_duration: float | None = None,
+) -> DataFrame:
+    return where_all(
+        compare,
+        exact={"departure_country": upper(departure_country), "arrival_country": upper(arrival_country), "best_mode": best_mode},
+        contains={"departure_city": departure_city, "arrival_city": arrival_city},
+        least={"train_duration_min": min_train_duration, "flight_duration_min": min_flight_duration},
+        most={"train_duration_min": max_train_duration, "flight_duration_min": max_flight_duration},
+    )
+
+
+def day_night_routes(gold: DataFrame, **filters: object) -> DataFrame:
+    """Trains by the filters of list_routes()."""
+    names = ("departure_city", "departure_country", "arrival_city", "arrival_country", "agency_name", "route_long_name", "is_night_train", "days_of_week", "departure_time", "arrival_time", "distance_km", "co2_per_pkm", "emissions_co2")
+    return list_routes(gold, mode="train", **filters).select(*names)
+
+
+def corridor(df: DataFrame, origin: str, destination: str) -> DataFrame:
+    return where_all(df, contains={"departure_city": origin, "arrival_city": destination})
+
+
+def day_night_compare(gold: DataFrame, origin: str, destination: str) -> DataFrame:
+    """Day and night trains of a corridor, with `best`: the kind of less mean emissions, where there are both."""
+    mean = lambda c, n: F.round(F.avg(c), n)
+    rows = corridor(gold.where("mode = 'train'"), origin, destination).groupBy("is_night_train").agg(
+        F.count(F.lit(1)).alias("options"), mean("distance_km", 1).alias("mean_km"), mean("co2_per_pkm", 2).alias("mean_co2_per_pkm"), mean("emissions_co2", 1).alias("mean_co2"),
+        F.round(F.min("emissions_co2"), 1).alias("least_co2"), F.round(F.max("emissions_co2"), 1).alias("most_co2"), F.min("departure_time").alias("earliest"), F.max("departure_time").alias("latest"),
+        F.array_join(F.array_sort(F.collect_set("agency_name")), ", ").alias("operators"),
+    )
+    day, night = (F.max(F.when(F.col("is_night_train") == k, F.coalesce("mean_co2", F.lit(float("inf"))))) for k in (False, True))
+    best = rows.agg(F.when(day.isNotNull() & night.isNotNull(), F.when(day <= night, "day").otherwise("night")).alias("best"))
+    return rows.crossJoin(best)
+
+
+def stations_by_city(gold: DataFrame, country: str, city: str) -> DataFrame:
+    night = F.col("is_night_train")
+    rows = list_routes(gold, mode="train", departure_country=country, departure_city=city).where("departure_station is not null")
+    return rows.groupBy(F.col("departure_station").alias("station"), F.col("departure_parent_station").alias("parent_station")).agg(
+        F.count(F.lit(1)).alias("departures"), F.countDistinct("arrival_city").alias("destinations"), F.countDistinct("agency_name").alias("n_operators"),
+        F.array_join(F.array_sort(F.collect_set("agency_name")), ", ").alias("operators"), F.count_if(night).alias("nights"), F.count_if(~night).alias("days"),
+    )
+
+
+def airports_by_city(gold: DataFrame, country: str, city: str) -> DataFrame:
+    rows = list_routes(gold, mode="flight", departure_country=country, departure_city=city).where("departure_station is not null")
+    return rows.groupBy(F.col("departure_station").alias("airport")).agg(F.count(F.lit(1)).alias("flights"), F.countDistinct("arrival_city").alias("destinations"), F.countDistinct("arrival_country").alias("countries"), F.round(F.avg("distance_km"), 1).alias("mean_km"))
+
+
+def highest_factors(gold: DataFrame, country: str | None = None) -> DataFrame:
+    """The largest factor by country, or by day and night for one country's trains."""
+    if country is None:
+        return gold.groupBy(F.col("departure_country").alias("label")).agg(F.max("co2_per_pkm").alias("highest"))
+    rows = list_routes(gold, mode="train", departure_country=country)
+    return rows.groupBy(F.when(F.col("is_night_train"), "night").otherwise("day").alias("label")).agg(F.max("co2_per_pkm").alias("highest"))
+
+
 def page(df: DataFrame, order: list[Column | str], number: int, size: int) -> DataFrame:
     return df.orderBy(*order).offset((number - 1) * size).limit(size)
 
@@ -91,6 +180,7 @@ def coverage_countries(gold: DataFrame) -> DataFrame:
 
 def coverage_cities(gold: DataFrame, role: str, n: int) -> DataFrame:
     """The cities with most connections as departure or arrival; other_countries counts distinct departure countries."""
+    role = "departure" if role == "both" else role
     out = gold.where(F.col(f"{role}_city").isNotNull()).groupBy(F.col(f"{role}_city").alias("city"), F.col(f"{role}_country").alias("country"))
     other = "arrival_country" if role == "departure" else "departure_country"
     return out.agg(F.count(F.lit(1)).alias("n"), F.countDistinct(other).alias("other_countries")).orderBy(F.desc("n"), "city", "country").limit(n)
@@ -160,7 +250,13 @@ def country_balance_two_sided(gold: DataFrame, n: int) -> DataFrame:
     return rows.groupBy("country").agg(F.count_if("is_night_train").alias("nights"), F.count_if(~F.col("is_night_train")).alias("days")).orderBy(F.desc(F.col("nights") + F.col("days")), "country").limit(n)
 
 
-def carbon_estimate(compare: DataFrame) -> DataFrame:
-    """By country: mean CO2 of both modes, the usual best mode and the saving."""
-    t, f = F.avg("train_emissions_co2"), F.avg("flight_emissions_co2")
-    return compare.groupBy("departure_country").agg(F.round(t, 2).alias("train_co2"), F.round(f, 2).alias("flight_co2"), F.mode("best_mode", True).alias("best_mode"), F.round(100.0 * (f - t) / F.nullif(f, F.lit(0.0)), 2).alias("co2_saving_pct"))
+def carbon_estimate(compare: DataFrame, origin: str | None = None, destination: str | None = None, by: tuple[str, ...] = ()) -> DataFrame:
+    """Corridors between two places (or groups of them): figures of both modes, the usual best mode and the saving."""
+    rows = where_all(compare, contains={"departure_city": origin, "arrival_city": destination})
+    figures = []
+    for m in ("train", "flight"):
+        co2 = f"{m}_emissions_co2"
+        figures += [F.count(co2).alias(f"n_{m}"), F.round(F.avg(f"{m}_distance_km"), 1).alias(f"{m}_km"), F.round(F.avg(f"{m}_duration_min"), 1).alias(f"{m}_min"), F.round(F.avg(co2), 1).alias(f"{m}_co2"), F.round(F.min(co2), 1).alias(f"{m}_co2_least"), F.round(F.max(co2), 1).alias(f"{m}_co2_most")]
+    out = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("corridors"), *figures, F.mode("best_mode", True).alias("best_mode"))
+    saving = F.when(F.col("flight_co2") > 0, F.round((1 - F.col("train_co2") / F.col("flight_co2")) * 100, 1))
+    return out.withColumn("co2_saving_pct", saving)

@@ -26,19 +26,8 @@ def _priced(d: Data):
     return d.events_all().select(*EVENT.split(", "), "agency_name", "country", known.alias("factor"))
 
 
-def _matches(d: Data):
-    night, day = _named(d)
-    key = F.lower(F.trim("trip_short_name"))
-    one = night.select(F.col("trip_id").alias("night_id"), key.alias("k")).join(day.select("source", "trip_id", key.alias("k")), "k").select("night_id", "source", "trip_id", F.lit(1).alias("level"))
-    token = lambda df: df.withColumn("n", C.train_number(F.col("trip_short_name"))).withColumn("o", F.lower(F.substring_index("agency_name", " ", 1))).where("n <> ''")
-    two = token(night).select(F.col("trip_id").alias("night_id"), "n", "o").join(token(day).select("source", "trip_id", "n", "o"), ["n", "o"]).select("night_id", "source", "trip_id", F.lit(2).alias("level"))
-    return one.unionByName(two)
-
-
 _GEO = "SELECT source, trip_id, " + ", ".join(f"{f}(stop_{c}, stop_sequence) AS {e}_{c}" for e, f in (("f", "arg_min"), ("l", "arg_max")) for c in ("lat", "lon")) + " FROM s_clean WHERE {} GROUP BY source, trip_id"
 _PRICED = f"SELECT {EVENT}, agency_name, country, CASE WHEN stop_sequence % 2 = 0 THEN route_type / CAST(10 AS DOUBLE) END AS factor FROM s_events"
-_MATCH = r"""SELECT n.trip_id AS night_id, t.source, t.trip_id, 1 AS level FROM s_night n JOIN s_timetable t ON lower(trim(n.trip_short_name)) = lower(trim(t.trip_short_name))
-    UNION ALL SELECT n.trip_id, t.source, t.trip_id, 2 FROM s_night n JOIN s_timetable t ON regexp_extract(n.trip_short_name, '\d{3,6}') = regexp_extract(t.trip_short_name, '\d{3,6}') AND regexp_extract(t.trip_short_name, '\d{3,6}') <> '' AND lower(split_part(n.agency_name, ' ', 1)) = lower(split_part(t.agency_name, ' ', 1))"""
 _PAIR_KEYS = "departure_station, arrival_station, departure_time, arrival_time"
 
 for _fill in (False, True):
@@ -49,16 +38,11 @@ query("multi_calendar_groups", lambda d: extra.multi_calendar_groups(d.events_al
 query("fallback_factor", lambda d: extra.fallback_factor(_priced(d), "factor", "agency_name", "country").select(*EVENT.split(", "), "factor"),
       f"SELECT {EVENT}, round(coalesce(factor, CASE WHEN agency_name IS NOT NULL THEN avg(factor) OVER (PARTITION BY agency_name) END, avg(factor) OVER (PARTITION BY country), avg(factor) OVER ()), 4) AS factor FROM ({_PRICED})")
 query("segment_emissions", lambda d: extra.segment_emissions(d.clean().withColumn("f", F.col("route_type") / 10.0), "f").select(*EVENT.split(", "), "segment_kg"), f"SELECT {EVENT}, {half_up('route_type / CAST(10 AS DOUBLE) * segment_dist_m / CAST(1000000 AS DOUBLE)', 2)} AS segment_kg FROM s_clean")
-query("replace_with_fk", lambda d: extra.replace_with_fk(gold(d).where("mode = 'train'").groupBy("departure_city", "departure_country").agg(F.count(F.lit(1)).alias("n")), d.cities.groupBy(F.col("asciiname").alias("city_name"), F.col("country_code").alias("city_country")).agg(F.min("geonameid").alias("city_id")), "departure_city", "departure_country", "city_id"),
-      "SELECT g.n, c.city_id FROM (SELECT departure_city, departure_country, count(*) AS n FROM s_gold WHERE mode = 'train' GROUP BY 1, 2) g LEFT JOIN (SELECT asciiname, country_code, min(geonameid) AS city_id FROM v_cities GROUP BY 1, 2) c ON c.asciiname = g.departure_city AND c.country_code = g.departure_country")
 query("surrogate_keys", lambda d: extra.surrogate_keys(d.stop_city().select("city_name", "city_country").distinct(), ["city_country", "city_name"], "city_id"), "SELECT city_name, city_country, CAST(row_number() OVER (ORDER BY city_country, city_name) AS INTEGER) AS city_id FROM (SELECT DISTINCT city_name, city_country FROM s_stop_city)")
 query("orphan_filter", lambda d: extra.orphan_filter(d.shapes, d.trips.where("source = 'FR/feed-0'").select("source", F.concat(F.lit("sh"), F.substring("trip_id", 2, 20)).alias("shape_id")), ["source", "shape_id"]).select("source", "shape_id", "shape_pt_sequence"), "SELECT source, shape_id, shape_pt_sequence FROM v_shapes WHERE shape_id IN (SELECT 'sh' || substr(trip_id, 2) FROM v_trips WHERE source = 'FR/feed-0')")
 query("country_dissonance_filter", lambda d: extra.country_dissonance_filter(d.stops, d.stop_city()).select("source", "stop_id"), "SELECT s.source, s.stop_id FROM v_stops s LEFT JOIN s_stop_city c USING (source, stop_id) WHERE city_country IS NULL OR city_country = substr(s.source, 1, 2)")
-query("od_geo_match", lambda d: extra.od_geo_match(rail.first_last_stop(d.clean().where("source = 'FR/feed-0'")), rail.first_last_stop(d.clean().where("source <> 'FR/feed-0'"))),
+query("od_geo_match", lambda d: extra.od_geo_match(d.layer("ends").where("source = 'FR/feed-0'"), d.layer("ends").where("source <> 'FR/feed-0'")),
       f"SELECT a.source AS a_source, a.trip_id AS a_trip_id, b.source AS b_source, b.trip_id AS b_trip_id FROM ({_GEO.format('source = ' + repr('FR/feed-0'))}) a JOIN ({_GEO.format('source <> ' + repr('FR/feed-0'))}) b ON abs(a.f_lat - b.f_lat) < 0.1 AND {hav('a.f_lat', 'a.f_lon', 'b.f_lat', 'b.f_lon')} < 5000 AND {hav('a.l_lat', 'a.l_lon', 'b.l_lat', 'b.l_lon')} < 5000")
-query("best_match_level", lambda d: extra.best_match_level(_matches(d)), f"SELECT * FROM ({_MATCH}) QUALIFY row_number() OVER (PARTITION BY night_id ORDER BY level, source, trip_id) = 1")
-query("match_rate_report", lambda d: _matches(d).groupBy("level").agg(F.countDistinct("night_id").alias("night_trips"), F.countDistinct("source", "trip_id").alias("trips")), f"SELECT level, count(DISTINCT night_id) AS night_trips, count(DISTINCT source || '|' || trip_id) AS trips FROM ({_MATCH}) GROUP BY level")
-query("flag_night", lambda d: extra.flag_night(d.events_all(), _matches(d)).select(*EVENT.split(", "), "is_night_train"), f"SELECT {EVENT}, route_type = 105 OR (source, trip_id) IN (SELECT (source, trip_id) FROM ({_MATCH})) AS is_night_train FROM s_events")
 query("dedupe_best_row", lambda d: extra.dedupe_best_row(gold(d).where("mode = 'train'"), _PAIR_KEYS.split(", ")),
       f"""SELECT {_PAIR_KEYS}, source, trip_id, days_of_week FROM (SELECT {_PAIR_KEYS}, source, trip_id FROM s_train WHERE departure_time IS NOT NULL AND arrival_time IS NOT NULL
       QUALIFY row_number() OVER (PARTITION BY {_PAIR_KEYS} ORDER BY distance_km IS NULL, trip_short_name IS NULL, emissions_co2 IS NULL, trip_id, source, departure_parent_station NULLS FIRST, arrival_parent_station NULLS FIRST, route_type) = 1)
@@ -66,17 +50,10 @@ query("dedupe_best_row", lambda d: extra.dedupe_best_row(gold(d).where("mode = '
 query("factor_comparison", lambda d: extra.factor_comparison(compare(d), "train_emissions_co2", "flight_emissions_co2"), "SELECT round(min(g), 2) AS lowest, round(quantile_cont(g, 0.25), 2) AS q1, round(quantile_cont(g, 0.5), 2) AS median, round(avg(g), 2) AS mean, round(quantile_cont(g, 0.75), 2) AS q3, round(max(g), 2) AS highest FROM (SELECT CAST(100 AS DOUBLE) * (train_emissions_co2 - flight_emissions_co2) / flight_emissions_co2 AS g FROM s_compare WHERE flight_emissions_co2 > 0)")
 query("shape_length_ratio", lambda d: extra.shape_length_ratio(d.shapes), f"SELECT source, shape_id, points, metres, declared, round(declared / nullif(metres, 0), 4) AS ratio FROM (SELECT source, shape_id, count(*) AS points, round(sum(step)) AS metres, max(shape_dist_traveled) AS declared FROM (SELECT *, {hav('lag(shape_pt_lat) OVER w', 'lag(shape_pt_lon) OVER w', 'shape_pt_lat', 'shape_pt_lon')} AS step FROM v_shapes WINDOW w AS (PARTITION BY source, shape_id ORDER BY shape_pt_sequence)) GROUP BY 1, 2)")
 query("fastest_option", lambda d: extra.fastest_option(compare(d)).select(*CITY.split(", "), "fastest"), f"SELECT {CITY}, CASE WHEN flight_duration_min IS NULL THEN 'train' WHEN train_duration_min IS NULL THEN 'flight' WHEN train_duration_min < flight_duration_min OR (train_duration_min = flight_duration_min AND train_emissions_co2 <= flight_emissions_co2) THEN 'train' ELSE 'flight' END AS fastest FROM s_compare")
-query("compare_candidates", lambda d: extra.compare_candidates(compare(d)), " UNION ALL ".join(f"SELECT {CITY}, '{m}' AS mode, {m}_distance_km AS distance_km, {m}_duration_min AS duration_min, {m}_emissions_co2 AS emissions_co2 FROM s_compare WHERE {m}_distance_km IS NOT NULL" for m in ("train", "flight")))
 query("day_night_balance", lambda d: extra.day_night_balance(gold(d)), f"SELECT *, {pct('nights', 'n')} AS night_pct, CASE WHEN nights = 0 THEN 'day only' WHEN nights = n THEN 'night only' ELSE 'both' END AS class FROM (SELECT departure_city, arrival_city, departure_country, count(*) FILTER (is_night_train) AS nights, count(*) AS n FROM s_gold WHERE mode = 'train' AND departure_city IS NOT NULL AND arrival_city IS NOT NULL GROUP BY 1, 2, 3)")
-query("kpi_overview", lambda d: extra.kpi_overview(gold(d)), f"SELECT count(*) AS rows, count(*) FILTER (mode = 'train') AS trains, count(*) FILTER (mode <> 'train') AS flights, {pct('count(*) FILTER (is_night_train)', "count(*) FILTER (mode = 'train')")} AS night_pct, round(avg(emissions_co2) FILTER (mode = 'train'), 2) AS mean_train_co2, count(DISTINCT departure_country) AS countries FROM s_gold")
-query("global_coverage_kpi", lambda d: gold(d).agg(F.count_if(F.col("emissions_co2").isNull()).alias("no_co2"), F.countDistinct(F.when(F.col("mode") == "train", F.col("trip_id"))).alias("trips")), "SELECT count(*) FILTER (emissions_co2 IS NULL) AS no_co2, count(DISTINCT trip_id) FILTER (mode = 'train') AS trips FROM s_gold")
-query("max_factor_by_label", lambda d: gold(d).groupBy("departure_country").agg(F.max("co2_per_pkm").alias("highest")), "SELECT departure_country, max(co2_per_pkm) AS highest FROM s_gold GROUP BY 1")
 query("drop_incomplete", lambda d: d.trips.dropna(subset=["trip_id", "route_id", "trip_short_name"]).select("source", "trip_id"), "SELECT source, trip_id FROM v_trips WHERE trip_short_name IS NOT NULL AND route_id IS NOT NULL")
 query("invalid_coord", lambda d: d.stops.where(C.invalid_coord(F.col("stop_lat"), F.col("stop_lon"))).select("source", "stop_id"), "SELECT source, stop_id FROM v_stops WHERE stop_lat IS NULL OR stop_lon IS NULL OR (abs(stop_lat) < 1e-9 AND abs(stop_lon) < 1e-9)")
 query("clean_text", lambda d: d.routes.select("source", "route_id", C.clean_text(F.col("route_long_name")).alias("route_long_name")), "SELECT source, route_id, lower(trim(trim(trim(route_long_name), '\"'))) AS route_long_name FROM v_routes")
-query("type_conflicts", lambda d: extra.type_conflicts(d.routes.select(F.lit("routes").alias("table"), F.lit("route_type").alias("column"), F.when(F.col("route_type").try_cast("int") < 100, "short").otherwise("extended").alias("type")).unionByName(d.trips.select(F.lit("trips").alias("table"), F.lit("trip_id").alias("column"), F.lit("string").alias("type")))), "SELECT 'route_type' AS \"column\", string_agg(DISTINCT CASE WHEN CAST(route_type AS INTEGER) < 100 THEN 'short' ELSE 'extended' END, ',' ORDER BY CASE WHEN CAST(route_type AS INTEGER) < 100 THEN 'short' ELSE 'extended' END) AS types, CAST(1 AS BIGINT) AS tables FROM v_routes HAVING count(DISTINCT CAST(route_type AS INTEGER) < 100) > 1")
-query("ref_cities", lambda d: extra.insert_if_absent(d.cities.where("geonameid % 3 = 0").select(F.col("asciiname").alias("city"), F.col("country_code").alias("country")).distinct(), gold(d).where("departure_city is not null").select(F.col("departure_city").alias("city"), F.col("departure_country").alias("country")), ["city", "country"]), "SELECT asciiname AS city, country_code AS country FROM v_cities WHERE geonameid % 3 = 0 UNION SELECT departure_city, departure_country FROM s_gold WHERE departure_city IS NOT NULL")
 query("ref_stations", lambda d: extra.last_wins(d.stops.select("source", "stop_id", "stop_name"), d.stops.where("stop_lat = 0").select("source", "stop_id", F.lit("moved").alias("stop_name")), ["source", "stop_id"]), "SELECT source, stop_id, CASE WHEN stop_lat = 0 THEN 'moved' ELSE stop_name END AS stop_name FROM v_stops")
 query("cities_by_country", lambda d: gold(d).where("departure_country = 'FR' and departure_city is not null").groupBy("departure_city").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("departure_station").alias("stations")), "SELECT departure_city, count(*) AS n, count(DISTINCT departure_station) AS stations FROM s_gold WHERE departure_country = 'FR' AND departure_city IS NOT NULL GROUP BY 1")
 query("top_pairs_by_country", lambda d: audit.top_values(gold(d).where("mode = 'train'"), "departure_station", 25), "SELECT departure_station, count(*) AS n FROM s_gold WHERE mode = 'train' GROUP BY 1 ORDER BY n DESC, departure_station LIMIT 25")
-query("day_night_compare", lambda d: gold(d).where("mode = 'train' and departure_city is not null").groupBy("departure_city", "is_night_train").agg(F.min("emissions_co2").alias("least"), F.round(F.avg("emissions_co2"), 2).alias("mean"), F.max("emissions_co2").alias("most"), F.min("departure_time").alias("earliest"), F.max("departure_time").alias("latest"), F.array_join(F.array_sort(F.collect_set("agency_name")), ", ").alias("operators")), "SELECT departure_city, is_night_train, min(emissions_co2) AS least, round(avg(emissions_co2), 2) AS mean, max(emissions_co2) AS most, min(departure_time) AS earliest, max(departure_time) AS latest, coalesce(string_agg(DISTINCT agency_name, ', ' ORDER BY agency_name), '') AS operators FROM s_gold WHERE mode = 'train' AND departure_city IS NOT NULL GROUP BY 1, 2")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import more_queries, rail_queries, serve_queries  # noqa: F401  the others add their queries to those of rail_queries
+from . import full_queries, more_queries, rail_queries, serve_queries  # noqa: F401  the others add their queries to those of rail_queries
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,26 +8,15 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions import columns as C
 from ..operators import audit, rail, serve
-from ..sources.tables import settled
 from .rail_queries import CITY, EVENT, MASK, MINUTES, Data, query, seconds
 
-#: Gold tables already written in this application, by folder of the given tables.
-_written: dict[tuple[str, str, str], DataFrame] = {}
-
-
-def _once(d: Data, name: str) -> DataFrame:
-    key = (d.spark.sparkContext.applicationId, d.sf_dir, name)
-    if key not in _written:
-        _written[key] = settled(getattr(d, name)(), name)
-    return _written[key]
-
 
 def gold(d: Data) -> DataFrame:
-    return _once(d, "gold")
+    return d.gold()
 
 
 def compare(d: Data) -> DataFrame:
-    return _once(d, "compare")
+    return d.layer("compare")
 
 
 def pct(part: str, whole: str) -> str:
@@ -40,16 +29,12 @@ _NIGHT = "coalesce(is_night_train, false)"
 _WEEK, _END = "substr(days_of_week, 1, 5)", "substr(days_of_week, 6, 2)"
 _SEARCH = "source, trip_id, departure_station, departure_time, arrival_station, arrival_time, route_type"
 
-query("list_routes", lambda d: serve.where_all(gold(d), exact={"mode": "train", "departure_country": "FR"}, contains={"departure_station": "#00000001"}, least={"distance_km": 200.0}, most={"distance_km": 900.0}).select(*_LIST.split(", ")),
-      f"SELECT {_LIST} FROM s_gold WHERE mode = 'train' AND departure_country = 'FR' AND contains(lower(departure_station), '#00000001') AND distance_km BETWEEN 200 AND 900")
 query("list_routes_page", lambda d: serve.page(gold(d).select(*_LIST.split(", ")), [F.desc("distance_km"), *[F.col(c).asc_nulls_first() for c in _LIST.split(", ")[:8]]], 2, 50),
       f"SELECT {_LIST} FROM s_gold ORDER BY distance_km DESC, {', '.join(c + ' NULLS FIRST' for c in _LIST.split(', ')[:8])} LIMIT 50 OFFSET 50")
-query("list_compare", lambda d: serve.where_all(compare(d), exact={"best_mode": "train"}, contains={"departure_city": "city 1"}, most={"train_emissions_co2": 20000.0}), "SELECT * FROM s_compare WHERE best_mode = 'train' AND contains(lower(departure_city), 'city 1') AND train_emissions_co2 <= 20000")
 query("search_routes", lambda d: serve.search_routes(gold(d), "Supplier#00000000", "Supplier#00000001", "2023-06-01", 1).select(*_SEARCH.split(", "), "direction"),
       f"""SELECT {_SEARCH}, 'outbound' AS direction FROM s_gold WHERE service_start_date <= '20230601' AND service_end_date >= '20230601' AND substr(days_of_week, 1, 1) = '1' AND contains(departure_station, 'Supplier#00000000') AND contains(arrival_station, 'Supplier#00000001')
       UNION ALL SELECT {_SEARCH}, 'return' FROM s_gold WHERE service_start_date <= '20230601' AND service_end_date >= '20230601' AND substr(days_of_week, 1, 1) = '1' AND contains(departure_station, 'Supplier#00000001') AND contains(arrival_station, 'Supplier#00000000')""")
 query("route_detail", lambda d: gold(d).where("trip_id in ('t1', 't33', 't100', 't7')").select(*_LIST.split(", "), "co2_per_pkm", "emissions_co2"), f"SELECT {_LIST}, co2_per_pkm, emissions_co2 FROM s_gold WHERE trip_id IN ('t1', 't33', 't100', 't7')")
-query("carbon_estimate", lambda d: serve.carbon_estimate(compare(d)), "SELECT departure_country, round(avg(train_emissions_co2), 2) AS train_co2, round(avg(flight_emissions_co2), 2) AS flight_co2, CASE WHEN count(*) FILTER (best_mode = 'flight') >= count(*) FILTER (best_mode = 'train') THEN 'flight' ELSE 'train' END AS best_mode, round(CAST(100 AS DOUBLE) * (avg(flight_emissions_co2) - avg(train_emissions_co2)) / nullif(avg(flight_emissions_co2), 0), 2) AS co2_saving_pct FROM s_compare GROUP BY 1")
 query("carbon_ranking", lambda d: serve.carbon_ranking(compare(d), 100), f"SELECT {CITY}, round(CAST(100 AS DOUBLE) * (flight_emissions_co2 - train_emissions_co2) / flight_emissions_co2, 2) AS co2_saving_pct FROM s_compare WHERE train_emissions_co2 IS NOT NULL AND flight_emissions_co2 > 0 ORDER BY co2_saving_pct DESC, {CITY} LIMIT 100")
 query("carbon_factors", lambda d: serve.carbon_factors(gold(d)), "SELECT departure_country, mode, is_night_train, co2_per_pkm, count(*) AS n, string_agg(DISTINCT route_type, ',' ORDER BY route_type) AS route_types FROM s_gold GROUP BY 1, 2, 3, 4")
 query("day_night_coverage", lambda d: serve.day_night_coverage(gold(d)), "SELECT departure_country, is_night_train, count(*) AS n, count(DISTINCT agency_name) AS agencies, count(DISTINCT departure_city) AS cities, count(DISTINCT arrival_country) AS countries, round(avg(distance_km), 1) AS mean_km FROM s_gold WHERE mode = 'train' GROUP BY 1, 2")
@@ -82,7 +67,6 @@ query("cross_source_collisions", lambda d: audit.cross_source_collisions(d.stops
 query("cardinality_violations", lambda d: audit.cardinality_violations(d.stop_times, ["source", "trip_id", "stop_sequence"]), "SELECT source, trip_id, stop_sequence, count(*) AS n FROM v_stop_times GROUP BY 1, 2, 3 HAVING count(*) > 1")
 query("semantic_duplicates", lambda d: audit.semantic_duplicates(d.stop_times, ["source", "trip_id", "stop_sequence", "stop_id"]), "SELECT CAST(sum(n) AS BIGINT) AS rows, count(*) AS keys, round(CAST(100 AS DOUBLE) * (sum(n) - count(*)) / sum(n), 3) AS repeat_pct FROM (SELECT count(*) AS n FROM v_stop_times GROUP BY source, trip_id, stop_sequence, stop_id)")
 query("trip_topology", lambda d: audit.trip_topology(d.stop_times), "SELECT n AS stops, count(*) AS trips FROM (SELECT count(*) AS n FROM v_stop_times GROUP BY source, trip_id) GROUP BY n")
-query("od_explosion_estimate", lambda d: audit.od_explosion_estimate(d.stop_times), "SELECT count(*) AS trips, CAST(sum(n) AS BIGINT) AS stops, CAST(sum(n * (n - 1) // 2) AS BIGINT) AS pairs, quantile_cont(n, 0.5) AS median, max(n) AS most FROM (SELECT count(DISTINCT stop_sequence) AS n FROM v_stop_times GROUP BY source, trip_id)")
 query("mode_distribution", lambda d: audit.mode_distribution(d.events_all()), f"SELECT route_type, count(*) AS n, count(DISTINCT source || '|' || trip_id) AS trips, {pct('count(*)', 'CAST(sum(count(*)) OVER () AS BIGINT)')} AS pct FROM s_events GROUP BY route_type")
 query("fill_rate_by_country", lambda d: audit.fill_rate(d.events_all(), "agency_name", "country"), f"SELECT country, count(*) AS n, {pct('count(agency_name)', 'count(*)')} AS pct_filled FROM s_events GROUP BY 1")
 query("top_values", lambda d: audit.top_values(d.trips, "trip_short_name", 20), "SELECT trip_short_name, count(*) AS n FROM v_trips GROUP BY 1 ORDER BY n DESC, trip_short_name NULLS FIRST LIMIT 20")
@@ -110,5 +94,4 @@ query("mask_or", lambda d: d.calendar.select("source", C.days_mask().alias("m"))
 query("haversine_m", lambda d: d.airports.select("ident", F.round(C.haversine_m(F.col("latitude_deg"), F.col("longitude_deg"), F.lit(48.85), F.lit(2.35)), 1).alias("m")), "SELECT ident, round(2 * 6371000.0 * asin(sqrt(least(1.0, pow(sin(radians(48.85 - latitude_deg) / 2), 2) + cos(radians(latitude_deg)) * cos(radians(48.85)) * pow(sin(radians(2.35 - longitude_deg) / 2), 2)))), 1) AS m FROM v_airports")
 query("train_numbers", lambda d: d.trips.select("source", "trip_id", C.train_number(F.col("trip_short_name")).alias("number")), r"SELECT source, trip_id, regexp_extract(trip_short_name, '\d{3,6}') AS number FROM v_trips")
 query("title_case", lambda d: d.routes.select("source", "route_id", C.selective_title(F.col("route_long_name")).alias("route_long_name")), "SELECT source, route_id, CASE WHEN route_long_name = upper(route_long_name) AND contains(route_long_name, ' - ') THEN array_to_string(list_transform(string_split(route_long_name, ' '), lambda w: upper(substr(w, 1, 1)) || lower(substr(w, 2))), ' ') ELSE route_long_name END AS route_long_name FROM v_routes")
-query("city_dimension", lambda d: d.stop_city().select("city_name", "city_country").unionByName(d.airport_city().select("city_name", "city_country")).distinct(), "SELECT city_name, city_country FROM s_stop_city UNION SELECT city_name, city_country FROM s_airport_city")
 query("trip_duration_min", lambda d: gold(d).where("mode = 'train'").groupBy("departure_country").agg(F.round(F.avg(C.trip_duration_min(F.col("departure_time"), F.col("arrival_time"), F.col("distance_km"))), 2).alias("mean_min")), f"SELECT departure_country, round(avg({MINUTES}), 2) AS mean_min FROM s_gold WHERE mode = 'train' GROUP BY 1")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from functools import cached_property
 
@@ -94,17 +95,19 @@ SELECT c_custkey AS geonameid, 'City ' || CAST(c_custkey AS STRING) AS asciiname
 FROM customer
 """,
     "v_airports": """
-SELECT p_partkey AS id, 'AP' || CAST(p_partkey AS STRING) AS ident, 'Airport ' || p_name AS name,
-       CASE WHEN p_size <= 25 THEN 'small_airport' WHEN p_size <= 40 THEN 'medium_airport' ELSE 'large_airport' END AS type,
-       36 + (p_partkey * 7919 % 30000) / CAST(1000 AS DOUBLE) AS latitude_deg,
-       -9 + (p_partkey * 104729 % 40000) / CAST(1000 AS DOUBLE) AS longitude_deg,
-       split_part('FR,DE,CH,IT,ES,AT,BE,NL,PL,GB,RU,US', ',', CAST(p_partkey % 12 + 1 AS INT)) AS iso_country
-FROM part WHERE p_partkey % 20 < 2
+SELECT k AS id, 'AP' || CAST(k AS STRING) AS ident, 'Airport ' || CAST(k AS STRING) || ' ' || name AS name,
+       CASE WHEN band <= 2 THEN 'small_airport' WHEN band = 3 THEN 'medium_airport' ELSE 'large_airport' END AS type,
+       36 + (k * 7919 % 30000) / CAST(1000 AS DOUBLE) AS latitude_deg,
+       -9 + (k * 104729 % 40000) / CAST(1000 AS DOUBLE) AS longitude_deg,
+       split_part('FR,DE,CH,IT,ES,AT,BE,NL,PL,GB,RU,US', ',', CAST(k % 12 + 1 AS INT)) AS iso_country
+FROM (SELECT CAST(substr(p_brand, 7) AS BIGINT) * 10 + CAST(floor(p_size / CAST(10 AS DOUBLE)) AS BIGINT) AS k,
+             CAST(floor(p_size / CAST(10 AS DOUBLE)) AS BIGINT) AS band, min(p_name) AS name
+      FROM part GROUP BY 1, 2) x
 """,
     "v_intensity": """
-SELECT split_part('FRA,DEU,CHE,ITA,ESP,AUT,BEL,NLD,POL,GBR,SWE,DNK,EU27,MCO,VAT,LIE', ',', CAST(n_nationkey % 16 + 1 AS INT)) AS entity_code,
-       2018 + y AS date, CAST(50 + (n_nationkey % 16 * 97 + y * 31) % 650 AS DOUBLE) AS emissions_intensity_gco2_per_kwh
-FROM nation CROSS JOIN (SELECT DISTINCT o_orderkey % 6 AS y FROM orders) x WHERE n_nationkey < 16
+SELECT DISTINCT split_part('FRA,DEU,CHE,ITA,ESP,AUT,BEL,NLD,POL,GBR,SWE,DNK,EU27,MCO,VAT,LIE,TUR,UKR,SRB,ISL,MKD,GRC,XKX,USA,ROU', ',', CAST(n_nationkey % 25 + 1 AS INT)) AS entity_code,
+       2018 + y AS date, CAST(50 + (n_nationkey % 25 * 97 + y * 31) % 650 AS DOUBLE) AS emissions_intensity_gco2_per_kwh
+FROM nation CROSS JOIN (SELECT DISTINCT o_orderkey % 6 AS y FROM orders) x
 """,
     "v_air_factors": """
 SELECT split_part('20-50,51-100,101-220,>220', ',', CAST(p_size % 4 + 1 AS INT)) || ' seats, ' ||
@@ -123,10 +126,28 @@ SELECT 'FR/feed-0' AS source, 'sh' || CAST(user_id AS STRING) AS shape_id,
 FROM events
 """,
     "v_night": """
-SELECT 'BOTN' AS source, 'n' || substr(trip_id, 2) AS trip_id, route_id, service_id, upper(trip_short_name) AS trip_short_name,
+SELECT 'night' AS source, 'n' || substr(trip_id, 2) AS trip_id, route_id, service_id, upper(trip_short_name) AS trip_short_name,
        trip_headsign,
        CASE WHEN CAST(substr(trip_id, 2) AS BIGINT) % 2 = 0 THEN 'a1/a2' ELSE 'a3/zz' END AS agency_id
-FROM v_trips WHERE trip_headsign = '5-LOW' AND CAST(substr(trip_id, 2) AS BIGINT) % 4 = 1
+FROM v_trips WHERE trip_headsign = '5-LOW'
+""",
+    "v_night_routes": """
+SELECT route_id, route_short_name, route_long_name FROM v_routes WHERE source = 'FR/feed-0'
+""",
+    "v_night_times": """
+SELECT 'n' || substr(s.trip_id, 2) AS trip_id, s.stop_id, s.stop_sequence,
+       '2024-05-01 ' || s.arrival_time AS arrival_time, '2024-05-01 ' || s.departure_time AS departure_time
+FROM v_stop_times s JOIN v_trips t ON t.source = s.source AND t.trip_id = s.trip_id WHERE t.trip_headsign = '5-LOW'
+""",
+    "v_night_stops": """
+SELECT stop_id, stop_name, stop_lat, stop_lon,
+       CASE CAST(substr(stop_id, 3) AS BIGINT) % 3 WHEN 0 THEN 'UK' WHEN 1 THEN 'DE' ELSE 'FR' END AS stop_country
+FROM v_stops WHERE source = 'FR/feed-0'
+""",
+    "v_night_calendar": """
+SELECT service_id, monday, tuesday, wednesday, thursday, friday, saturday, sunday,
+       substr(start_date, 1, 4) || '-' || substr(start_date, 5, 2) || '-' || substr(start_date, 7, 2) AS start_date, end_date
+FROM v_calendar WHERE source = 'FR/feed-0'
 """,
 }
 
@@ -162,6 +183,12 @@ class Views:
     def _tables(self) -> dict[str, DataFrame]:
         return {t: self.table(t) for t in TABLES}
 
+    @cached_property
+    def fingerprint(self) -> str:
+        """Tells states of the given tables apart: paths, sizes and times of their files."""
+        files = self.spark.read.format("binaryFile").load([f"{self.sf_dir}/{t}.parquet" for t in TABLES]).select("path", "length", "modificationTime").collect()
+        return hashlib.sha256(repr(sorted(map(tuple, files))).encode()).hexdigest()
+
     def sql(self, sql: str) -> DataFrame:
         """A statement over the given tables, which it gets as parameters, and the views."""
         text = with_views(sql)
