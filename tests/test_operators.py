@@ -145,3 +145,87 @@ def test_export_is_refused_above_the_limit(spark, tmp_path):
 def test_json_records(spark, tmp_path):
     (tmp_path / "p.json").write_text('{"data": [{"date": "2024", "a": 1}, {"date": "2010", "b": 2}]}')
     assert [(r.a, r.b) for r in files.read_json_records(spark, str(tmp_path / "p.json"), "data", "date", [2024]).collect()] == [(1, None)]
+
+
+def test_feed_csv_of_several_layouts_by_name(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "one.txt").write_text("stop_name,stop_id,extra\nLyon,1,x\n")
+    (tmp_path / "a" / "two.txt").write_text('\ufeff"Stop_Id", stop_name \n2,Paris\n')
+    (tmp_path / "a" / "three.txt").write_text("stop_id\n3\n")
+    rows = files.read_feed_csv(spark, str(tmp_path / "a"), ["stop_id", "stop_name"]).collect()
+    assert sorted((r.stop_id, r.stop_name) for r in rows) == [("1", "Lyon"), ("2", "Paris"), ("3", None)]
+
+
+def test_feeds_that_type_a_column_differently(spark, tmp_path):
+    spark.createDataFrame([("1", "2")], "stop_id string, stop_lat string").write.parquet(f"{tmp_path}/FR/f1/stops")
+    spark.createDataFrame([(3.5, 7)], "`Stop_Lat` double, stop_id int").write.parquet(f"{tmp_path}/DE/f2/stops")
+    got = {tuple(r) for r in files.load_feed_table(spark, str(tmp_path), "stops", ["stop_id", "stop_lat"]).collect()}
+    assert got == {("FR/f1", "1", "2"), ("DE/f2", "7", "3.5")}
+
+
+def test_rare_countries_share_the_default_partition(spark, tmp_path):
+    df = spark.createDataFrame([("t1", None), ("t2", "FR"), ("t3", "US")], "trip_id string, departure_country string")
+    files.write_gold_partitioned(df, f"{tmp_path}/gold")
+    got = {(r.trip_id, r.departure_country, r.country_partition) for r in spark.read.parquet(f"{tmp_path}/gold").collect()}
+    assert got == {("t1", "XX", "XX"), ("t2", "FR", "FR"), ("t3", "US", "XX")}
+
+
+def test_star_and_sorted_export(spark, tmp_path):
+    files.write_star({"fact": spark.range(100), "dim": spark.range(3)}, f"{tmp_path}/star", facts=("fact",))
+    files.write_star({"fact": spark.range(10), "dim": spark.range(3)}, f"{tmp_path}/star", facts=("fact",))
+    assert (spark.read.parquet(f"{tmp_path}/star/fact").count(), spark.read.parquet(f"{tmp_path}/star/dim").count()) == (10, 3)
+    assert files.export_csv(spark.range(9).toDF("x"), f"{tmp_path}/c", 9, where=F.col("x") > 5, order=[F.desc("x")]) == 3
+    assert [r.x for r in spark.read.option("header", True).csv(f"{tmp_path}/c").collect()] == ["8", "7", "6"]
+
+
+def test_json_pages_round_trip(spark, tmp_path):
+    files.write_json_pages(spark.range(25).selectExpr("id as a", "2000 + id % 3 as year"), f"{tmp_path}/p", "data", size=4)
+    got = files.read_json_records(spark, f"{tmp_path}/p", "data", "year", [2001]).collect()
+    assert sorted(r.a for r in got) == [x for x in range(25) if x % 3 == 1]
+
+
+def test_route_types_are_enriched_where_the_route_has_a_specific_one(spark):
+    rows = spark.createDataFrame([("s", "r", 2), ("s", "r", 106), ("s", "r", 103), ("s", "q", 2), ("t", "r", 2)], "source string, route_id string, route_type int")
+    assert sorted(tuple(r) for r in rail.enrich_route_type(rows).collect()) == [("s", "q", 2), ("s", "r", 103), ("s", "r", 103), ("s", "r", 106), ("t", "r", 2)]
+
+
+def test_missing_and_sentinel_sequences(spark):
+    rows = [("a", "t", None, "x", "09:00:00"), ("a", "t", 1, "y", "08:00:00"), ("a", "u", 1, "x", "08:00:00"), ("a", "u", 5, "z", "09:00:00"), ("a", "u", 99, "y", "10:00:00")]
+    df = spark.createDataFrame(rows, "source string, trip_id string, stop_sequence int, stop_id string, departure_time string").withColumn("arrival_time", F.col("departure_time"))
+    got = {(r.trip_id, r.stop_id): r.stop_sequence for r in rail.filled_sequences(df).collect()}
+    assert got == {("t", "y"): 0, ("t", "x"): 1, ("u", "x"): 1, ("u", "z"): 5, ("u", "y"): 6}
+
+
+def test_unknown_codes_stay_and_micro_states_take_their_neighbour(spark):
+    df = spark.createDataFrame([("FRA", 2023, 10.0), ("ESP", 2023, 30.0), ("MCO", 2023, 99.0), ("XYZ", 2023, 5.0), ("EU27", 2023, 1.0)], "entity_code string, date int, emissions_intensity_gco2_per_kwh double")
+    got = {r.country_code: r.intensity for r in places.intensity_by_country(df).collect()}
+    assert got == {"FR": 10.0, "ES": 30.0, "MC": 10.0, "AD": 20.0, "XYZ": 5.0}
+
+
+def test_labels_of_flights_come_from_tables(spark):
+    row = [("A", "B", "Aa", "Bb", "small_large_1000km", "FR", "DE", "c", "d", 100.0, 2.0)]
+    flown = spark.createDataFrame(row, "origin_id string, dest_id string, origin_name string, dest_name string, trajet_type string, origin_country string, dest_country string, origin_city string, dest_city string, distance_km double, co2_per_pkm double")
+    got = gold.gold_flight(flown).first()
+    assert (got.destination, got.trip_short_name, got.route_long_name) == ("Aa - Bb", "A - B", "Short haul - Small airport to Large airport")
+    assert gold.gold_flight(flown, hauls={"1000km": "Near"}).first().route_long_name.startswith("Near - ")
+
+
+def test_city_flights_equal_all_combinations(spark):
+    rnd = random.Random(4)
+    access = [(f"c{c}", "FR", f"p{p}", float(rnd.randrange(90))) for c in range(6) for p in rnd.sample(range(8), 3)]
+    flown = [(f"p{a}", f"p{b}", float(rnd.randrange(100, 900)), float(rnd.choice([10, 20]))) for a in range(8) for b in range(8) if a != b and rnd.random() < 0.8]
+    pairs = [(f"c{a}", "FR", f"c{b}", "FR") for a in range(6) for b in range(6) if a != b]
+    got = gold.best_flight_per_city_pair(spark.createDataFrame(pairs, gold.CITY_PAIR), spark.createDataFrame(access, "city_name string, country string, ident string, access_km double"), spark.createDataFrame(flown, "origin_id string, dest_id string, distance_km double, co2_per_pkm double"))
+    want = {}
+    for a, _, b, _ in pairs:
+        options = [(round(km * f, 3), km / 700 * 60 + 75 + (x + y) / 40 * 60, p, q) for c, _, p, x in access if c == a for d, _, q, y in access if d == b for o, e, km, f in flown if (o, e) == (p, q)]
+        if options:
+            want[a, b] = min(options)[0]
+    assert {(r.departure_city, r.arrival_city): r.flight_emissions_co2 for r in got.collect()} == want
+
+
+def test_database_round_trip(spark, tmp_path):
+    url, options = f"jdbc:derby:{tmp_path}/db;create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    for mode in ("overwrite", "append"):
+        files.write_jdbc(spark.range(4).toDF("x"), url, "t", mode, options=options)
+    assert spark.read.format("jdbc").options(url=url, dbtable="t", **options).load().count() == 8
