@@ -294,3 +294,13 @@ def test_crowded_buckets_of_the_near_stage(spark, monkeypatch):
 def test_held_out_rows_are_those_of_the_contract(spark):
     docs = frame(spark, [(i, f"text {i} of some words") for i in range(50)])
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in language.identify(docs).collect())
+
+
+def test_written_shards_hold_what_was_assigned(spark, tmp_path):
+    docs = frame(spark, [(i, "x" * (i % 50)) for i in range(200)])
+    sharding.write(docs, f"{tmp_path}/shards", 500)
+    back = spark.read.parquet(f"{tmp_path}/shards")
+    assert back.count() == 200
+    want = {(r.doc_id, r.shard) for r in sharding.assign(docs, 500).collect()}
+    assert {r.doc_id for r in back.collect()} == {d for d, _ in want}
+    assert len(list((tmp_path / "shards").glob("shard=*"))) == len({s for _, s in want})

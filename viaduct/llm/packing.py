@@ -7,7 +7,8 @@ away. The underfull bins of all groups are dealt anew into fewer groups and pack
 level no longer helps. No group grows with the input.
 
 Defined results: a null or empty text is the one piece of the end id; repeated rows and null doc_ids are packed like any
-row; other columns are ignored; an empty table gives no rows.
+row; other columns are ignored; an empty table gives no rows; of pieces of equal length the one that comes first in its group
+is placed first, so which of them is where is open.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ members and exact. No bucket is capped.
 
 Defined results: words are runs without white space, A-Z lower-cased; a text of fewer words than a shingle is one
 shingle; null and empty texts have fingerprint zero and are linked like others; repeated rows are one node; a null
-doc_id gets a fingerprint and its component, and never names one unless no member has an id.
+doc_id gets a fingerprint and its component, and never names one unless no member has an id; a bit set in exactly half of
+the hashes is 0; an empty table gives no rows; other columns are ignored, and carried through by keep_first().
 """
 
 from __future__ import annotations
