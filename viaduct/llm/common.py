@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -23,11 +25,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster shares: spark.checkpoint.dir, or a checkpoint folder that the application has set."""
-    conf = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    found = conf or spark.sparkContext.getCheckpointDir()
+    """The folder that the cluster shares: spark.checkpoint.dir. A temporary one only where none is set and Spark runs in one
+    process, as in tests; on a cluster other machines would not see it."""
+    context = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not found:
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
+        found = context.getCheckpointDir()
     return found.rstrip("/")
 
 
