@@ -93,11 +93,14 @@ def hot_limit(total: int) -> int:
 
 
 def spread_join(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:
-    """Inner join of rows with groups (one row for each key; `size` rows of `rows` have it, `total` in all).
+    """Inner join of rows with groups (one row for each key, settled; `size` rows of `rows` have it, `total` in all).
 
-    Hot keys are broadcast with their values: under 1000 rows. All others are shuffled, without the rows of hot keys.
+    Hot keys are broadcast with their values: under 1000 rows. All others are shuffled, without the rows of hot keys. Where
+    no key is hot, as one look at the groups tells, it is a plain join.
     """
     limit = hot_limit(total)
     hot = groups.where(F.col(size) > limit)
+    if hot.isEmpty():
+        return rows.join(groups, key)
     cold = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(groups.where(F.col(size) <= limit), key)
     return rows.join(F.broadcast(hot), key).unionByName(cold)

@@ -35,12 +35,13 @@ def large_star(edges: DataFrame, total: int) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     # (u = b, v = a) with v > u: link v to min(u)
     least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"), F.count(F.lit(1)).alias("size")).withColumnRenamed("a", "u")
+    least = settle(least, "least")
     moved = spread_join(edges.select(F.col("b").alias("u"), F.col("a").alias("v")), least, "u", "size", total)
     return moved.select(F.col("v").alias("a"), F.col("m").alias("b")).where("a > b").distinct()
 
 
 def small_star(edges: DataFrame, total: int) -> DataFrame:
     """Every smaller neighbour of a node, and the node, are linked to the smallest of them."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("size"))
+    least = settle(edges.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("size")), "least")
     moved = spread_join(edges, least, "a", "size", total).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b")
     return least.select("a", F.col("m").alias("b")).unionByName(moved).distinct()
