@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, map_arrow, settle, spread_join
+from .common import discard, map_arrow, n_partitions, settle, spread_join
 from .graph import components
 from .shingles import ODD, Hashes, mix, sequence_hash, shingle_set
 
@@ -287,6 +287,8 @@ APART, FEW = 225, 6
 COMMON = 32
 #: So many of a text's keys tell whether a pair has met in an earlier bucket.
 EARLIER = 64
+#: Crowded buckets are compared in parts of about so many texts.
+PART = 1024
 
 
 def wide_fingerprint(hashed: np.ndarray, count: int = WIDE) -> np.ndarray:
@@ -426,8 +428,11 @@ def pairs_of(rest: DataFrame, more: str) -> DataFrame:
     """rest: key, node, component, n, fps and what `more` needs. Returns the pairs a > b of a bucket, of two components, that
     can be near; none is made that sizes, fingerprints or `more` rule out."""
     each = [c for c in rest.columns if c not in ("key", "node", "size")]
-    x, y = (rest.select("key", F.col("node").alias(p), *[F.col(c).alias(f"{c}_{p}") for c in each]) for p in ("a", "b"))
-    return x.join(y, "key").where(f"a > b and component_a != component_b and {likely('a', 'b')} and {more}").select("a", "b")
+    # Each part of a bucket meets the whole bucket in a task of its own.
+    parts, n = F.expr(f"cast(ceil(size / {PART}.0) as int)"), n_partitions(rest.sparkSession)
+    part = {"a": F.pmod(F.xxhash64("node"), parts).cast("int"), "b": F.explode(F.sequence(F.lit(0), parts - 1))}
+    x, y = (rest.select("key", part[p].alias("part"), F.col("node").alias(p), *[F.col(c).alias(f"{c}_{p}") for c in each]).repartition(n, "key", "part") for p in ("a", "b"))
+    return x.join(y, ["key", "part"]).where(f"a > b and component_a != component_b and {likely('a', 'b')} and {more}").select("a", "b")
 
 
 def near_classes(docs: DataFrame, shingle: int = 5) -> DataFrame:
