@@ -1,6 +1,6 @@
 """DuckDB SQL for the queries that SQL can express."""
 
-from . import quality, sharding
+from . import quality, resampling, sharding
 
 WS = r"[ \t\n\x0B\f\r]+"
 
@@ -80,3 +80,33 @@ WITH w AS (
 ), f AS (SELECT fo.lang, fo.source, fo.signal, CASE WHEN fo.total >= {quality.MIN_GROUP} THEN fo.fence ELSE fa.fence END AS fence FROM fo JOIN fa USING (signal))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND {_FINE} AS kept FROM r
 """
+
+#: Terms of a text as the resampling and search operators take them, and CRC32 by its polynomial, byte by byte.
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_CRC = """
+crc_table AS (
+    SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda a, x: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END) AS v FROM (SELECT unnest(range(256)) AS i))
+), crcs AS (
+    SELECT word, xor(4294967295, list_reduce(list_prepend(4294967295, bytes), lambda a, x: xor(a // 256, t[CAST(xor(a, x) % 256 AS INTEGER) + 1]))) AS crc
+    FROM (SELECT word, list_transform(range(strlen(word)), lambda k: CAST('0x' || substr(hex(encode(word)), CAST(2 * k + 1 AS BIGINT), 2) AS BIGINT)) AS bytes FROM (SELECT DISTINCT word FROM words)), crc_table
+)"""
+
+OP11_SQL = rf"""
+WITH lists AS (
+    SELECT doc_id, false AS wanted, {_TERMS} AS terms FROM documents UNION ALL SELECT item_id, true, {_TERMS} FROM benchmark
+), words AS (SELECT doc_id, wanted, unnest(terms) AS word FROM lists), {_CRC.strip()}, hashed AS (
+    SELECT doc_id, wanted, crc % {resampling.BUCKETS} AS bucket FROM words JOIN crcs USING (word)
+), gain AS (
+    SELECT bucket, CAST(floor(1000 * ln((t + 1) * (s_all + {resampling.BUCKETS}) / ((s + 1) * (t_all + {resampling.BUCKETS})))) AS BIGINT) AS gain FROM (
+        SELECT bucket, CAST(count(*) FILTER (NOT wanted) AS DOUBLE) AS s, CAST(count(*) FILTER (wanted) AS DOUBLE) AS t FROM hashed GROUP BY bucket),
+        (SELECT CAST(count(*) FILTER (NOT wanted) AS DOUBLE) AS s_all, CAST(count(*) FILTER (wanted) AS DOUBLE) AS t_all FROM hashed)
+), scored AS (
+    SELECT doc_id, CAST(len(terms) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+        CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('{resampling.SEED}:' || CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) + CAST(0.5 AS DOUBLE)) / CAST(4294967296 AS DOUBLE)))) AS BIGINT) AS noise
+    FROM lists LEFT JOIN (SELECT doc_id, sum(gain) AS weight FROM hashed JOIN gain USING (bucket) WHERE NOT wanted GROUP BY doc_id) USING (doc_id) WHERE NOT wanted
+), placed AS (
+    SELECT *, n_features >= {resampling.LEAST_WORDS} AS able, weight + noise AS score, row_number() OVER (PARTITION BY n_features >= {resampling.LEAST_WORDS} ORDER BY weight + noise DESC, doc_id) AS place,
+        count(*) FILTER (n_features >= {resampling.LEAST_WORDS}) OVER () AS n FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN able AND place <= {resampling.PERCENT} * n // 100 THEN place END AS rank FROM placed
+"""
