@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, language, packing, quality, resampling, sharding, simhash, substrings, token_counts, toxicity
+from . import bpe, exact_dedup, language, lexical, packing, quality, resampling, sharding, simhash, substrings, token_counts, toxicity
 from .common import table
-from .queries_sql import OP2_SQL, OP7_SQL, OP9_SQL, OP11_SQL
+from .queries_sql import OP2_SQL, OP7_SQL, OP9_SQL, OP11_SQL, OP12_SQL
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,10 +60,14 @@ def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    each = [op1_packing, op2_sharding, op3_bpe, op4_token_counts, op5_simhash, op6_substrings, op7_exact_dedup, op8_toxicity, op9_quality, op10_language, op11_resampling]
+    each = [op1_packing, op2_sharding, op3_bpe, op4_token_counts, op5_simhash, op6_substrings, op7_exact_dedup, op8_toxicity, op9_quality, op10_language, op11_resampling, op12_search]
     return {f.__name__: f for f in each}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_sharding": OP2_SQL, "op7_exact_dedup": OP7_SQL, "op9_quality": OP9_SQL, "op11_resampling": OP11_SQL}
+    return {"op2_sharding": OP2_SQL, "op7_exact_dedup": OP7_SQL, "op9_quality": OP9_SQL, "op11_resampling": OP11_SQL, "op12_search": OP12_SQL}

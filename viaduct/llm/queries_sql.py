@@ -1,6 +1,6 @@
 """DuckDB SQL for the queries that SQL can express."""
 
-from . import quality, resampling, sharding
+from . import lexical, quality, resampling, sharding
 
 WS = r"[ \t\n\x0B\f\r]+"
 
@@ -110,3 +110,17 @@ WITH lists AS (
 )
 SELECT doc_id, n_features, weight, score, CASE WHEN able AND place <= {resampling.PERCENT} * n // 100 THEN place END AS rank FROM placed
 """
+
+#: Weights and normalisers of the contract: the percentages are the operator's own.
+OP12_SQL = rf"""
+WITH d AS (SELECT doc_id, unnest({_TERMS}) AS term FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM d GROUP BY ALL),
+n AS (SELECT doc_id, count(*) AS n FROM d GROUP BY doc_id),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM n),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * CAST(docs AS DOUBLE) + 2) / (2 * CAST(df AS DOUBLE) + 1))) AS BIGINT) AS w FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), total),
+q AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+m AS (SELECT doc_id, {100 - lexical.LENGTH_PERCENT} + ({lexical.LENGTH_PERCENT} * n * docs) // terms AS m FROM n, total),
+s AS (SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + {lexical.K} * m))) AS BIGINT) AS score FROM q JOIN w USING (term) JOIN tf USING (term) JOIN m USING (doc_id) GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM s WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= {lexical.BEST}
+"""
