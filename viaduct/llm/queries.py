@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, language, lexical, packing, quality, resampling, sharding, simhash, substrings, token_counts, toxicity
+from . import bpe, exact_dedup, fingerprints, language, lexical, packing, quality, resampling, sharding, simhash, substrings, token_counts, toxicity
 from .common import table
 from .queries_sql import OP2_SQL, OP7_SQL, OP9_SQL, OP11_SQL, OP12_SQL
 
@@ -64,8 +64,12 @@ def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    each = [op1_packing, op2_sharding, op3_bpe, op4_token_counts, op5_simhash, op6_substrings, op7_exact_dedup, op8_toxicity, op9_quality, op10_language, op11_resampling, op12_search]
+    each = [op1_packing, op2_sharding, op3_bpe, op4_token_counts, op5_simhash, op6_substrings, op7_exact_dedup, op8_toxicity, op9_quality, op10_language, op11_resampling, op12_search, op13_fingerprints]
     return {f.__name__: f for f in each}
 
 
