@@ -53,6 +53,22 @@ def half_up(c: Column, digits: int) -> Column:
     return F.floor(c * float(10**digits) + 0.500001) / float(10**digits)
 
 
+def units(c: Column | str, scale: int) -> Column:
+    """A number of `scale` decimals as whole units of its last one: their sums don't depend on the order of rows or tasks."""
+    return F.round((F.col(c) if isinstance(c, str) else c) * float(10**scale)).cast("long")
+
+
+def exact_sum(c: Column | str, scale: int, digits: int) -> Column:
+    """Aggregate: the sum of numbers of `scale` decimals, rounded once."""
+    return half_up(F.sum(units(c, scale)).cast("double") / float(10**scale), digits)
+
+
+def exact_mean(c: Column | str, scale: int, digits: int) -> Column:
+    """Aggregate: the mean of numbers of `scale` decimals, rounded once."""
+    u = units(c, scale)
+    return half_up(F.sum(u).cast("double") / float(10**scale) / F.count(u), digits)
+
+
 def trip_duration_min(departure: Column, arrival: Column, km: Column) -> Column:
     dep, arr = hms_to_seconds(departure), hms_to_seconds(arrival)
     seconds = arr - dep + F.when(arr < dep, 86400).otherwise(0)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from . import spread
 from .places import DEGREE_M, cell
 from .rail import TRIP
 
@@ -65,8 +66,8 @@ def with_emission_ref(events: DataFrame, table: DataFrame) -> DataFrame:
 
 
 def surrogate_keys(dim: DataFrame, order: list[str], name: str) -> DataFrame:
-    """Numbers from 1 for a small dimension table."""
-    return dim.withColumn(name, F.row_number().over(Window.orderBy(*order)))
+    """Numbers from 1 without gaps, by an order that must be total."""
+    return spread.numbered(dim, order, name)
 
 
 def orphan_filter(shapes: DataFrame, used: DataFrame, keys: list[str]) -> DataFrame:
@@ -122,7 +123,7 @@ def factor_gaps(df: DataFrame, a: str, b: str) -> DataFrame:
 def factor_comparison(df: DataFrame, a: str, b: str, by: list[str] | None = None) -> DataFrame:
     """The spread of the gap, for all rows or for each group."""
     p = lambda q: F.round(F.percentile("gap", q), 2)
-    return factor_gaps(df, a, b).groupBy(*(by or [])).agg(F.round(F.min("gap"), 2).alias("lowest"), p(0.25).alias("q1"), p(0.5).alias("median"), F.round(F.avg("gap"), 2).alias("mean"), p(0.75).alias("q3"), F.round(F.max("gap"), 2).alias("highest"))
+    return factor_gaps(df, a, b).groupBy(*(by or [])).agg(F.round(F.min("gap"), 2).alias("lowest"), p(0.25).alias("q1"), p(0.5).alias("median"), C.exact_mean("gap", 4, 2).alias("mean"), p(0.75).alias("q3"), F.round(F.max("gap"), 2).alias("highest"))
 
 
 def shape_length_ratio(shapes: DataFrame) -> DataFrame:
@@ -157,14 +158,11 @@ def fastest_option(compare: DataFrame) -> DataFrame:
     """train or flight by duration, then CO2; the one that exists if there is one alone."""
     t, f = F.col("train_duration_min"), F.col("flight_duration_min")
     train_first = (t < f) | ((t == f) & (F.col("train_emissions_co2") <= F.col("flight_emissions_co2")))
-    return compare.withColumn("fastest", F.when(f.isNull(), "train").when(t.isNull(), "flight").when(train_first, "train").otherwise("flight"))
+    return compare.withColumn("fastest", F.when(t.isNull(), "flight").when(f.isNull(), "train").when(train_first, "train").otherwise("flight"))
 
 
-def compare_candidates(rail: DataFrame, flights: DataFrame) -> DataFrame:
-    """One row for each mode that serves a city pair: the best trains and the best flights, stacked.
-
-    connections: changes on the way; a flight has one at either airport.
-    """
+def city_candidates(rail: DataFrame, flights: DataFrame) -> DataFrame:
+    """One row for each mode that serves a city pair: the best trains and the best flights, stacked."""
     keys = ["departure_city", "departure_country", "arrival_city", "arrival_country"]
     side = lambda df, m, n: df.select(*keys, F.lit(m).alias("mode"), F.lit(n).alias("connections"), *[F.col(f"{m}_{c}").alias(c) for c in ("distance_km", "duration_min", "emissions_co2")])
     return side(rail, "train", 0).unionByName(side(flights, "flight", 2))
@@ -185,7 +183,7 @@ def kpi_overview(gold: DataFrame) -> DataFrame:
     train, night = F.col("mode") == "train", F.coalesce("is_night_train", F.lit(False))
     return gold.agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(train).alias("trains"), F.count_if(~train).alias("flights"), F.round(100.0 * F.count_if(night) / F.nullif(F.count_if(train), F.lit(0)), 2).alias("night_pct"),
-        F.round(F.avg(F.when(train, F.col("emissions_co2"))), 2).alias("mean_train_co2"), F.countDistinct("departure_country").alias("countries"),
+        C.exact_mean(F.when(train, F.col("emissions_co2")), 3, 2).alias("mean_train_co2"), F.countDistinct("departure_country").alias("countries"),
         F.round(F.sum(filled) * 100.0 / (len(KPI_COLUMNS) * F.nullif(F.count(F.lit(1)), F.lit(0))), 2).alias("mean_filled_pct"),
     )
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..constants import (
@@ -12,6 +12,8 @@ from ..constants import (
     COUNTRY_NAMES, EMISSION_ROUTE_TYPES, ENERGY_USE, ENERGY_USE_ELSE, EUROPE_BOX, ISO2, MICRO_CODES, MICRO_STATES, MIN_FLIGHT_KM,
 )
 from ..functions import columns as C
+from ..sources.tables import settled
+from . import spread
 
 #: Metres of a degree of latitude, a little low so that no cell is missed.
 DEGREE_M = 111_000.0
@@ -44,13 +46,29 @@ def nearest_city(points: DataFrame, cities: DataFrame, keys: list[str], radius:
 
 
 def station_airport_match(stations: DataFrame, airports: DataFrame, radius: float = AIRPORT_RADIUS_M) -> DataFrame:
-    """The nearest airport of each station and the nearest station of each airport, distance in km."""
-    pairs = within(stations, airports.select("ident", F.col("latitude_deg").alias("lat2"), F.col("longitude_deg").alias("lon2")), radius, 1.0)
-    pairs = pairs.select("source", "stop_id", "ident", F.round(F.col("metres") / 1000.0, 2).alias("distance_km"))
-    by_station = Window.partitionBy("source", "stop_id").orderBy("distance_km", "ident")
-    by_airport = Window.partitionBy("ident").orderBy("distance_km", "source", "stop_id")
-    ranked = pairs.withColumn("s", F.row_number().over(by_station)).withColumn("a", F.row_number().over(by_airport))
-    return ranked.where("s = 1 or a = 1").drop("s", "a")
+    """The nearest airport of each station and the nearest station of each airport, distance in km.
+
+    Both sides are numbered in the order of their names, so a pair is one whole number for either end: hundredths of km,
+    then the number of the other end, which decides ties. Of these a hash aggregate keeps the least for each station and
+    each airport, on the map side first; pairs within the radius are never sorted or exchanged.
+    """
+    near = spread.numbered(stations.select("source", "stop_id", "lat", "lon"), ["source", "stop_id", "lat", "lon"], "station")
+    ports = spread.numbered(airports.select("ident", F.col("latitude_deg").alias("lat2"), F.col("longitude_deg").alias("lon2")), ["ident", "lat2", "lon2"], "airport")
+    near, ports = settled(near, "stations"), settled(ports, "airports")
+    pairs = within(near.select("station", "lat", "lon"), ports.select("airport", "lat2", "lon2"), radius, 1.0)
+    far = C.units(F.round(F.col("metres") / 1000.0, 2), 2)
+    end = lambda k, own, other: F.struct(F.lit(k).alias("side"), F.col(own).alias("own"), (F.shiftleft(far, _NUMBER_BITS) + F.col(other)).alias("pair"))
+    best = pairs.select(F.explode(F.array(end(0, "station", "airport"), end(1, "airport", "station"))).alias("x")).groupBy("x.side", "x.own").agg(F.min("x.pair").alias("pair"))
+    other, by_station = F.col("pair").bitwiseAND(2**_NUMBER_BITS - 1), F.col("side") == 0
+    found = best.select(
+        F.when(by_station, F.col("own")).otherwise(other).alias("station"), F.when(by_station, other).otherwise(F.col("own")).alias("airport"),
+        (F.shiftright("pair", _NUMBER_BITS) / 100.0).alias("distance_km"),
+    ).distinct()
+    return found.join(near, "station").join(ports, "airport").select("source", "stop_id", "ident", "distance_km")
+
+
+#: Bits of a pair for the number of a station or airport.
+_NUMBER_BITS = 40
 
 
 def with_unmatched(matched: DataFrame, stations: DataFrame, airports: DataFrame) -> DataFrame:
@@ -165,10 +183,16 @@ def emission_table(rail: DataFrame, air: DataFrame) -> DataFrame:
     return numbered.select("emission_ref", "country_code", "route_type", "g_per_pkm", detail.alias("detail")).unionByName(air, allowMissingColumns=True)
 
 
+def country_names(spark: SparkSession, own: dict[str, str] = COUNTRY_NAMES) -> DataFrame:
+    """country_code, country_name of all countries of ISO 3166, in English: those of the Java library, but for our own."""
+    java = spark._jvm.java.util.Locale
+    codes = {c: java("", c).getDisplayCountry(java.ENGLISH) for c in java.getISOCountries()}
+    return spark.createDataFrame(sorted((codes | own).items()), "country_code string, country_name string")
+
+
 def city_dimension(*places: DataFrame) -> DataFrame:
     """city_id, city_name, country_code, country_name: the cities of all places (city_name, city_country), by country and name."""
     each = [p.select("city_name", F.col("city_country").alias("country_code")).dropna() for p in places]
     rows = reduce(DataFrame.unionByName, each).distinct().where(F.length("country_code") == 2)
-    name = F.create_map(*[F.lit(x) for kv in COUNTRY_NAMES.items() for x in kv])[F.col("country_code")]
-    # A dimension: all cities of the world are some hundred thousand rows.
-    return rows.select(F.row_number().over(Window.orderBy("country_code", "city_name")).alias("city_id"), "city_name", "country_code", name.alias("country_name"))
+    ids = spread.numbered(rows, ["country_code", "city_name"], "city_id").join(F.broadcast(country_names(rows.sparkSession)), "country_code", "left")
+    return ids.select(F.col("city_id").cast("int").alias("city_id"), "city_name", "country_code", "country_name")

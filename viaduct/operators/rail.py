@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..constants import DETOUR, EXPIRED_BEFORE, RAIL_TYPES
 from ..functions import columns as C
+from . import spread
 
 TRIP = ["source", "trip_id"]
 
@@ -39,8 +40,14 @@ def stop_events(trips: DataFrame, routes: DataFrame, stop_times: DataFrame, stop
     return events_of(trip_rows(trips, routes, agency, calendar), stop_times, stops)
 
 
+def with_city(stops: DataFrame, stop_city: DataFrame, keys: tuple[str, ...] = ("source", "stop_id")) -> DataFrame:
+    """Stops with city_name and city_country of their nearest city. Cities join the few stops, not what is made of them."""
+    return stops.join(stop_city.select(*keys, "city_name", "city_country"), list(keys), "left")
+
+
 def night_stop_events(trips: DataFrame, routes: DataFrame, stop_times: DataFrame, stops: DataFrame, agencies: DataFrame, calendar: DataFrame) -> DataFrame:
-    """One row for each stop of each night train, in the columns of stop_events(). The tables have no source of their own."""
+    """One row for each stop of each night train, in the columns of stop_events() and with is_night_train. The tables have no
+    source of their own. Stops may have the columns of with_city()."""
     named = resolve_composite_ids(trips, agencies).join(routes.select("route_id", "route_short_name", "route_long_name"), "route_id", "left")
     days = calendar.select("service_id", C.days_mask().alias("days"), *[C.norm_date8(F.col(c), strict=False).alias(c) for c in ("start_date", "end_date")])
     out = named.join(stop_times.where(F.col("stop_sequence").try_cast("int").isNotNull()), "trip_id").join(stops.where("stop_lat is not null and stop_lon is not null"), "stop_id").join(days, "service_id", "left")
@@ -49,7 +56,8 @@ def night_stop_events(trips: DataFrame, routes: DataFrame, stop_times: DataFrame
         "source", "trip_id", "route_id", "service_id", "trip_short_name", "trip_headsign", F.lit(105).alias("route_type"), "route_short_name", "route_long_name", "agency_id", "agency_name",
         C.fix_timezone(F.lit(None).cast("string"), country).alias("agency_timezone"), "stop_id", "stop_name", F.col("stop_lat").cast("double").alias("stop_lat"), F.col("stop_lon").cast("double").alias("stop_lon"),
         F.lit(None).cast("string").alias("parent_station"), F.col("stop_sequence").try_cast("int").alias("stop_sequence"), C.time_part(F.col("arrival_time")).alias("arrival_time"),
-        C.time_part(F.col("departure_time")).alias("departure_time"), F.coalesce("days", F.lit("0000000")).alias("days_of_week"), "start_date", "end_date", country.alias("country"),
+        C.time_part(F.col("departure_time")).alias("departure_time"), F.coalesce("days", F.lit("0000000")).alias("days_of_week"), "start_date", "end_date", country.alias("country"), F.lit(True).alias("is_night_train"),
+        *[c for c in ("city_name", "city_country") if c in stops.columns],
     )
 
 
@@ -107,7 +115,7 @@ def clean_events(events: DataFrame) -> DataFrame:
     return cumulative_distance(drop_single_stop_trips(drop_zero_segment_trips(segment_distance(renumbered(drop_bad_coord_trips(events))))))
 
 
-STOP = ("stop_sequence", "stop_id", "stop_name", "parent_station", "departure_time", "arrival_time", "cumul_m", "country")
+STOP = ("stop_sequence", "stop_id", "stop_name", "parent_station", "departure_time", "arrival_time", "cumul_m", "country", "city_name", "co2_per_pkm")
 
 
 def od_pairs(events: DataFrame, attributes: tuple[str, ...] = ()) -> DataFrame:
@@ -168,8 +176,8 @@ def expiry_filter_with_rescue(rows: DataFrame, least_trips: int, before: int = E
 def rescue_top_recent(events: DataFrame, most: int, before: int = EXPIRED_BEFORE) -> DataFrame:
     """Fresh rows stay; of expired ones the `most` newest of each country.
 
-    Two steps, so that no country is sorted as a whole: counts by end date give the date at which the country's quota
-    runs out, and only rows of that date are ranked.
+    Counts by end date give the date at which the country's quota runs out, and only rows of that date are ranked, by ranges
+    and prefix sums, so that no country and no date is in one task.
     """
     keyed = events.withColumn("end", F.col("end_date").try_cast("int")).withColumn("fresh", F.coalesce(F.col("end") >= before, F.lit(True)))
     stale = keyed.where("not fresh")
@@ -177,8 +185,7 @@ def rescue_top_recent(events: DataFrame, most: int, before: int = EXPIRED_BEFORE
     room = stale.groupBy("country", "end").agg(F.count(F.lit(1)).alias("n")).withColumn("room", most - F.coalesce(newer, F.lit(0))).where("room > 0")
     stale = stale.join(room, ["country", "end"])
     whole, edge = stale.where("n <= room"), stale.where("n > room")
-    rank = F.row_number().over(Window.partitionBy("country", "end").orderBy("source", "trip_id", "stop_sequence", "stop_id"))
-    edge = edge.withColumn("rank", rank).where("rank <= room").drop("rank")
+    edge = spread.first_of_groups(edge, ["country", "end"], ["source", "trip_id", "stop_sequence", "stop_id"], "room")
     return keyed.where("fresh").select(*events.columns).unionByName(whole.select(*events.columns)).unionByName(edge.select(*events.columns))
 
 

@@ -51,13 +51,15 @@ def list_routes(
 
 
 def list_compare(
-    compare: DataFrame, *, departure_city: str | None = None, departure_country: str | None = None, arrival_city: str | None = None, arrival_country: str | None = None, best_mode: str | None = None,
+    compare: DataFrame, *, departure_city: str | None = None, departure_country: str | None = None, arrival_city: str | None = None, arrival_country: str | None = None, best_mode: str | None = None, days_of_week: str | None = None,
     min_train_duration: float | None = None, max_train_duration: float | None = None, min_flight_duration: float | None = None, max_flight_duration: float | None = None,
 ) -> DataFrame:
+    """Comparisons by up to 10 filters; days_of_week is a pattern of seven characters, such as `1____11`."""
     return where_all(
         compare,
         exact={"departure_country": upper(departure_country), "arrival_country": upper(arrival_country), "best_mode": best_mode},
         contains={"departure_city": departure_city, "arrival_city": arrival_city},
+        like={"days_of_week": days_of_week},
         least={"train_duration_min": min_train_duration, "flight_duration_min": min_flight_duration},
         most={"train_duration_min": max_train_duration, "flight_duration_min": max_flight_duration},
     )
@@ -75,10 +77,9 @@ def corridor(df: DataFrame, origin: str, destination: str) -> DataFrame:
 
 def day_night_compare(gold: DataFrame, origin: str, destination: str) -> DataFrame:
     """Day and night trains of a corridor, with `best`: the kind of less mean emissions, where there are both."""
-    mean = lambda c, n: F.round(F.avg(c), n)
     rows = corridor(gold.where("mode = 'train'"), origin, destination).groupBy("is_night_train").agg(
-        F.count(F.lit(1)).alias("options"), mean("distance_km", 1).alias("mean_km"), mean("co2_per_pkm", 2).alias("mean_co2_per_pkm"), mean("emissions_co2", 1).alias("mean_co2"),
-        F.round(F.min("emissions_co2"), 1).alias("least_co2"), F.round(F.max("emissions_co2"), 1).alias("most_co2"), F.min("departure_time").alias("earliest"), F.max("departure_time").alias("latest"),
+        F.count(F.lit(1)).alias("options"), C.exact_mean("distance_km", 2, 1).alias("mean_km"), C.exact_mean("co2_per_pkm", 3, 2).alias("mean_co2_per_pkm"), C.exact_mean("emissions_co2", 3, 1).alias("mean_co2"),
+        C.half_up(F.min("emissions_co2"), 1).alias("least_co2"), C.half_up(F.max("emissions_co2"), 1).alias("most_co2"), F.min("departure_time").alias("earliest"), F.max("departure_time").alias("latest"),
         F.array_join(F.array_sort(F.collect_set("agency_name")), ", ").alias("operators"),
     )
     day, night = (F.max(F.when(F.col("is_night_train") == k, F.coalesce("mean_co2", F.lit(float("inf"))))) for k in (False, True))
@@ -97,7 +98,7 @@ def stations_by_city(gold: DataFrame, country: str, city: str) -> DataFrame:
 
 def airports_by_city(gold: DataFrame, country: str, city: str) -> DataFrame:
     rows = list_routes(gold, mode="flight", departure_country=country, departure_city=city).where("departure_station is not null")
-    return rows.groupBy(F.col("departure_station").alias("airport")).agg(F.count(F.lit(1)).alias("flights"), F.countDistinct("arrival_city").alias("destinations"), F.countDistinct("arrival_country").alias("countries"), F.round(F.avg("distance_km"), 1).alias("mean_km"))
+    return rows.groupBy(F.col("departure_station").alias("airport")).agg(F.count(F.lit(1)).alias("flights"), F.countDistinct("arrival_city").alias("destinations"), F.countDistinct("arrival_country").alias("countries"), C.exact_mean("distance_km", 2, 1).alias("mean_km"))
 
 
 def highest_factors(gold: DataFrame, country: str | None = None) -> DataFrame:
@@ -145,13 +146,13 @@ def day_night_coverage(gold: DataFrame) -> DataFrame:
     rows = gold.where("mode = 'train'")
     return rows.groupBy("departure_country", "is_night_train").agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct("agency_name").alias("agencies"), F.countDistinct("departure_city").alias("cities"),
-        F.countDistinct("arrival_country").alias("countries"), F.round(F.avg("distance_km"), 1).alias("mean_km"),
+        F.countDistinct("arrival_country").alias("countries"), C.exact_mean("distance_km", 2, 1).alias("mean_km"),
     )
 
 
 def day_night_emissions(gold: DataFrame) -> DataFrame:
     night = F.col("is_night_train")
-    mean = lambda test, c: F.round(F.avg(F.when(test, F.col(c))), 2)
+    mean = lambda test, c: C.exact_mean(F.when(test, F.col(c)), 3, 2)
     out = gold.where("mode = 'train'").groupBy("departure_country").agg(
         mean(night, "emissions_co2").alias("night_co2"), mean(~night, "emissions_co2").alias("day_co2"), F.count_if(night).alias("n_night"), F.count_if(~night).alias("n_day")
     )
@@ -160,7 +161,7 @@ def day_night_emissions(gold: DataFrame) -> DataFrame:
 
 def day_night_summary(gold: DataFrame) -> DataFrame:
     return gold.where("mode = 'train'").groupBy("is_night_train").agg(
-        F.countDistinct(F.struct("departure_station", "arrival_station")).alias("pairs"), F.round(F.avg("distance_km"), 1).alias("mean_km"), F.round(F.percentile("distance_km", 0.5), 2).alias("median_km"), F.count(F.lit(1)).alias("n")
+        F.countDistinct(F.struct("departure_station", "arrival_station")).alias("pairs"), C.exact_mean("distance_km", 2, 1).alias("mean_km"), F.round(F.percentile("distance_km", 0.5), 2).alias("median_km"), F.count(F.lit(1)).alias("n")
     )
 
 
@@ -199,40 +200,72 @@ def compare_coverage(gold: DataFrame, compare: DataFrame) -> DataFrame:
 
 
 def quality_summary(gold: DataFrame, compare: DataFrame) -> DataFrame:
-    """All figures of both tables with one scan each, as rows of name and value."""
-    c = lambda test: F.count_if(F.coalesce(test, F.lit(False)))
-    train = F.col("mode") == "train"
-    a = {
-        "rows": F.count(F.lit(1)), "trains": c(train), "flights": c(~train), "nights": c(F.col("is_night_train")), "countries": F.countDistinct("departure_country"), "cities": F.countDistinct("departure_city"),
-        "stations": F.countDistinct(F.when(train, F.col("departure_station"))), "airports": F.countDistinct(F.when(~train, F.col("departure_station"))), "agencies": F.countDistinct("agency_name"),
-        "no_co2": c(F.col("emissions_co2").isNull()), "no_city": c(F.col("departure_city").isNull()), "no_days": c(train & F.col("days_of_week").isNull()), "zero_km": c(F.col("distance_km") <= 0),
-    }
-    b = {"compared": F.count(F.lit(1)), "train_best": c(F.col("best_mode") == "train"), "flight_best": c(F.col("best_mode") == "flight"), "train_only": c(F.col("flight_emissions_co2").isNull()), "flight_only": c(F.col("train_emissions_co2").isNull())}
-    rows = lambda df, m: df.agg(*[v.cast("long").alias(k) for k, v in m.items()]).select(F.explode(F.map_from_arrays(F.array(*map(F.lit, m)), F.array(*m))).alias("name", "value"))
-    return rows(gold, a).unionByName(rows(compare, b))
+    """The 19 figures of both tables in one row, with one scan of each."""
+    n, train = F.count(F.lit(1)), F.col("mode") == "train"
+    night = F.col("is_night_train")
+    routes = gold.agg(
+        n.alias("total_routes"), F.count_if(train).alias("total_train"), F.count_if(F.col("mode") == "flight").alias("total_flight"),
+        *[F.countDistinct(c).alias(k) for k, c in DISTINCT_FIGURES.items()],
+        F.count_if(train & night).alias("night_train_routes"), F.count_if(train & ~night).alias("day_train_routes"), F.count_if(train & night.isNull()).alias("unclassified_routes"),
+        *[share(F.count(c), n).alias(k) for k, c in FILLED_FIGURES.items()],
+    )
+    wins = compare.agg(n.alias("total_comparisons"), *[F.count_if(F.col("best_mode") == m).alias(f"{m}_wins_total") for m in ("train", "flight")])
+    return routes.crossJoin(wins)
 
 
-def ends(gold: DataFrame) -> DataFrame:
-    return gold.where("departure_city is not null").select(F.col("departure_city").alias("city"), F.col("departure_country").alias("country"), F.col("departure_station").alias("station"), "mode", "is_night_train", "agency_name", "arrival_city", "arrival_country", "distance_km")
+DISTINCT_FIGURES = {"countries_departure": "departure_country", "countries_arrival": "arrival_country", "unique_dep_cities": "departure_city", "unique_arr_cities": "arrival_city", "unique_agencies": "agency_name"}
+FILLED_FIGURES = {
+    "distance_completeness_pct": "distance_km", "emissions_completeness_pct": "emissions_co2", "schedule_completeness_pct": "days_of_week",
+    "dep_city_completeness_pct": "departure_city", "arr_city_completeness_pct": "arrival_city",
+}
 
 
-def list_cities(gold: DataFrame, has_airport: bool | None = None) -> DataFrame:
-    out = ends(gold).groupBy("city", "country").agg(F.countDistinct("station").alias("stations"), F.count_if(F.col("mode") == "train").alias("trains"), F.count_if(F.col("mode") == "flight").alias("flights"), F.countDistinct("arrival_city").alias("destinations"))
-    return out if has_airport is None else out.where((F.col("flights") > 0) == has_airport)
+def list_cities(gold: DataFrame, country: str | None = None, search: str | None = None, has_station: bool | None = None, has_airport: bool | None = None) -> DataFrame:
+    """Figures of each departure city. Stations are places of departure of either mode; nights are trips of night trains."""
+    rows = where_all(gold.where("departure_city is not null"), exact={"departure_country": upper(country)}, contains={"departure_city": search})
+    night = F.when((F.col("mode") == "train") & F.col("is_night_train"), F.col("trip_id"))
+    out = rows.groupBy(F.col("departure_city").alias("city"), F.col("departure_country").alias("country")).agg(
+        F.countDistinct("departure_station").alias("stations"), F.count_if(F.col("mode") == "train").alias("trains"), F.count_if(F.col("mode") == "flight").alias("flights"),
+        F.countDistinct(night).alias("nights"), F.countDistinct("arrival_city").alias("destinations"),
+    )
+    out = out.withColumn("has_station", F.col("stations") > 0).withColumn("has_airport", F.col("flights") > 0)
+    return where_all(out, exact={"has_station": has_station, "has_airport": has_airport})
 
 
-def list_stations(gold: DataFrame, mode: str) -> DataFrame:
+def list_stations(gold: DataFrame, mode: str, city: str | None = None, country: str | None = None, search: str | None = None) -> DataFrame:
+    """Figures of each station (train) or airport (flight): departures by day and night, what can be reached, operators."""
     night = F.coalesce("is_night_train", F.lit(False))
-    rows = gold.where(F.col("mode") == mode)
-    return rows.groupBy(F.col("departure_station").alias("station"), F.col("departure_country").alias("country")).agg(
-        F.count(F.lit(1)).alias("departures"), F.countDistinct("arrival_station").alias("destinations"), F.countDistinct("arrival_country").alias("countries"),
-        F.count_if(night).alias("nights"), F.round(F.avg("distance_km"), 1).alias("mean_km"), F.array_join(F.array_sort(F.collect_set("agency_name")), ", ").alias("operators"),
+    rows = where_all(gold.where((F.col("mode") == mode) & F.col("departure_station").isNotNull()), exact={"departure_country": upper(country)}, contains={"departure_city": city, "departure_station": search})
+    place = {"station": "departure_station", "city": "departure_city", "country": "departure_country", "parent_station": "departure_parent_station"}
+    return rows.groupBy(*[F.col(c).alias(k) for k, c in place.items()]).agg(
+        F.count(F.lit(1)).alias("departures"), F.countDistinct("arrival_city").alias("destinations"), F.countDistinct("arrival_station").alias("stops"), F.countDistinct("arrival_country").alias("countries"),
+        F.count_if(night).alias("nights"), F.count_if(~night).alias("days"), C.exact_mean("distance_km", 2, 1).alias("mean_km"), F.array_join(F.array_sort(F.collect_set("agency_name")), ", ").alias("operators"),
     )
 
 
+def route_detail(routes: DataFrame, trip_id: str, source: str | None = None, departure_country: str | None = None) -> DataFrame:
+    """All connections of a trip by departure time. On a table in buckets of trip_id one bucket is read."""
+    return where_all(routes, exact={"trip_id": trip_id, "source": source, "departure_country": upper(departure_country)}).orderBy("departure_time", "distance_km", "arrival_station")
+
+
+CARBON = ("source", "trip_id", "mode", "departure_city", "arrival_city", "departure_country", "arrival_country", "distance_km", "co2_per_pkm", "emissions_co2", "is_night_train")
+
+
+def carbon_trip(routes: DataFrame, trip_id: str, source: str | None = None, departure_country: str | None = None) -> DataFrame:
+    """The emissions of each connection of a trip, by departure time."""
+    return route_detail(routes, trip_id, source, departure_country).select(*CARBON)
+
+
+def routes_from(gold: DataFrame, countries: DataFrame) -> DataFrame:
+    """Connections that leave from the countries of a table (country_code). With a gold table that lies in folders by
+    departure country, Spark reads only the folders that the table turns out to name."""
+    codes = countries.select(F.col("country_code").alias("departure_country"))
+    return gold.join(codes, "departure_country", "left_semi").select(*gold.columns)
+
+
 def stats_operators(gold: DataFrame) -> DataFrame:
     rows = gold.where("mode = 'train' and agency_name is not null")
-    return rows.groupBy("agency_name").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("trip_id").alias("trips"), F.round(F.sum("distance_km"), 2).alias("km"), F.round(F.avg("co2_per_pkm"), 2).alias("mean_co2_per_pkm"))
+    return rows.groupBy("agency_name").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("trip_id").alias("trips"), C.exact_sum("distance_km", 2, 2).alias("km"), C.exact_mean("co2_per_pkm", 3, 2).alias("mean_co2_per_pkm"))
 
 
 def stats_distances(gold: DataFrame, bucket: int) -> DataFrame:
@@ -242,7 +275,7 @@ def stats_distances(gold: DataFrame, bucket: int) -> DataFrame:
 def emissions_by_distance(gold: DataFrame) -> DataFrame:
     """Mean emissions by bands of 100 km, one column for each mode."""
     band = (F.floor(F.col("distance_km") / 100) * 100).cast("long").alias("from_km")
-    return gold.groupBy(band).pivot("mode", ["train", "flight"]).agg(F.round(F.avg("emissions_co2"), 1))
+    return gold.groupBy(band).agg(*[C.exact_mean(F.when(F.col("mode") == m, F.col("emissions_co2")), 3, 1).alias(m) for m in ("train", "flight")])
 
 
 def country_balance_two_sided(gold: DataFrame, n: int) -> DataFrame:
@@ -256,7 +289,7 @@ def carbon_estimate(compare: DataFrame, origin: str | None = None, destination:
     figures = []
     for m in ("train", "flight"):
         co2 = f"{m}_emissions_co2"
-        figures += [F.count(co2).alias(f"n_{m}"), F.round(F.avg(f"{m}_distance_km"), 1).alias(f"{m}_km"), F.round(F.avg(f"{m}_duration_min"), 1).alias(f"{m}_min"), F.round(F.avg(co2), 1).alias(f"{m}_co2"), F.round(F.min(co2), 1).alias(f"{m}_co2_least"), F.round(F.max(co2), 1).alias(f"{m}_co2_most")]
+        figures += [F.count(co2).alias(f"n_{m}"), C.exact_mean(f"{m}_distance_km", 2, 1).alias(f"{m}_km"), C.exact_mean(f"{m}_duration_min", 1, 1).alias(f"{m}_min"), C.exact_mean(co2, 3, 1).alias(f"{m}_co2"), C.half_up(F.min(co2), 1).alias(f"{m}_co2_least"), C.half_up(F.max(co2), 1).alias(f"{m}_co2_most")]
     out = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("corridors"), *figures, F.mode("best_mode", True).alias("best_mode"))
-    saving = F.when(F.col("flight_co2") > 0, F.round((1 - F.col("train_co2") / F.col("flight_co2")) * 100, 1))
+    saving = F.when(F.col("flight_co2") > 0, F.floor((1 - F.col("train_co2") / F.col("flight_co2")) * 1000.0 + 0.500001) / 10.0)
     return out.withColumn("co2_saving_pct", saving)

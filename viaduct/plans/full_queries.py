@@ -13,7 +13,7 @@ from ..functions import columns as C
 from ..operators import audit, extra, gold, places, rail, serve
 from ..sources import files
 from ..sources.tables import shared_dir
-from .rail_queries import CITY, EVENT, MASK, STEPS, Data, hav, lookup, query
+from .rail_queries import CITY, EVENT, MASK, STEPS, Data, half_up, hav, lookup, mean, query, total
 from .serve_queries import compare, pct
 
 STEPS["s_city_table"] = f"SELECT CAST(row_number() OVER (ORDER BY city_country, city_name) AS INTEGER) AS city_id, city_name, city_country AS country_code, {lookup('city_country', K.COUNTRY_NAMES)} AS country_name FROM (SELECT city_name, city_country FROM s_stop_city UNION SELECT city_name, city_country FROM s_airport_city) WHERE length(city_country) = 2"
@@ -76,7 +76,7 @@ def written_gold(d: Data) -> DataFrame:
     out = place(d, "gold-partitioned")
     files.write_gold_partitioned(d.gold(), out)
     rows = d.spark.read.parquet(out)
-    return rows.groupBy(F.col("country_partition").cast("string").alias("country_partition"), "departure_country").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("distance_km"), 1).alias("km"))
+    return rows.groupBy(F.col("country_partition").cast("string").alias("country_partition"), "departure_country").agg(F.count(F.lit(1)).alias("n"), C.exact_sum("distance_km", 2, 1).alias("km"))
 
 
 def written_database(d: Data) -> DataFrame:
@@ -101,7 +101,7 @@ query("read_json_records", written_json, "SELECT entity_code, CAST(date AS BIGIN
 query("load_feed_table", written_feeds, "SELECT source, route_id, route_type, CASE WHEN source = 'FR/feed-0' THEN lower(trim(trim(trim(route_long_name), '\"'))) END AS route_long_name FROM v_routes WHERE source IN ('FR/feed-0', 'DE/feed-1')")
 query("align_schema", lambda d: files.align_schema(d.routes.select("route_id", "route_type", "route_short_name"), {"route_id": "string", "route_type": "int", "route_short_name": "int", "route_color": "string"}), "SELECT route_id, TRY_CAST(route_type AS INTEGER) AS route_type, TRY_CAST(route_short_name AS INTEGER) AS route_short_name, CAST(NULL AS VARCHAR) AS route_color FROM v_routes")
 query("write_star", written_star, "SELECT 'trips' AS \"table\", count(*) AS n FROM s_timetable UNION ALL SELECT 'cities', count(*) FROM s_city_table")
-query("write_gold_partitioned", written_gold, f"SELECT CASE WHEN departure_country IN {K.GOLD_COUNTRIES} THEN departure_country ELSE '{K.OTHER_COUNTRY}' END AS country_partition, coalesce(departure_country, '{K.OTHER_COUNTRY}') AS departure_country, count(*) AS n, round(sum(distance_km), 1) AS km FROM s_gold GROUP BY 1, 2")
+query("write_gold_partitioned", written_gold, f"SELECT CASE WHEN departure_country IN {K.GOLD_COUNTRIES} THEN departure_country ELSE '{K.OTHER_COUNTRY}' END AS country_partition, coalesce(departure_country, '{K.OTHER_COUNTRY}') AS departure_country, count(*) AS n, {total('distance_km', 2, 1)} AS km FROM s_gold GROUP BY 1, 2")
 _LOADED = "source, trip_id, departure_country, arrival_country, route_type, is_night_train, distance_km"
 query("final_load_clean", lambda d: files.final_load_clean(d.gold().select(*_LOADED.split(", "))), f"SELECT source, trip_id, coalesce(upper(trim(departure_country)), 'XX') AS departure_country, coalesce(upper(trim(arrival_country)), 'XX') AS arrival_country, TRY_CAST(route_type AS SMALLINT) AS route_type, coalesce(is_night_train, false) AS is_night_train, distance_km FROM s_gold WHERE trip_id IS NOT NULL")
 query("write_jdbc", written_database, "SELECT CAST(f AS BIGINT) AS f, source FROM v_feeds UNION ALL SELECT CAST(f + 100 AS BIGINT), source FROM v_feeds")
@@ -201,20 +201,27 @@ query("city_dimension", city_table, "SELECT * FROM s_city_table")
 query("replace_with_fk", lambda d: extra.replace_both_ends(d.layer("flown"), city_keys(d)).select("origin_id", "dest_id", "emission_ref", "distance_km", "origin_city_id", "dest_city_id"),
       "SELECT origin_id, dest_id, emission_ref, distance_km, o.city_id AS origin_city_id, d.city_id AS dest_city_id FROM s_flown LEFT JOIN s_city_table o ON o.city_name = origin_city AND o.country_code = origin_country LEFT JOIN s_city_table d ON d.city_name = dest_city AND d.country_code = dest_country")
 query("replace_with_fk_events", lambda d: extra.with_emission_ref(d.events_all(), places.emission_table(d.rail_price(), places.air_factor_table(places.air_factor_base(d.air_factors)))).select(*EVENT.split(", "), "emission_ref"), f"SELECT {EVENT}, emission_ref FROM s_events LEFT JOIN s_emission ON country_code = country AND s_emission.route_type = s_events.route_type")
-query("gold_train_mapped", lambda d: gold.gold_train(d.clean(), d.any_city(), d.rail_price(), prefer_mapped=True).groupBy("departure_country", "arrival_country").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("distance_km"), 1).alias("km")),
-      """SELECT departure_country, arrival_country, count(*) AS n, round(sum(distance_km), 1) AS km FROM (
+query("gold_train_mapped", lambda d: gold.gold_train(d.clean(), d.rail_price(), prefer_mapped=True).groupBy("departure_country", "arrival_country").agg(F.count(F.lit(1)).alias("n"), C.exact_sum("distance_km", 2, 1).alias("km")),
+      f"""SELECT departure_country, arrival_country, count(*) AS n, {total('distance_km', 2, 1)} AS km FROM (
         SELECT coalesce(d.city_country, dep_country) AS departure_country, coalesce(a.city_country, arr_country) AS arrival_country, arg_min(distance_km, row(p.trip_id, distance_km)) AS distance_km
         FROM s_pairs p JOIN (SELECT source, trip_id, min(route_type) AS route_type FROM s_clean GROUP BY 1, 2) t USING (source, trip_id)
         LEFT JOIN s_any_city d ON d.source = p.source AND d.stop_id = dep_stop_id LEFT JOIN s_any_city a ON a.source = p.source AND a.stop_id = arr_stop_id
         GROUP BY p.source, dep_stop_name, d.city_name, 1, dep_parent_station, dep_departure_time, arr_stop_name, a.city_name, 2, arr_parent_station, arr_arrival_time, t.route_type) GROUP BY 1, 2""")
 query("ref_cities", lambda d: extra.insert_if_absent(d.cities.where("country_code in ('FR', 'DE', 'CH')").select(F.col("asciiname").alias("city"), F.col("country_code").alias("country")).distinct(), d.gold().where("departure_city is not null").select(F.col("departure_city").alias("city"), F.col("departure_country").alias("country")), ["city", "country"]),
       "SELECT asciiname AS city, country_code AS country FROM v_cities WHERE country_code IN ('FR', 'DE', 'CH') UNION SELECT departure_city, departure_country FROM s_gold WHERE departure_city IS NOT NULL")
-query("compare_candidates", lambda d: extra.compare_candidates(gold.train_city_pairs(d.layer("train")), gold.best_flight_per_city_pair(gold.train_city_pairs(d.layer("train")).select(*gold.CITY_PAIR), d.access(), d.layer("flown"))),
-      f"SELECT {CITY}, 'train' AS mode, 0 AS connections, train_distance_km AS distance_km, train_duration_min AS duration_min, train_emissions_co2 AS emissions_co2 FROM s_rail_best UNION ALL SELECT {CITY}, 'flight', 2, flight_distance_km, flight_duration_min, flight_emissions_co2 FROM s_city_flights")
-query("fastest_option_ranked", lambda d: extra.ranked_options(extra.compare_candidates(gold.train_city_pairs(d.layer("train")), gold.best_flight_per_city_pair(gold.train_city_pairs(d.layer("train")).select(*gold.CITY_PAIR), d.access(), d.layer("flown"))), list(gold.CITY_PAIR)).where("rank = 1").select(*gold.CITY_PAIR, "mode"),
-      f"SELECT {CITY}, mode FROM (SELECT {CITY}, 'train' AS mode, 0 AS connections, train_duration_min AS m, train_emissions_co2 AS e FROM s_rail_best UNION ALL SELECT {CITY}, 'flight', 2, flight_duration_min, flight_emissions_co2 FROM s_city_flights) QUALIFY row_number() OVER (PARTITION BY {CITY} ORDER BY m NULLS LAST, connections, e NULLS LAST, mode DESC) = 1")
+_CHOICE = "SELECT {0}, 'train' AS mode, 0 AS connections, train_duration_min AS m, train_emissions_co2 AS e FROM s_rail_best UNION ALL SELECT {0}, 'flight', 2, flight_duration_min, flight_emissions_co2 FROM s_city_flights".format(CITY)
+
+
+def city_options(d: Data) -> DataFrame:
+    best = gold.train_city_pairs(d.layer("train"))
+    return extra.ranked_options(extra.city_candidates(best, gold.best_flight_per_city_pair(best, d.access(), d.layer("flown"))), list(gold.CITY_PAIR))
+
+
+query("fastest_option_ranked", lambda d: city_options(d).where("rank = 1").select(*gold.CITY_PAIR, "mode"), f"SELECT {CITY}, mode FROM ({_CHOICE}) QUALIFY row_number() OVER (PARTITION BY {CITY} ORDER BY m NULLS LAST, connections, e NULLS LAST, mode DESC) = 1")
 
 # ---- serving
+#: A country whose airports have cities.
+AIRPORTS_SHOWN = "ES"
 _ROUTES = "SELECT * FROM s_gold WHERE mode = 'train' AND source = 'FR/feed-0' AND departure_country = 'FR' AND arrival_country = 'FR' AND contains(lower(departure_station), 'supplier') AND contains(lower(agency_name), 'operator') AND NOT is_night_train AND days_of_week LIKE '1%' AND distance_km BETWEEN 100 AND 2000 AND emissions_co2 BETWEEN 1 AND 100000 AND service_start_date >= '20220101' AND service_end_date <= '20261231'"
 _CHOSEN = {"mode": "train", "source": "FR/feed-0", "departure_country": "fr", "arrival_country": "fr", "departure_station": "Supplier", "agency_name": "operator", "is_night_train": False, "days_of_week": "1%", "min_distance_km": 100, "max_distance_km": 2000, "min_co2": 1, "max_co2": 100000, "service_start_after": "2022-01-01", "service_end_before": "2026-12-31"}
 query("list_routes", lambda d: serve.list_routes(d.gold(), **_CHOSEN), _ROUTES)
@@ -222,26 +229,29 @@ _BY = ["distance_km", *K.GOLD_COLUMNS[:2], "departure_station", "arrival_station
 query("list_routes_total", lambda d: serve.counted_page(serve.list_routes(d.gold(), **_CHOSEN).select(*_BY), [F.col(c).asc_nulls_last() for c in _BY], 1, 20), f"SELECT {', '.join(_BY)}, (SELECT count(*) FROM ({_ROUTES})) AS total FROM ({_ROUTES}) ORDER BY {', '.join(c + ' NULLS LAST' for c in _BY)} LIMIT 20")
 _COMPARED = "SELECT * FROM s_compare WHERE best_mode = 'train' AND contains(lower(departure_city), 'city') AND train_duration_min BETWEEN 10 AND 3000"
 query("list_compare", lambda d: serve.list_compare(compare(d), best_mode="train", departure_city="City", min_train_duration=10, max_train_duration=3000), _COMPARED)
+query("list_compare_days", lambda d: serve.list_compare(compare(d), days_of_week="1_____1", departure_country="fr", max_flight_duration=2000), "SELECT * FROM s_compare WHERE days_of_week LIKE '1_____1' AND departure_country = 'FR' AND flight_duration_min <= 2000")
 query("list_compare_total", lambda d: serve.counted_page(serve.list_compare(compare(d), best_mode="train", departure_city="City", min_train_duration=10, max_train_duration=3000).select(*CITY.split(", ")), CITY.split(", "), 2, 10), f"SELECT {CITY}, (SELECT count(*) FROM ({_COMPARED})) AS total FROM ({_COMPARED}) ORDER BY {CITY} LIMIT 10 OFFSET 10")
 _DAY_NIGHT = "departure_city, departure_country, arrival_city, arrival_country, agency_name, route_long_name, is_night_train, days_of_week, departure_time, arrival_time, distance_km, co2_per_pkm, emissions_co2"
 query("day_night_routes", lambda d: serve.day_night_routes(d.gold(), is_night_train=True, min_distance_km=50), f"SELECT {_DAY_NIGHT} FROM s_gold WHERE mode = 'train' AND is_night_train AND distance_km >= 50")
 _PAGE = _DAY_NIGHT.split(", ")
 _ORDERED = ["departure_country", "is_night_train", "departure_time", *[c for c in _PAGE if c not in ("departure_country", "is_night_train", "departure_time")]]
 query("day_night_routes_page", lambda d: serve.counted_page(serve.day_night_routes(d.gold(), departure_country="DE"), [F.col(c).asc_nulls_last() for c in _ORDERED], 1, 50), f"SELECT {_DAY_NIGHT}, (SELECT count(*) FROM s_gold WHERE mode = 'train' AND departure_country = 'DE') AS total FROM s_gold WHERE mode = 'train' AND departure_country = 'DE' ORDER BY {', '.join(c + ' NULLS LAST' for c in _ORDERED)} LIMIT 50")
+_CORRIDOR = f"""SELECT is_night_train, count(*) AS options, {mean('distance_km', 2, 1)} AS mean_km, {mean('co2_per_pkm', 3, 2)} AS mean_co2_per_pkm, {mean('emissions_co2', 3, 1)} AS mean_co2, {half_up('min(emissions_co2)', 1)} AS least_co2,
+      {half_up('max(emissions_co2)', 1)} AS most_co2, min(departure_time) AS earliest, max(departure_time) AS latest, coalesce(string_agg(DISTINCT agency_name, ', ' ORDER BY agency_name), '') AS operators
+      FROM s_gold WHERE mode = 'train' AND contains(lower(departure_city), 'city') AND contains(lower(arrival_city), 'city') GROUP BY 1"""
 query("day_night_compare", lambda d: serve.day_night_compare(d.gold(), "City", "City"),
-      """SELECT *, CASE WHEN (SELECT count(*) FROM x) = 2 THEN CASE WHEN (SELECT mean_co2 FROM x WHERE NOT is_night_train) <= (SELECT mean_co2 FROM x WHERE is_night_train) THEN 'day' ELSE 'night' END END AS best FROM (SELECT is_night_train, count(*) AS options, round(avg(distance_km), 1) AS mean_km, round(avg(co2_per_pkm), 2) AS mean_co2_per_pkm, round(avg(emissions_co2), 1) AS mean_co2, round(min(emissions_co2), 1) AS least_co2, round(max(emissions_co2), 1) AS most_co2, min(departure_time) AS earliest, max(departure_time) AS latest, coalesce(string_agg(DISTINCT agency_name, ', ' ORDER BY agency_name), '') AS operators
-      FROM s_gold WHERE mode = 'train' AND contains(lower(departure_city), 'city') AND contains(lower(arrival_city), 'city') GROUP BY 1) x""".replace("FROM x", "FROM (SELECT is_night_train, round(avg(emissions_co2), 1) AS mean_co2 FROM s_gold WHERE mode = 'train' AND contains(lower(departure_city), 'city') AND contains(lower(arrival_city), 'city') GROUP BY 1) y"))
+      f"SELECT *, CASE WHEN (SELECT count(*) FROM ({_CORRIDOR})) = 2 THEN CASE WHEN (SELECT mean_co2 FROM ({_CORRIDOR}) WHERE NOT is_night_train) <= (SELECT mean_co2 FROM ({_CORRIDOR}) WHERE is_night_train) THEN 'day' ELSE 'night' END END AS best FROM ({_CORRIDOR})")
 query("stations_by_city", lambda d: serve.stations_by_city(d.gold(), "fr", "City"), "SELECT departure_station AS station, departure_parent_station AS parent_station, count(*) AS departures, count(DISTINCT arrival_city) AS destinations, count(DISTINCT agency_name) AS n_operators, coalesce(string_agg(DISTINCT agency_name, ', ' ORDER BY agency_name), '') AS operators, count(*) FILTER (is_night_train) AS nights, count(*) FILTER (NOT is_night_train) AS days FROM s_gold WHERE mode = 'train' AND departure_country = 'FR' AND contains(lower(departure_city), 'city') GROUP BY 1, 2")
-query("airports_by_city", lambda d: serve.airports_by_city(d.gold(), "DE", "City"), "SELECT departure_station AS airport, count(*) AS flights, count(DISTINCT arrival_city) AS destinations, count(DISTINCT arrival_country) AS countries, round(avg(distance_km), 1) AS mean_km FROM s_gold WHERE mode = 'flight' AND departure_country = 'DE' AND contains(lower(departure_city), 'city') GROUP BY 1")
-_ESTIMATE = ", ".join(f"count({m}_emissions_co2) AS n_{m}, round(avg({m}_distance_km), 1) AS {m}_km, round(avg({m}_duration_min), 1) AS {m}_min, round(avg({m}_emissions_co2), 1) AS {m}_co2, round(min({m}_emissions_co2), 1) AS {m}_co2_least, round(max({m}_emissions_co2), 1) AS {m}_co2_most" for m in ("train", "flight"))
+query("airports_by_city", lambda d: serve.airports_by_city(d.gold(), AIRPORTS_SHOWN, "City"), f"SELECT departure_station AS airport, count(*) AS flights, count(DISTINCT arrival_city) AS destinations, count(DISTINCT arrival_country) AS countries, {mean('distance_km', 2, 1)} AS mean_km FROM s_gold WHERE mode = 'flight' AND departure_country = '{AIRPORTS_SHOWN}' AND contains(lower(departure_city), 'city') GROUP BY 1")
+_ESTIMATE = ", ".join(f"count({m}_emissions_co2) AS n_{m}, {mean(f'{m}_distance_km', 2, 1)} AS {m}_km, {mean(f'{m}_duration_min', 1, 1)} AS {m}_min, {mean(f'{m}_emissions_co2', 3, 1)} AS {m}_co2, {half_up(f'min({m}_emissions_co2)', 1)} AS {m}_co2_least, {half_up(f'max({m}_emissions_co2)', 1)} AS {m}_co2_most" for m in ("train", "flight"))
 _MODE = "CASE WHEN count(*) FILTER (best_mode = 'flight') >= count(*) FILTER (best_mode = 'train') THEN 'flight' ELSE 'train' END AS best_mode"
-_SAVED = "CASE WHEN flight_co2 > 0 THEN round((1 - train_co2 / flight_co2) * 100, 1) END AS co2_saving_pct"
+_SAVED = "CASE WHEN flight_co2 > 0 THEN floor((1 - train_co2 / flight_co2) * CAST(1000 AS DOUBLE) + CAST(0.500001 AS DOUBLE)) / CAST(10 AS DOUBLE) END AS co2_saving_pct"
 query("carbon_estimate", lambda d: serve.carbon_estimate(compare(d), "City 1", "City"), f"SELECT *, {_SAVED} FROM (SELECT count(*) AS corridors, {_ESTIMATE}, {_MODE} FROM s_compare WHERE contains(lower(departure_city), 'city 1') AND contains(lower(arrival_city), 'city'))")
 query("carbon_estimate_by_country", lambda d: serve.carbon_estimate(compare(d), by=("departure_country",)), f"SELECT *, {_SAVED} FROM (SELECT departure_country, count(*) AS corridors, {_ESTIMATE}, {_MODE} FROM s_compare GROUP BY 1)")
 query("coverage_cities_both", lambda d: serve.coverage_cities(d.gold(), "both", 30), "SELECT departure_city AS city, departure_country AS country, count(*) AS n, count(DISTINCT arrival_country) AS other_countries FROM s_gold WHERE departure_city IS NOT NULL GROUP BY 1, 2 ORDER BY n DESC, city, country LIMIT 30")
 query("max_factor_by_label", lambda d: serve.highest_factors(d.gold()), "SELECT departure_country AS label, max(co2_per_pkm) AS highest FROM s_gold GROUP BY 1")
 query("max_factor_day_night", lambda d: serve.highest_factors(d.gold(), "fr"), "SELECT CASE WHEN is_night_train THEN 'night' ELSE 'day' END AS label, max(co2_per_pkm) AS highest FROM s_gold WHERE mode = 'train' AND departure_country = 'FR' GROUP BY 1")
-query("kpi_overview", lambda d: extra.kpi_overview(d.gold()), f"SELECT count(*) AS rows, count(*) FILTER (mode = 'train') AS trains, count(*) FILTER (mode <> 'train') AS flights, {pct('count(*) FILTER (is_night_train)', "count(*) FILTER (mode = 'train')")} AS night_pct, round(avg(emissions_co2) FILTER (mode = 'train'), 2) AS mean_train_co2, count(DISTINCT departure_country) AS countries, round(({' + '.join(f'count({c})' for c in extra.KPI_COLUMNS)}) * CAST(100 AS DOUBLE) / (5 * count(*)), 2) AS mean_filled_pct FROM s_gold")
+query("kpi_overview", lambda d: extra.kpi_overview(d.gold()), f"SELECT count(*) AS rows, count(*) FILTER (mode = 'train') AS trains, count(*) FILTER (mode <> 'train') AS flights, {pct('count(*) FILTER (is_night_train)', "count(*) FILTER (mode = 'train')")} AS night_pct, {mean('emissions_co2', 3, 2, "FILTER (mode = 'train')")} AS mean_train_co2, count(DISTINCT departure_country) AS countries, round(({' + '.join(f'count({c})' for c in extra.KPI_COLUMNS)}) * CAST(100 AS DOUBLE) / (5 * count(*)), 2) AS mean_filled_pct FROM s_gold")
 query("global_coverage_kpi", lambda d: serve.compare_coverage(d.gold(), compare(d)).agg(F.sum("compared").alias("compared"), F.sum("trips").alias("trips"), F.round(100.0 * F.sum("compared") / F.sum("trips"), 2).alias("compared_pct")).crossJoin(d.gold().agg(F.count_if(F.col("emissions_co2").isNull()).alias("no_co2"))),
       "SELECT CAST(sum(compared) AS BIGINT) AS compared, CAST(sum(trips) AS BIGINT) AS trips, round(CAST(100 AS DOUBLE) * sum(compared) / sum(trips), 2) AS compared_pct, (SELECT count(*) FROM s_gold WHERE emissions_co2 IS NULL) AS no_co2 FROM (SELECT trips, coalesce(compared, 0) AS compared FROM (SELECT departure_country, count(DISTINCT trip_id) AS trips FROM s_gold WHERE mode = 'train' GROUP BY 1) LEFT JOIN (SELECT departure_country, count(*) AS compared FROM s_compare GROUP BY 1) USING (departure_country))")
 
@@ -276,7 +286,7 @@ def kinds(d: Data) -> DataFrame:
 query("value_kinds", kinds, 'SELECT tab AS "table", col AS "column", kind AS type FROM s_kinds WHERE kind IS NOT NULL')
 query("type_conflicts", lambda d: extra.type_conflicts(kinds(d).unionByName(audit.value_kinds(d.night_stops.select(F.col("stop_country").alias("stop_id"), F.lit("1").alias("route_id")), "night"))), "SELECT col AS \"column\", string_agg(DISTINCT kind, ',' ORDER BY kind) AS types, count(DISTINCT tab) AS tables FROM (SELECT * FROM s_kinds UNION ALL SELECT DISTINCT 'night', 'stop_id', 'string' FROM v_night_stops UNION ALL SELECT DISTINCT 'night', 'route_id', 'int' FROM v_night_stops) WHERE kind IS NOT NULL GROUP BY 1 HAVING count(DISTINCT kind) > 1")
 _GAP = "(SELECT *, CAST(100 AS DOUBLE) * (train_emissions_co2 - flight_emissions_co2) / flight_emissions_co2 AS g FROM s_compare WHERE flight_emissions_co2 > 0 AND train_emissions_co2 IS NOT NULL)"
-query("factor_comparison_by_country", lambda d: extra.factor_comparison(compare(d).where("train_emissions_co2 is not null"), "train_emissions_co2", "flight_emissions_co2", ["departure_country"]), f"SELECT departure_country, round(min(g), 2) AS lowest, round(quantile_cont(g, 0.25), 2) AS q1, round(quantile_cont(g, 0.5), 2) AS median, round(avg(g), 2) AS mean, round(quantile_cont(g, 0.75), 2) AS q3, round(max(g), 2) AS highest FROM {_GAP} GROUP BY 1")
+query("factor_comparison_by_country", lambda d: extra.factor_comparison(compare(d).where("train_emissions_co2 is not null"), "train_emissions_co2", "flight_emissions_co2", ["departure_country"]), f"SELECT departure_country, round(min(g), 2) AS lowest, round(quantile_cont(g, 0.25), 2) AS q1, round(quantile_cont(g, 0.5), 2) AS median, {mean('g', 4, 2)} AS mean, round(quantile_cont(g, 0.75), 2) AS q3, round(max(g), 2) AS highest FROM {_GAP} GROUP BY 1")
 query("factor_gaps_top", lambda d: extra.factor_gaps(compare(d).where("train_emissions_co2 is not null"), "train_emissions_co2", "flight_emissions_co2").select(*CITY.split(", "), F.round("gap", 2).alias("gap")).orderBy(F.desc("gap"), *CITY.split(", ")).limit(10), f"SELECT {CITY}, round(g, 2) AS gap FROM {_GAP} ORDER BY gap DESC, {CITY} LIMIT 10")
 _RATIO = f"(SELECT source, shape_id, round(max(shape_dist_traveled) / nullif(round(sum(step)), 0), 4) AS ratio FROM (SELECT *, {hav('lag(shape_pt_lat) OVER w', 'lag(shape_pt_lon) OVER w', 'shape_pt_lat', 'shape_pt_lon')} AS step FROM v_shapes WINDOW w AS (PARTITION BY source, shape_id ORDER BY shape_pt_sequence)) GROUP BY 1, 2)"
 _UNITS = f"(SELECT source, round(avg(ratio), 6) AS mean_ratio, count(*) AS shapes FROM {_RATIO} GROUP BY 1)"

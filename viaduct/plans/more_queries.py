@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..operators import audit, extra, rail
-from .rail_queries import CITY, EVENT, OR_MASK, Data, _named, hav, half_up, query
+from .rail_queries import CITY, EVENT, OR_MASK, Data, _named, hav, half_up, mean, query
 from .serve_queries import compare, gold, pct
 
 AGENCIES = {"FR/feed-0": ("X", "Line X", "Europe/Paris"), "DE/feed-1": ("Y", "Line Y", "Europe/Berlin")}
@@ -47,9 +47,9 @@ query("dedupe_best_row", lambda d: extra.dedupe_best_row(gold(d).where("mode = '
       f"""SELECT {_PAIR_KEYS}, source, trip_id, days_of_week FROM (SELECT {_PAIR_KEYS}, source, trip_id FROM s_train WHERE departure_time IS NOT NULL AND arrival_time IS NOT NULL
       QUALIFY row_number() OVER (PARTITION BY {_PAIR_KEYS} ORDER BY distance_km IS NULL, trip_short_name IS NULL, emissions_co2 IS NULL, trip_id, source, departure_parent_station NULLS FIRST, arrival_parent_station NULLS FIRST, route_type) = 1)
       JOIN (SELECT {_PAIR_KEYS}, {OR_MASK} AS days_of_week FROM s_train GROUP BY {_PAIR_KEYS}) USING ({_PAIR_KEYS})""")
-query("factor_comparison", lambda d: extra.factor_comparison(compare(d), "train_emissions_co2", "flight_emissions_co2"), "SELECT round(min(g), 2) AS lowest, round(quantile_cont(g, 0.25), 2) AS q1, round(quantile_cont(g, 0.5), 2) AS median, round(avg(g), 2) AS mean, round(quantile_cont(g, 0.75), 2) AS q3, round(max(g), 2) AS highest FROM (SELECT CAST(100 AS DOUBLE) * (train_emissions_co2 - flight_emissions_co2) / flight_emissions_co2 AS g FROM s_compare WHERE flight_emissions_co2 > 0)")
+query("factor_comparison", lambda d: extra.factor_comparison(compare(d), "train_emissions_co2", "flight_emissions_co2"), f"SELECT round(min(g), 2) AS lowest, round(quantile_cont(g, 0.25), 2) AS q1, round(quantile_cont(g, 0.5), 2) AS median, {mean('g', 4, 2)} AS mean, round(quantile_cont(g, 0.75), 2) AS q3, round(max(g), 2) AS highest FROM (SELECT CAST(100 AS DOUBLE) * (train_emissions_co2 - flight_emissions_co2) / flight_emissions_co2 AS g FROM s_compare WHERE flight_emissions_co2 > 0)")
 query("shape_length_ratio", lambda d: extra.shape_length_ratio(d.shapes), f"SELECT source, shape_id, points, metres, declared, round(declared / nullif(metres, 0), 4) AS ratio FROM (SELECT source, shape_id, count(*) AS points, round(sum(step)) AS metres, max(shape_dist_traveled) AS declared FROM (SELECT *, {hav('lag(shape_pt_lat) OVER w', 'lag(shape_pt_lon) OVER w', 'shape_pt_lat', 'shape_pt_lon')} AS step FROM v_shapes WINDOW w AS (PARTITION BY source, shape_id ORDER BY shape_pt_sequence)) GROUP BY 1, 2)")
-query("fastest_option", lambda d: extra.fastest_option(compare(d)).select(*CITY.split(", "), "fastest"), f"SELECT {CITY}, CASE WHEN flight_duration_min IS NULL THEN 'train' WHEN train_duration_min IS NULL THEN 'flight' WHEN train_duration_min < flight_duration_min OR (train_duration_min = flight_duration_min AND train_emissions_co2 <= flight_emissions_co2) THEN 'train' ELSE 'flight' END AS fastest FROM s_compare")
+query("fastest_option", lambda d: extra.fastest_option(compare(d)).select("source", "trip_id", *CITY.split(", "), "fastest"), f"SELECT source, trip_id, {CITY}, CASE WHEN train_duration_min IS NULL THEN 'flight' WHEN flight_duration_min IS NULL THEN 'train' WHEN train_duration_min < flight_duration_min OR (train_duration_min = flight_duration_min AND train_emissions_co2 <= flight_emissions_co2) THEN 'train' ELSE 'flight' END AS fastest FROM s_compare")
 query("day_night_balance", lambda d: extra.day_night_balance(gold(d)), f"SELECT *, {pct('nights', 'n')} AS night_pct, CASE WHEN nights = 0 THEN 'day only' WHEN nights = n THEN 'night only' ELSE 'both' END AS class FROM (SELECT departure_city, arrival_city, departure_country, count(*) FILTER (is_night_train) AS nights, count(*) AS n FROM s_gold WHERE mode = 'train' AND departure_city IS NOT NULL AND arrival_city IS NOT NULL GROUP BY 1, 2, 3)")
 query("drop_incomplete", lambda d: d.trips.dropna(subset=["trip_id", "route_id", "trip_short_name"]).select("source", "trip_id"), "SELECT source, trip_id FROM v_trips WHERE trip_short_name IS NOT NULL AND route_id IS NOT NULL")
 query("invalid_coord", lambda d: d.stops.where(C.invalid_coord(F.col("stop_lat"), F.col("stop_lon"))).select("source", "stop_id"), "SELECT source, stop_id FROM v_stops WHERE stop_lat IS NULL OR stop_lon IS NULL OR (abs(stop_lat) < 1e-9 AND abs(stop_lon) < 1e-9)")

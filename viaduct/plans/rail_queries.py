@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..operators import gold, places, rail
+from ..sources.layers import by_buckets, by_folders
 from ..sources.tables import settled
 from .views import Views, with_views
 
@@ -26,6 +27,19 @@ def half_up(c: str, digits: int) -> str:
     return f"floor(({c}) * CAST({10**digits} AS DOUBLE) + CAST(0.500001 AS DOUBLE)) / CAST({10**digits} AS DOUBLE)"
 
 
+def units(c: str, scale: int) -> str:
+    return f"CAST(round({c} * CAST({10**scale} AS DOUBLE)) AS BIGINT)"
+
+
+def total(c: str, scale: int, digits: int, only: str = "") -> str:
+    """An exact sum of numbers of `scale` decimals, rounded once. only: a FILTER clause."""
+    return half_up(f"CAST(sum({units(c, scale)}) {only} AS DOUBLE) / CAST({10**scale} AS DOUBLE)", digits)
+
+
+def mean(c: str, scale: int, digits: int, only: str = "") -> str:
+    return half_up(f"CAST(sum({units(c, scale)}) {only} AS DOUBLE) / CAST({10**scale} AS DOUBLE) / nullif(count({c}) {only}, 0)", digits)
+
+
 def seconds(c: str) -> str:
     part = lambda k: f"TRY_CAST(nullif(split_part(split_part({c}, ' ', -1), ':', {k}), '') AS INTEGER)"
     return f"({part(1)} * 3600 + coalesce({part(2)}, 0) * 60 + coalesce({part(3)}, 0))"
@@ -104,12 +118,12 @@ STEPS: dict[str, str] = {
     "s_night": night_sql("n.source, n.trip_id, n.trip_short_name"),
     "s_night_events": f"""SELECT n.source, n.trip_id, n.route_id, n.service_id, n.trip_short_name, n.trip_headsign, 105 AS route_type, route_short_name, route_long_name, n.agency_id, agency_name,
             {lookup('country', K.ZONES)} AS agency_timezone, stop_id, stop_name, stop_lat, stop_lon, CAST(NULL AS VARCHAR) AS parent_station, stop_sequence, split_part(arrival_time, ' ', -1) AS arrival_time,
-            split_part(departure_time, ' ', -1) AS departure_time, coalesce(days, '0000000') AS days_of_week, start_date, end_date, country
+            split_part(departure_time, ' ', -1) AS departure_time, coalesce(days, '0000000') AS days_of_week, start_date, end_date, country, true AS is_night_train
         FROM v_night n JOIN (SELECT trip_id, agency_name FROM s_night) USING (trip_id) LEFT JOIN v_night_routes USING (route_id) JOIN v_night_times USING (trip_id)
         JOIN (SELECT *, CASE stop_country WHEN 'UK' THEN 'GB' ELSE stop_country END AS country FROM v_night_stops WHERE stop_lat IS NOT NULL AND stop_lon IS NOT NULL) USING (stop_id)
         LEFT JOIN (SELECT service_id, {MASK} AS days, replace(start_date, '-', '') AS start_date, replace(end_date, '-', '') AS end_date FROM v_night_calendar) USING (service_id)
         WHERE stop_sequence IS NOT NULL""",
-    "s_merged": "SELECT * FROM s_night_events UNION ALL BY NAME SELECT * FROM s_fresh WHERE (source, trip_id) NOT IN (SELECT (source, trip_id) FROM s_l1 UNION ALL SELECT (source, trip_id) FROM s_l2)",
+    "s_merged": "SELECT * FROM s_night_events UNION ALL BY NAME SELECT *, route_type = 105 AS is_night_train FROM s_fresh WHERE (source, trip_id) NOT IN (SELECT (source, trip_id) FROM s_l1 UNION ALL SELECT (source, trip_id) FROM s_l2)",
     "s_good": good_sql("s_events"),
     "s_numbered": numbered_sql("s_good"),
     "s_segments": segments_sql("s_numbered"),
@@ -196,18 +210,21 @@ STEPS: dict[str, str] = {
     "s_rail_best": f"""SELECT {CITY}, trip_id AS train_trip_id, distance_km AS train_distance_km, minutes AS train_duration_min, emissions_co2 AS train_emissions_co2
         FROM (SELECT *, {MINUTES} AS minutes FROM s_train WHERE departure_city IS NOT NULL AND arrival_city IS NOT NULL)
         QUALIFY row_number() OVER (PARTITION BY {CITY} ORDER BY emissions_co2 NULLS LAST, minutes NULLS LAST, source, trip_id, departure_station, arrival_station, departure_time NULLS FIRST, arrival_time NULLS FIRST) = 1""",
-    "s_city_flights": f"""SELECT {CITY}, dep_airport, arr_airport, distance_km AS flight_distance_km, total_min AS flight_duration_min, flight_co2 AS flight_emissions_co2 FROM (
-            SELECT {CITY}, dep_airport, arr_airport, f.distance_km, flight_co2, {half_up(f'flight_min + (d.access_km + a.access_km) / {K.ACCESS_SPEED_KMH} * 60', 1)} AS total_min
+    "s_city_flights": f"""SELECT {CITY}, dep_airport || '__' || arr_airport AS flight_candidate_id, 2 AS flight_correspondence_count, total_min AS flight_duration_min, km AS flight_distance_km, flight_co2 AS flight_emissions_co2 FROM (
+            SELECT {CITY}, dep_airport, arr_airport, {half_up('f.distance_km + d.access_km + a.access_km', 2)} AS km, flight_co2, {half_up(f'flight_min + (d.access_km + a.access_km) / {K.ACCESS_SPEED_KMH} * 60', 1)} AS total_min
             FROM s_rail_best r JOIN s_access d ON d.city_name = departure_city AND d.country = departure_country JOIN s_access a ON a.city_name = arrival_city AND a.country = arrival_country
             JOIN s_best_air f ON f.dep_airport = d.ident AND f.arr_airport = a.ident)
         QUALIFY row_number() OVER (PARTITION BY {CITY} ORDER BY flight_co2 NULLS LAST, total_min, dep_airport, arr_airport) = 1""",
-    "s_lone_flights": f"""SELECT {CITY}, dep_airport, arr_airport, flight_distance_km, flight_duration_min, flight_emissions_co2 FROM (
-            SELECT origin_city AS departure_city, origin_country AS departure_country, dest_city AS arrival_city, dest_country AS arrival_country, origin_id AS dep_airport, dest_id AS arr_airport,
-                distance_km AS flight_distance_km, {half_up(f'distance_km / {K.FLIGHT_SPEED_KMH} * 60 + {K.FLIGHT_GROUND_MIN}', 1)} AS flight_duration_min, {half_up('distance_km * co2_per_pkm', 3)} AS flight_emissions_co2
+    "s_lone_flights": f"""SELECT 'ourairports' AS source, dep_airport || '__' || arr_airport AS trip_id, departure_station, departure_city, departure_country, arrival_station, arrival_city, arrival_country,
+            dep_airport || '__' || arr_airport AS flight_candidate_id, 0 AS flight_correspondence_count, CAST(NULL AS DOUBLE) AS flight_duration_min, flight_distance_km, flight_emissions_co2 FROM (
+            SELECT origin_name AS departure_station, dest_name AS arrival_station, origin_city AS departure_city, origin_country AS departure_country, dest_city AS arrival_city, dest_country AS arrival_country, origin_id AS dep_airport, dest_id AS arr_airport,
+                distance_km AS flight_distance_km, {half_up('distance_km * co2_per_pkm', 3)} AS flight_emissions_co2
             FROM s_flown WHERE origin_city IS NOT NULL AND dest_city IS NOT NULL) ANTI JOIN s_rail_best USING ({CITY})
         QUALIFY row_number() OVER (PARTITION BY {CITY} ORDER BY flight_emissions_co2 NULLS LAST, flight_distance_km, dep_airport, arr_airport) = 1""",
+    "s_connections": f"""SELECT source, trip_id, departure_station, departure_city, departure_country, arrival_station, arrival_city, arrival_country, departure_parent_station, arrival_parent_station, days_of_week,
+            {MINUTES} AS train_duration_min, distance_km AS train_distance_km, emissions_co2 AS train_emissions_co2 FROM s_train WHERE departure_city IS NOT NULL AND arrival_city IS NOT NULL""",
     "s_compare": f"""SELECT *, CASE WHEN train_emissions_co2 IS NULL THEN 'flight' WHEN flight_emissions_co2 < train_emissions_co2 THEN 'flight' ELSE 'train' END AS best_mode FROM (
-            SELECT * FROM s_rail_best LEFT JOIN s_city_flights USING ({CITY}) UNION ALL BY NAME SELECT * FROM s_lone_flights)""",
+            SELECT * FROM s_connections LEFT JOIN s_city_flights USING ({CITY}) UNION ALL BY NAME SELECT * FROM s_lone_flights)""",
 }
 
 
@@ -233,8 +250,13 @@ class Data(Views):
         named = self.trips.join(self.routes.select("source", "route_id", "agency_id"), ["source", "route_id"]).join(self.agency_names(), "agency_id", "left")
         return named.select("source", "trip_id", "trip_short_name", "agency_name")
 
+    def night_stops_at(self) -> DataFrame:
+        return self.night_stops.where("stop_lat is not null").select("stop_id", F.col("stop_lat").alias("lat"), F.col("stop_lon").alias("lon"))
+
     def night_events(self) -> DataFrame:
-        return rail.night_stop_events(self.night, self.night_routes, self.night_times, self.night_stops, self.agency_names(), self.night_calendar)
+        """Stop events of night trains, with the cities of their stops."""
+        stops = rail.with_city(self.night_stops, places.nearest_city(self.night_stops_at(), self.cities, ["stop_id"]), ("stop_id",))
+        return rail.night_stop_events(self.night, self.night_routes, self.night_times, stops, self.agency_names(), self.night_calendar)
 
     def merged(self) -> DataFrame:
         """The timetable's events with full calendars, specific route types and agencies, without expired services and trips
@@ -244,10 +266,12 @@ class Data(Views):
         """
         rows = rail.enrich_route_type(rail.trip_rows(self.trips, self.routes, self.agency, self.full_calendar()))
         rows = rail.propagate_first_nonnull(rows, ["source", "route_id"], ["agency_id", "agency_name", "agency_timezone"], "trip_id")
+        rows = settled(rows, "trip-rows")  # read three times below
         used = self.stop_times.where("stop_sequence is not null").select(*rail.TRIP)
         fresh = rail.expiry_filter_with_rescue(rows, LEAST_TRIPS, counted=rows.join(used, rail.TRIP, "left_semi"))
         kept = fresh.join(rail.matched_trips(self.named_night(), self.named_trips()), rail.TRIP, "left_anti")
-        return rail.events_of(kept, self.stop_times, self.stops).unionByName(self.night_events())
+        timetable = rail.events_of(kept, self.stop_times, rail.with_city(self.stops, self.stop_city())).withColumn("is_night_train", F.col("route_type") == 105)
+        return timetable.unionByName(self.night_events())
 
     def clean(self) -> DataFrame:
         return rail.clean_events(self.merged())
@@ -256,7 +280,7 @@ class Data(Views):
         return rail.first_last_stop(self.clean())
 
     def any_city(self) -> DataFrame:
-        night = self.night_stops.where("stop_lat is not null").select(F.lit("night").alias("source"), "stop_id", F.col("stop_lat").alias("lat"), F.col("stop_lon").alias("lon"))
+        night = self.night_stops_at().withColumn("source", F.lit("night"))
         return places.nearest_city(self.stops_at().unionByName(night), self.cities, ["source", "stop_id"])
 
     def stop_city(self) -> DataFrame:
@@ -278,7 +302,7 @@ class Data(Views):
         return places.air_factor_weighted(places.air_factor_base(self.air_factors))
 
     def train(self) -> DataFrame:
-        return gold.gold_train(self.clean(), self.any_city(), self.rail_price())
+        return gold.gold_train(self.clean(), self.rail_price())
 
     def flown(self) -> DataFrame:
         return gold.flights(places.air_scenarios(places.airport_pairs(self.air())), self.airport_city(), self.air_price())
@@ -290,7 +314,16 @@ class Data(Views):
         """A layer that several queries read, written once for each application and state of the given tables."""
         key = (self.spark.sparkContext.applicationId, self.sf_dir, self.fingerprint, name)
         if key not in _written:
-            _written[key] = settled(getattr(self, name)(), name)
+            made = getattr(self, name)()
+            _written[key] = by_folders(made, name, FOLDERS[name]) if name in FOLDERS else settled(made, name)
+        return _written[key]
+
+    def by_trip(self) -> DataFrame:
+        """The gold layer in buckets of trip_id, for look-ups of a trip."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, self.fingerprint, "by_trip")
+        if key not in _written:
+            rows = self.gold()
+            _written[key] = by_buckets(rows, "gold_by_trip", "trip_id", ["departure_time"], rows.count())
         return _written[key]
 
     def gold(self) -> DataFrame:
@@ -300,6 +333,9 @@ class Data(Views):
         return gold.compare_best(self.layer("train"), self.access(), self.layer("flown"))
 
 
+#: Layers that lie in folders, and the column that filters name. A flight's departure country is that of its origin.
+FOLDERS = {"train": "departure_country", "flown": "origin_country", "compare": "departure_country"}
+
 #: Layers already written in this process.
 _written: dict[tuple[str, str, str, str], DataFrame] = {}
 
@@ -331,7 +367,7 @@ query("rescue_top_recent", lambda d: rail.rescue_top_recent(d.events_all(), 100)
         row_number() OVER (PARTITION BY country, coalesce(fin >= {K.EXPIRED_BEFORE}, true) ORDER BY fin DESC, {EVENT}) <= 100""")
 query("first_last_stop", lambda d: rail.first_last_stop(d.clean()), "SELECT source, trip_id, count(*) AS n_stops, " + ", ".join(f"{f}(stop_{c}, stop_sequence) AS {e}_stop_{c}" for e, f in (("first", "arg_min"), ("last", "arg_max")) for c in ("id", "name", "lat", "lon")) + " FROM s_clean GROUP BY source, trip_id")
 query("resolve_composite_ids", lambda d: d.named_night().select("trip_id", "agency_name"), "SELECT trip_id, agency_name FROM s_night")
-NIGHT = f"{EVENT}, trip_short_name, agency_name, agency_timezone, route_type, arrival_time, departure_time, days_of_week, start_date, end_date, country"
+NIGHT = f"{EVENT}, trip_short_name, agency_name, agency_timezone, route_type, arrival_time, departure_time, days_of_week, start_date, end_date, country, is_night_train"
 query("night_stop_events", lambda d: d.night_events().select(*NIGHT.split(", ")), f"SELECT {NIGHT} FROM s_night_events")
 query("silver_events", lambda d: d.merged().select(*NIGHT.split(", ")), f"SELECT {NIGHT} FROM s_merged")
 
@@ -364,6 +400,10 @@ query("gold_flight", lambda d: gold.gold_flight(d.flown()), "SELECT * FROM s_fli
 query("gold_union", lambda d: d.gold(), "SELECT * FROM s_gold")
 query("best_flight_per_airport_pair", lambda d: gold.best_flight_per_airport_pair(d.flown()), "SELECT * FROM s_best_air")
 query("city_airport_access", lambda d: d.access(), "SELECT * FROM s_access")
-query("best_flight_per_city_pair", lambda d: gold.best_flight_per_city_pair(gold.train_city_pairs(d.layer("train")).select(*gold.CITY_PAIR), d.access(), d.layer("flown")), "SELECT * FROM s_city_flights")
+query("best_flight_per_city_pair", lambda d: gold.best_flight_per_city_pair(gold.train_city_pairs(d.layer("train")), d.access(), d.layer("flown")), "SELECT * FROM s_city_flights")
 query("flights_without_rail", lambda d: gold.flights_without_rail(d.layer("flown"), gold.train_city_pairs(d.layer("train"))), "SELECT * FROM s_lone_flights")
 query("compare_best", lambda d: d.compare(), "SELECT * FROM s_compare")
+_ENDS = "source, trip_id, departure_station, departure_city, departure_country, arrival_station, arrival_city, arrival_country, departure_parent_station, arrival_parent_station, days_of_week"
+query("compare_candidates", lambda d: gold.compare_candidates(d.layer("train"), d.access(), d.layer("flown")),
+      f"""SELECT {_ENDS}, 'train' AS candidate_mode, trip_id AS candidate_id, 0 AS correspondence_count, train_duration_min AS duration_min, train_distance_km AS comparison_distance_km, train_emissions_co2 AS comparison_emissions_co2 FROM s_connections
+      UNION ALL SELECT {_ENDS}, 'flight', flight_candidate_id, flight_correspondence_count, flight_duration_min, flight_distance_km, flight_emissions_co2 FROM s_connections JOIN s_city_flights USING ({CITY})""")

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import columns as C
-from ..operators import audit, rail, serve
-from .rail_queries import CITY, EVENT, MASK, MINUTES, Data, query, seconds
+from ..operators import audit, places, rail, serve
+from .rail_queries import CITY, EVENT, MASK, MINUTES, Data, half_up, mean, query, seconds, total
 
 
 def gold(d: Data) -> DataFrame:
@@ -24,6 +24,8 @@ def pct(part: str, whole: str) -> str:
 
 
 
+#: A trip that the look-ups show: source and trip id.
+TRIP_SHOWN = ("FR/feed-0", "t789")
 _LIST = "source, trip_id, mode, departure_station, departure_time, arrival_station, arrival_time, route_type, distance_km"
 _NIGHT = "coalesce(is_night_train, false)"
 _WEEK, _END = "substr(days_of_week, 1, 5)", "substr(days_of_week, 6, 2)"
@@ -34,12 +36,17 @@ query("list_routes_page", lambda d: serve.page(gold(d).select(*_LIST.split(", ")
 query("search_routes", lambda d: serve.search_routes(gold(d), "Supplier#00000000", "Supplier#00000001", "2023-06-01", 1).select(*_SEARCH.split(", "), "direction"),
       f"""SELECT {_SEARCH}, 'outbound' AS direction FROM s_gold WHERE service_start_date <= '20230601' AND service_end_date >= '20230601' AND substr(days_of_week, 1, 1) = '1' AND contains(departure_station, 'Supplier#00000000') AND contains(arrival_station, 'Supplier#00000001')
       UNION ALL SELECT {_SEARCH}, 'return' FROM s_gold WHERE service_start_date <= '20230601' AND service_end_date >= '20230601' AND substr(days_of_week, 1, 1) = '1' AND contains(departure_station, 'Supplier#00000001') AND contains(arrival_station, 'Supplier#00000000')""")
-query("route_detail", lambda d: gold(d).where("trip_id in ('t1', 't33', 't100', 't7')").select(*_LIST.split(", "), "co2_per_pkm", "emissions_co2"), f"SELECT {_LIST}, co2_per_pkm, emissions_co2 FROM s_gold WHERE trip_id IN ('t1', 't33', 't100', 't7')")
+_TRIP_ROWS = "SELECT {0} FROM s_gold WHERE trip_id = '{1}' AND source = '{2}'"
+query("route_detail", lambda d: serve.route_detail(d.by_trip(), TRIP_SHOWN[1], TRIP_SHOWN[0]), _TRIP_ROWS.format("*", TRIP_SHOWN[1], TRIP_SHOWN[0]))
+query("route_detail_country", lambda d: serve.route_detail(d.by_trip(), TRIP_SHOWN[1], departure_country=TRIP_SHOWN[0][:2].lower()).select(*_LIST.split(", ")), f"SELECT {_LIST} FROM s_gold WHERE trip_id = '{TRIP_SHOWN[1]}' AND departure_country = '{TRIP_SHOWN[0][:2]}'")
+query("carbon_trip", lambda d: serve.carbon_trip(d.by_trip(), TRIP_SHOWN[1], TRIP_SHOWN[0], TRIP_SHOWN[0][:2]), _TRIP_ROWS.format(", ".join(serve.CARBON), TRIP_SHOWN[1], TRIP_SHOWN[0]) + f" AND departure_country = '{TRIP_SHOWN[0][:2]}'")
+query("routes_from", lambda d: serve.routes_from(gold(d).where("mode = 'train'"), places.intensity_by_country(d.intensity).where("intensity < 300")).select(*_LIST.split(", ")),
+      f"SELECT {_LIST} FROM s_gold WHERE mode = 'train' AND departure_country IN (SELECT country_code FROM s_intensity WHERE intensity < 300)")
 query("carbon_ranking", lambda d: serve.carbon_ranking(compare(d), 100), f"SELECT {CITY}, round(CAST(100 AS DOUBLE) * (flight_emissions_co2 - train_emissions_co2) / flight_emissions_co2, 2) AS co2_saving_pct FROM s_compare WHERE train_emissions_co2 IS NOT NULL AND flight_emissions_co2 > 0 ORDER BY co2_saving_pct DESC, {CITY} LIMIT 100")
 query("carbon_factors", lambda d: serve.carbon_factors(gold(d)), "SELECT departure_country, mode, is_night_train, co2_per_pkm, count(*) AS n, string_agg(DISTINCT route_type, ',' ORDER BY route_type) AS route_types FROM s_gold GROUP BY 1, 2, 3, 4")
-query("day_night_coverage", lambda d: serve.day_night_coverage(gold(d)), "SELECT departure_country, is_night_train, count(*) AS n, count(DISTINCT agency_name) AS agencies, count(DISTINCT departure_city) AS cities, count(DISTINCT arrival_country) AS countries, round(avg(distance_km), 1) AS mean_km FROM s_gold WHERE mode = 'train' GROUP BY 1, 2")
-query("day_night_emissions", lambda d: serve.day_night_emissions(gold(d)), "SELECT departure_country, round(avg(emissions_co2) FILTER (is_night_train), 2) AS night_co2, round(avg(emissions_co2) FILTER (NOT is_night_train), 2) AS day_co2, count(*) FILTER (is_night_train) AS n_night, count(*) FILTER (NOT is_night_train) AS n_day FROM s_gold WHERE mode = 'train' GROUP BY 1 HAVING count(*) FILTER (is_night_train) > 0")
-query("day_night_summary", lambda d: serve.day_night_summary(gold(d)), "SELECT is_night_train, count(DISTINCT departure_station || '|' || arrival_station) AS pairs, round(avg(distance_km), 1) AS mean_km, round(quantile_cont(distance_km, 0.5), 2) AS median_km, count(*) AS n FROM s_gold WHERE mode = 'train' GROUP BY 1")
+query("day_night_coverage", lambda d: serve.day_night_coverage(gold(d)), "SELECT departure_country, is_night_train, count(*) AS n, count(DISTINCT agency_name) AS agencies, count(DISTINCT departure_city) AS cities, count(DISTINCT arrival_country) AS countries, " + mean('distance_km', 2, 1) + " AS mean_km FROM s_gold WHERE mode = 'train' GROUP BY 1, 2")
+query("day_night_emissions", lambda d: serve.day_night_emissions(gold(d)), f"SELECT departure_country, {mean('emissions_co2', 3, 2, 'FILTER (is_night_train)')} AS night_co2, {mean('emissions_co2', 3, 2, 'FILTER (NOT is_night_train)')} AS day_co2, count(*) FILTER (is_night_train) AS n_night, count(*) FILTER (NOT is_night_train) AS n_day FROM s_gold WHERE mode = 'train' GROUP BY 1 HAVING count(*) FILTER (is_night_train) > 0")
+query("day_night_summary", lambda d: serve.day_night_summary(gold(d)), "SELECT is_night_train, count(DISTINCT departure_station || '|' || arrival_station) AS pairs, " + mean('distance_km', 2, 1) + " AS mean_km, round(quantile_cont(distance_km, 0.5), 2) AS median_km, count(*) AS n FROM s_gold WHERE mode = 'train' GROUP BY 1")
 query("completeness", lambda d: serve.completeness(gold(d), []), "SELECT count(*) AS n, " + ", ".join(f"{pct(f'count({c})', 'count(*)')} AS {c}_pct" for c in serve.FILLED) + " FROM s_gold")
 query("completeness_by_country", lambda d: serve.completeness(gold(d).where("mode = 'train'"), ["departure_country"]), "SELECT departure_country, count(*) AS n, " + ", ".join(f"{pct(f'count({c})', 'count(*)')} AS {c}_pct" for c in serve.FILLED if c != "departure_country") + " FROM s_gold WHERE mode = 'train' GROUP BY 1")
 query("coverage_countries", lambda d: serve.coverage_countries(gold(d)), f"SELECT *, {pct('trains', 'n')} AS train_pct, {pct('nights', 'trains')} AS night_pct FROM (SELECT departure_country, count(*) AS n, count(*) FILTER (mode = 'train') AS trains, count(*) FILTER (mode = 'flight') AS flights, count(*) FILTER ({_NIGHT}) AS nights FROM s_gold GROUP BY 1)")
@@ -47,15 +54,26 @@ query("coverage_cities", lambda d: serve.coverage_cities(gold(d), "departure", 3
 query("coverage_cities_arrival", lambda d: serve.coverage_cities(gold(d), "arrival", 30), "SELECT arrival_city AS city, arrival_country AS country, count(*) AS n, count(DISTINCT departure_country) AS other_countries FROM s_gold WHERE arrival_city IS NOT NULL GROUP BY 1, 2 ORDER BY n DESC, city, country LIMIT 30")
 query("schedule_patterns", lambda d: serve.schedule_patterns(gold(d)), f"SELECT departure_country, CASE WHEN days_of_week = '1111111' THEN 'daily' WHEN days_of_week = '0000000' OR days_of_week IS NULL THEN 'none' WHEN {_WEEK} <> '00000' AND {_END} = '00' THEN 'weekdays only' WHEN {_WEEK} = '00000' AND {_END} <> '00' THEN 'weekend only' ELSE 'other' END AS pattern, count(*) AS n FROM s_gold WHERE mode = 'train' GROUP BY 1, 2")
 query("compare_coverage", lambda d: serve.compare_coverage(gold(d), compare(d)), f"SELECT departure_country, trips, coalesce(compared, 0) AS compared, {pct('coalesce(compared, 0)', 'trips')} AS compared_pct, {pct('train_wins', 'compared')} AS train_win_pct FROM (SELECT departure_country, count(DISTINCT trip_id) AS trips FROM s_gold WHERE mode = 'train' GROUP BY 1) LEFT JOIN (SELECT departure_country, count(*) AS compared, count(*) FILTER (best_mode = 'train') AS train_wins FROM s_compare GROUP BY 1) USING (departure_country)")
-_A = {"rows": "count(*)", "trains": "count(*) FILTER (mode = 'train')", "flights": "count(*) FILTER (mode <> 'train')", "nights": "count(*) FILTER (is_night_train)", "countries": "count(DISTINCT departure_country)", "cities": "count(DISTINCT departure_city)", "stations": "count(DISTINCT departure_station) FILTER (mode = 'train')", "airports": "count(DISTINCT departure_station) FILTER (mode <> 'train')", "agencies": "count(DISTINCT agency_name)", "no_co2": "count(*) FILTER (emissions_co2 IS NULL)", "no_city": "count(*) FILTER (departure_city IS NULL)", "no_days": "count(*) FILTER (mode = 'train' AND days_of_week IS NULL)", "zero_km": "count(*) FILTER (distance_km <= 0)"}
-_B = {"compared": "count(*)", "train_best": "count(*) FILTER (best_mode = 'train')", "flight_best": "count(*) FILTER (best_mode = 'flight')", "train_only": "count(*) FILTER (flight_emissions_co2 IS NULL)", "flight_only": "count(*) FILTER (train_emissions_co2 IS NULL)"}
-query("quality_summary", lambda d: serve.quality_summary(gold(d), compare(d)), " UNION ALL ".join([*[f"SELECT '{k}' AS name, {v} AS value FROM s_gold" for k, v in _A.items()], *[f"SELECT '{k}', {v} FROM s_compare" for k, v in _B.items()]]))
-query("list_cities", lambda d: serve.list_cities(gold(d)), "SELECT departure_city AS city, departure_country AS country, count(DISTINCT departure_station) AS stations, count(*) FILTER (mode = 'train') AS trains, count(*) FILTER (mode = 'flight') AS flights, count(DISTINCT arrival_city) AS destinations FROM s_gold WHERE departure_city IS NOT NULL GROUP BY 1, 2")
+_FIGURES = {
+    "total_routes": "count(*)", "total_train": "count(*) FILTER (mode = 'train')", "total_flight": "count(*) FILTER (mode = 'flight')", **{k: f"count(DISTINCT {c})" for k, c in serve.DISTINCT_FIGURES.items()},
+    "night_train_routes": "count(*) FILTER (mode = 'train' AND is_night_train)", "day_train_routes": "count(*) FILTER (mode = 'train' AND NOT is_night_train)",
+    "unclassified_routes": "count(*) FILTER (mode = 'train' AND is_night_train IS NULL)", **{k: pct(f"count({c})", "count(*)") for k, c in serve.FILLED_FIGURES.items()},
+}
+query("quality_summary", lambda d: serve.quality_summary(gold(d), compare(d)),
+      "SELECT * FROM (SELECT " + ", ".join(f"{v} AS {k}" for k, v in _FIGURES.items()) + " FROM s_gold), (SELECT count(*) AS total_comparisons, count(*) FILTER (best_mode = 'train') AS train_wins_total, count(*) FILTER (best_mode = 'flight') AS flight_wins_total FROM s_compare)")
+_CITIES = """SELECT *, stations > 0 AS has_station, flights > 0 AS has_airport FROM (SELECT departure_city AS city, departure_country AS country, count(DISTINCT departure_station) AS stations, count(*) FILTER (mode = 'train') AS trains,
+      count(*) FILTER (mode = 'flight') AS flights, count(DISTINCT CASE WHEN mode = 'train' AND is_night_train THEN trip_id END) AS nights, count(DISTINCT arrival_city) AS destinations FROM s_gold WHERE departure_city IS NOT NULL GROUP BY 1, 2)"""
+query("list_cities", lambda d: serve.list_cities(gold(d)), _CITIES)
+query("list_cities_filtered", lambda d: serve.list_cities(gold(d), country="fr", search="city 1", has_station=True, has_airport=False), f"SELECT * FROM ({_CITIES}) WHERE country = 'FR' AND contains(lower(city), 'city 1') AND has_station AND NOT has_airport")
+_STATIONS = f"""SELECT departure_station AS station, departure_city AS city, departure_country AS country, departure_parent_station AS parent_station, count(*) AS departures, count(DISTINCT arrival_city) AS destinations, count(DISTINCT arrival_station) AS stops,
+      count(DISTINCT arrival_country) AS countries, count(*) FILTER ({_NIGHT}) AS nights, count(*) FILTER (NOT {_NIGHT}) AS days, {mean('distance_km', 2, 1)} AS mean_km, coalesce(string_agg(DISTINCT agency_name, ', ' ORDER BY agency_name), '') AS operators
+      FROM s_gold WHERE departure_station IS NOT NULL AND """
 for _mode, _name in (("train", "list_stations"), ("flight", "list_airports")):
-    query(_name, lambda d, m=_mode: serve.list_stations(gold(d), m), f"SELECT departure_station AS station, departure_country AS country, count(*) AS departures, count(DISTINCT arrival_station) AS destinations, count(DISTINCT arrival_country) AS countries, count(*) FILTER ({_NIGHT}) AS nights, round(avg(distance_km), 1) AS mean_km, coalesce(string_agg(DISTINCT agency_name, ', ' ORDER BY agency_name), '') AS operators FROM s_gold WHERE mode = '{_mode}' GROUP BY 1, 2")
-query("stats_operators", lambda d: serve.stats_operators(gold(d)), "SELECT agency_name, count(*) AS n, count(DISTINCT trip_id) AS trips, round(sum(distance_km), 2) AS km, round(avg(co2_per_pkm), 2) AS mean_co2_per_pkm FROM s_gold WHERE mode = 'train' AND agency_name IS NOT NULL GROUP BY 1")
+    query(_name, lambda d, m=_mode: serve.list_stations(gold(d), m), f"{_STATIONS} mode = '{_mode}' GROUP BY 1, 2, 3, 4")
+query("list_stations_filtered", lambda d: serve.list_stations(gold(d), "train", city="City", country="fr", search="Supplier#00000000"), f"{_STATIONS} mode = 'train' AND departure_country = 'FR' AND contains(lower(departure_city), 'city') AND contains(departure_station, 'Supplier#00000000') GROUP BY 1, 2, 3, 4")
+query("stats_operators", lambda d: serve.stats_operators(gold(d)), f"SELECT agency_name, count(*) AS n, count(DISTINCT trip_id) AS trips, {total('distance_km', 2, 2)} AS km, {mean('co2_per_pkm', 3, 2)} AS mean_co2_per_pkm FROM s_gold WHERE mode = 'train' AND agency_name IS NOT NULL GROUP BY 1")
 query("stats_distances", lambda d: serve.stats_distances(gold(d), 250), "SELECT CAST(floor(distance_km / 250) * 250 AS BIGINT) AS from_km, mode, is_night_train, count(*) AS n FROM s_gold GROUP BY 1, 2, 3")
-query("emissions_by_distance", lambda d: serve.emissions_by_distance(gold(d)), "SELECT CAST(floor(distance_km / 100) * 100 AS BIGINT) AS from_km, round(avg(emissions_co2) FILTER (mode = 'train'), 1) AS train, round(avg(emissions_co2) FILTER (mode = 'flight'), 1) AS flight FROM s_gold GROUP BY 1")
+query("emissions_by_distance", lambda d: serve.emissions_by_distance(gold(d)), f"SELECT CAST(floor(distance_km / 100) * 100 AS BIGINT) AS from_km, {mean('emissions_co2', 3, 1, "FILTER (mode = 'train')")} AS train, {mean('emissions_co2', 3, 1, "FILTER (mode = 'flight')")} AS flight FROM s_gold GROUP BY 1")
 query("country_balance_two_sided", lambda d: serve.country_balance_two_sided(gold(d), 20), "SELECT departure_country AS country, count(*) FILTER (is_night_train) AS nights, count(*) FILTER (NOT is_night_train) AS days FROM (SELECT departure_country, is_night_train FROM s_gold WHERE mode = 'train' UNION ALL SELECT arrival_country, is_night_train FROM s_gold WHERE mode = 'train' AND arrival_country <> departure_country) GROUP BY 1 ORDER BY nights + days DESC, country LIMIT 20")
 
 # ---- audits
@@ -94,4 +112,4 @@ query("mask_or", lambda d: d.calendar.select("source", C.days_mask().alias("m"))
 query("haversine_m", lambda d: d.airports.select("ident", F.round(C.haversine_m(F.col("latitude_deg"), F.col("longitude_deg"), F.lit(48.85), F.lit(2.35)), 1).alias("m")), "SELECT ident, round(2 * 6371000.0 * asin(sqrt(least(1.0, pow(sin(radians(48.85 - latitude_deg) / 2), 2) + cos(radians(latitude_deg)) * cos(radians(48.85)) * pow(sin(radians(2.35 - longitude_deg) / 2), 2)))), 1) AS m FROM v_airports")
 query("train_numbers", lambda d: d.trips.select("source", "trip_id", C.train_number(F.col("trip_short_name")).alias("number")), r"SELECT source, trip_id, regexp_extract(trip_short_name, '\d{3,6}') AS number FROM v_trips")
 query("title_case", lambda d: d.routes.select("source", "route_id", C.selective_title(F.col("route_long_name")).alias("route_long_name")), "SELECT source, route_id, CASE WHEN route_long_name = upper(route_long_name) AND contains(route_long_name, ' - ') THEN array_to_string(list_transform(string_split(route_long_name, ' '), lambda w: upper(substr(w, 1, 1)) || lower(substr(w, 2))), ' ') ELSE route_long_name END AS route_long_name FROM v_routes")
-query("trip_duration_min", lambda d: gold(d).where("mode = 'train'").groupBy("departure_country").agg(F.round(F.avg(C.trip_duration_min(F.col("departure_time"), F.col("arrival_time"), F.col("distance_km"))), 2).alias("mean_min")), f"SELECT departure_country, round(avg({MINUTES}), 2) AS mean_min FROM s_gold WHERE mode = 'train' GROUP BY 1")
+query("trip_duration_min", lambda d: gold(d).where("mode = 'train'").groupBy("departure_country").agg(C.exact_mean(C.trip_duration_min(F.col("departure_time"), F.col("arrival_time"), F.col("distance_km")), 1, 2).alias("mean_min")), f"SELECT departure_country, {mean(MINUTES, 1, 2)} AS mean_min FROM s_gold WHERE mode = 'train' GROUP BY 1")
