@@ -4,12 +4,12 @@ Documents are grouped by equal normaliser m, which is all that a score takes fro
 blocks of a bounded number of postings; a block has, for each term, its postings by descending tf. So an impact (what one
 occurrence count is worth at this m) is calculated once for each tf of a term in a block, and a term's first tf is its bound.
 
-Build: each text becomes one row of terms and tfs; rows are dealt by ranges of m, which splits a stratum of any size, and each
-task turns them into blocks. The index is a table in the shared folder: block, m, term, tfs, ends, slots; a row without a term
+Build: a first pass counts the documents of each length, which gives N, L and the sizes of strata. Then each text becomes one row
+of terms and tfs; rows are dealt by m and, in strata of many documents, by a slot, and each task turns its rows into blocks. The index is a table in the shared folder: block, m, term, tfs, ends, slots; a row without a term
 has the block's doc_ids by slot. N, L and the tables' folders are all that is kept besides.
 
-Search: query items are taken in batches of a bounded number of terms. A batch's vocabulary picks its postings by a join; their
-counts give df and the weights. The picked postings are exchanged by block, so that a task has several blocks. For each item the
+Search: query items are taken in batches of a bounded number and size of terms. A batch's vocabulary, broadcast, picks its
+postings; their counts give df and the weights. The picked postings are exchanged by block, so that a task has several blocks. For each item the
 sum of the terms' bounds orders the task's blocks; visits end where a bound is below the item's 20th best score so far. Ties are
 visited, so nothing is lost. The best of all tasks are ranked in two steps, first within salted parts of an item.
 
@@ -37,8 +37,14 @@ from .terms import raw_texts, term_pieces
 BEST = 20
 #: Share of the length in the normaliser, in percent, and its weight.
 LENGTH_PERCENT, K = 25, 12
-#: Postings of a block, of a task when building and when searching; item terms of a batch; entries that are scored at once.
-BLOCK_POSTINGS, BUILD_POSTINGS, TASK_POSTINGS, BATCH_TERMS, ENTRIES = 1 << 18, 4_000_000, 4_000_000, 200_000, 1 << 22
+#: Postings of a block and, when searching, of a task; terms of a task when building; entries that are scored at once.
+BLOCK_POSTINGS, TASK_POSTINGS, BUILD_TERMS, ENTRIES = 1 << 18, 4_000_000, 8_000_000, 1 << 22
+#: Documents from which a stratum is cut in slots; so many strata can be cut at most, else only larger ones are.
+SLOT_DOCS, MOST_CUT = 20_000, 100_000
+#: Item terms, and bytes of them, of a batch of items: what a batch broadcasts is bounded by these.
+BATCH_TERMS, BATCH_BYTES = 200_000, 4_000_000
+#: Lengths that a task counts before it sends them.
+LENGTHS = 100_000
 #: Rows of terms that a task sends at once hold about so many terms.
 SEND_TERMS = 500_000
 #: Parts of an item's hits that are ranked before its whole.
@@ -84,6 +90,24 @@ def vectors(texts: DataFrame, key: str) -> DataFrame:
     return map_arrow(texts.select(F.col(key).cast("long").alias("id"), "text"), count, VECTOR)
 
 
+def length_counts(texts: DataFrame) -> DataFrame:
+    """n, docs: how many texts have n terms, for n over 0."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: Counter[int] = Counter()
+        rows = lambda: pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.int64())], ["n", "docs"])
+        for b in batches:
+            for raw in raw_texts(b.column(0)):
+                if n := sum(map(len, term_pieces(raw))):
+                    found[n] += 1
+            if len(found) > LENGTHS:
+                yield rows()
+                found.clear()
+        yield rows()
+
+    return map_arrow(texts.select("text"), count, "n long, docs long").groupBy("n").agg(F.sum("docs").alias("docs"))
+
+
 @dataclass
 class Index:
     """rows: POSTINGS. documents and terms: N and L of the scores."""
@@ -123,8 +147,8 @@ def block_rows(block: int, m: int, docs: list[int | None], terms: list[str], tfs
 
 def build(docs: DataFrame) -> Index:
     """Index all documents that have a term."""
-    rows = settle(vectors(docs, "doc_id"), "vectors")
-    documents, terms, postings = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.size("terms")), F.lit(0))).first()
+    lengths = settle(length_counts(docs), "lengths")
+    documents, terms = lengths.agg(F.coalesce(F.sum("docs"), F.lit(0)), F.coalesce(F.sum(F.col("n") * F.col("docs")), F.lit(0))).first()
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -136,7 +160,7 @@ def build(docs: DataFrame) -> Index:
             return block_rows(number, m, ids, terms, np.array(tfs, np.int64), np.repeat(np.arange(len(ids)), sizes))
 
         for b in batches:
-            for at, i, t, f in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True):
+            for at, _, i, t, f in zip(*(b.column(k).to_pylist() for k in range(5)), strict=True):
                 if ids and (at != m or len(terms) + len(t) > BLOCK_POSTINGS):
                     yield block()
                     number += 1
@@ -149,12 +173,14 @@ def build(docs: DataFrame) -> Index:
         if ids:
             yield block()
 
-    # The third key only splits rows that are equal in all.
-    dealt = rows.select(normaliser("n", documents, terms).alias("m"), "id", "terms", "tfs", F.monotonically_increasing_id().alias("row"))
-    parts = max(n_partitions(docs.sparkSession), -(-postings // BUILD_POSTINGS))
-    dealt = dealt.repartitionByRange(parts, "m", F.xxhash64("id"), "row").sortWithinPartitions("m", "id").drop("row")
+    most = max(SLOT_DOCS, documents // MOST_CUT)
+    strata = lengths.groupBy(normaliser("n", documents, terms).alias("m")).agg(F.sum("docs").alias("docs"))
+    large = strata.where(F.col("docs") > most).select("m", F.ceil(F.col("docs") / most).cast("int").alias("slots"))  # MOST_CUT rows at most
+    slot = F.coalesce(F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.col("slots")), F.lit(0)).cast("int")
+    dealt = vectors(docs, "doc_id").withColumn("m", normaliser("n", documents, terms)).join(F.broadcast(large), "m", "left").select("m", slot.alias("slot"), "id", "terms", "tfs")
+    dealt = dealt.repartition(max(n_partitions(docs.sparkSession), -(-terms // BUILD_TERMS)), "m", "slot").sortWithinPartitions("m", "slot", "id")
     index = Index(settle(map_arrow(dealt, blocks, POSTINGS), "lexical-index"), documents, terms)
-    discard(rows)
+    discard(lengths)
     return index
 
 
@@ -322,13 +348,14 @@ def search(index: Index, items: DataFrame, most: int = BEST) -> DataFrame:
     spark = items.sparkSession
     asked = vectors(items, "item_id").select("id", F.explode(F.arrays_zip("terms", "tfs")).alias("x")).groupBy("id", F.col("x.terms").alias("term")).agg(F.sum("x.tfs").alias("times"))
     asked = settle(asked, "asked")
-    batches = max(1, -(-asked.count() // BATCH_TERMS))
+    n, size = asked.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("term")), F.lit(0))).first()
+    batches = max(1, -(-n // BATCH_TERMS), -(-size // BATCH_BYTES))
     out = None
     for batch in range(batches):
         pairs = asked.where(F.pmod(F.xxhash64("id"), F.lit(batches)) == batch).collect()
         vocabulary = {t: k for k, t in enumerate(sorted({r.term for r in pairs}))}
         words = spark.createDataFrame([*vocabulary.items(), (None, -1)], "term string, no int")
-        picked = index.rows.join(words, index.rows["term"].eqNullSafe(words["term"])).select("block", "m", "no", "tfs", "ends", "slots", "docs")
+        picked = index.rows.join(F.broadcast(words), index.rows["term"].eqNullSafe(words["term"])).select("block", "m", "no", "tfs", "ends", "slots", "docs")
         df = {r.no: r.df for r in picked.where("no >= 0").groupBy("no").agg(F.sum(F.size("slots")).alias("df")).collect()}
         weight = {t: math.floor(1000 * math.log((2.0 * index.documents + 2) / (2.0 * df[k] + 1))) for t, k in vocabulary.items() if k in df}
         pairs = sorted((r for r in pairs if weight.get(r.term)), key=lambda r: (r.id is None, r.id))
