@@ -275,32 +275,22 @@ def with_nodes(marks: DataFrame, named: DataFrame) -> DataFrame:
 
 # ---- near copies of lower similarity: exact Jaccard of the shingle sets
 
-#: Independent fingerprints of a text, and so 64 times as many bits, whose distance tells which pairs are worth a look.
+#: Words of 64 bits in a map of a set, in which each shingle marks one bit.
 WIDE = 16
 #: Texts are near from a Jaccard similarity of NEAR[0] / NEAR[1] on.
 NEAR = (4, 5)
-#: Pairs of more differing bits (of 1024) are not looked at. Those at 0.8 differ in 140 to 160 (deviation 12 at most), so
-#: the filter is 5 deviations away; pairs at 0.57 differ in 247 (14). Sets of fewer than FEW shingles can differ in 194 at
-#: 0.8 and are not filtered.
-APART, FEW = 225, 6
 #: Shingles in the prefixes of over so many texts, and of over a millionth of all, come last in the order of prefixes.
 COMMON = 32
-#: So many of a text's keys tell whether a pair has met in an earlier bucket.
-EARLIER = 64
-#: Crowded buckets are compared in parts of about so many texts.
-PART = 1024
+#: Crowded buckets are compared in parts of about so many texts; a bucket of one part is not copied.
+PART = 16_384
 
 
-def wide_fingerprint(hashed: np.ndarray, count: int = WIDE) -> np.ndarray:
-    """`count` fingerprints, each of the shingles' hashes mixed anew."""
-    if not len(hashed):
-        return np.zeros(count, np.int64)
-    total = np.zeros(count * BITS, np.int64)
-    seeds = np.arange(1, count + 1, dtype=np.uint64) * ODD
-    for k in range(0, len(hashed), 255):
-        bits = np.unpackbits(mix(hashed[k : k + 255, None] ^ seeds).astype("<u8").view(np.uint8), axis=1, bitorder="little")
-        total += np.add.reduce(bits, axis=0, dtype=np.uint8)
-    return np.packbits(2 * total > len(hashed), bitorder="little").view("<i8").astype(np.int64)
+def bit_map(hashed: np.ndarray, width: int = WIDE) -> np.ndarray:
+    """Which of the bits of a map the hashes fall on. A bit that one map has and another lacks is a shingle that the other
+    lacks, so the bits bound from above what two sets share."""
+    out = np.zeros(width * BITS, np.uint8)
+    out[(hashed % np.uint64(width * BITS)).astype(np.intp)] = 1
+    return np.packbits(out, bitorder="little").view("<i8").astype(np.int64)
 
 
 def prefix(own: np.ndarray, common: np.ndarray) -> np.ndarray:
@@ -312,19 +302,19 @@ def prefix(own: np.ndarray, common: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, node (hash of the shingle set), n (its size), fps and keys (the prefix by hashes alone)."""
+    """doc_id, node (hash of the shingle set), n (its size), bits (its map) and keys (the prefix by hashes alone)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         none, known = np.empty(0, np.uint64), Hashes()
         for batch in batches:
             sets = [shingle_set(t.as_py(), shingle, known) for t in batch.column("text")]
             nodes = pa.array([sequence_hash(s) for s in sets], pa.int64())
-            fps = pa.array([wide_fingerprint(s) for s in sets], pa.list_(pa.int64()))
+            bits = pa.array([bit_map(s) for s in sets], pa.list_(pa.int64()))
             keys = pa.array([prefix(s, none).view(np.int64) for s in sets], pa.list_(pa.int64()))
-            yield pa.record_batch([batch.column("doc_id"), nodes, pa.array([len(s) for s in sets], pa.int64()), fps, keys], names=["doc_id", "node", "n", "fps", "keys"])
+            yield pa.record_batch([batch.column("doc_id"), nodes, pa.array([len(s) for s in sets], pa.int64()), bits, keys], names=["doc_id", "node", "n", "bits", "keys"])
 
     named = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
-    return map_arrow(named, run, "doc_id long, node long, n long, fps array<bigint>, keys array<bigint>")
+    return map_arrow(named, run, "doc_id long, node long, n long, bits array<bigint>, keys array<bigint>")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, shingle: int, common: np.ndarray | None = None) -> DataFrame:
@@ -345,14 +335,16 @@ def sets_of(docs: DataFrame, wanted: DataFrame, shingle: int, common: np.ndarray
     return map_arrow(texts.select("node", "text"), run, "node long, hashes array<bigint>")
 
 
-def likely(a: str, b: str) -> str:
-    """Whether two sets can be near, by their sizes and fingerprints (columns n and fps with these endings)."""
-    bits = " + ".join(distance(f"fps_{a}[{j}]", f"fps_{b}[{j}]") for j in range(WIDE))
-    return f"{NEAR[1]} * least(n_{a}, n_{b}) >= {NEAR[0]} * greatest(n_{a}, n_{b}) and (least(n_{a}, n_{b}) < {FEW} or {bits} <= {APART})"
+def may_be_near(a: str, b: str) -> str:
+    """Whether two sets can be near, by their sizes and maps (columns n and bits with these endings). No near pair is ruled
+    out: what a set shares is at most its size less the bits that the other lacks, and near sets share 4/9 of both sizes."""
+    lacks = lambda x, y: " + ".join(f"bit_count(bits_{x}[{j}] & ~bits_{y}[{j}])" for j in range(WIDE))
+    enough = lambda x, y: f"{sum(NEAR)} * (n_{x} - ({lacks(x, y)})) >= {NEAR[0]} * (n_{x} + n_{y})"
+    return f"{NEAR[1]} * least(n_{a}, n_{b}) >= {NEAR[0]} * greatest(n_{a}, n_{b}) and {enough(a, b)} and {enough(b, a)}"
 
 
 def side(nodes: DataFrame, p: str) -> DataFrame:
-    return nodes.select(F.col("node").alias(p), F.col("n").alias(f"n_{p}"), F.col("fps").alias(f"fps_{p}"))
+    return nodes.select(F.col("node").alias(p), F.col("n").alias(f"n_{p}"), F.col("bits").alias(f"bits_{p}"))
 
 
 def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
@@ -381,7 +373,7 @@ def near_links(docs: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
     Sets that are near share a hash of their prefixes. All members of such a bucket are held against its most popular
     one, whose keys most others have: the text that a group of near copies is made from. That joins a large group at a
     cost in proportion to it. Then the members of one bucket that are not connected yet are compared with each other; sizes
-    and fingerprints, and in crowded buckets the sets themselves, rule their pairs out before they are made.
+    and maps of the sets rule out pairs that can't be near before they are made.
     """
     wide = settle(nodes.select("node", F.explode("keys").alias("key")), "wide")
     total = wide.count()
@@ -402,43 +394,32 @@ def near_links(docs: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
     first = rows.join(popular, "node").groupBy("key").agg(F.max(F.struct("popularity", "node"))["node"].alias("first"), F.count(F.lit(1)).alias("of"))
     star = spread_join(rows.select("key", "node"), settle(first, "first"), "key", "of", total).where("node != first")
     star = star.selectExpr("greatest(node, first) as a", "least(node, first) as b").distinct()
-    star = star.join(side(nodes, "a"), "a").join(side(nodes, "b"), "b").where(likely("a", "b")).select("a", "b")
+    star = star.join(side(nodes, "a"), "a").join(side(nodes, "b"), "b").where(may_be_near("a", "b")).select("a", "b")
     near = verified(docs, nodes, star, shingle)
     rest = rows.select("key", "node").join(components(near), "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = rest.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size")).where("low < high").select("key", "size")
-    rest = settle(spread_join(rest, settle(mixed, "mixed"), "key", "size", total).join(nodes.select("node", "n", "fps"), "node"), "rest")
+    rest = settle(spread_join(rest, settle(mixed, "mixed"), "key", "size", total).join(nodes.select("node", "n", "bits"), "node"), "rest")
     discard(rows)
-    pairs = pairs_of(rest.where(F.col("size") <= BUCKET_PAIRS), "true")
-    crowded = rest.where(F.col("size") > BUCKET_PAIRS)
-    sets = sets_of(docs, crowded.select("node").distinct().join(nodes.select("node", "first_id"), "node"), shingle).dropDuplicates(["node"])
-    # 32 bits a shingle: what falls together by chance is allowed for, and the whole hashes decide afterwards.
-    sets = settle(sets.select("node", F.transform("hashes", lambda h: F.shiftright(h, 32).cast("int")).alias("set")), "half-sets")
-    # A pair is looked at in the first bucket that it shares, as far as its first keys tell.
-    earlier = crowded.groupBy("node").agg(F.slice(F.sort_array(F.collect_list("key")), 1, EARLIER).alias("own"))
-    crowded = crowded.join(earlier, "node").withColumn("own", F.filter("own", lambda k: k < F.col("key"))).join(sets, "node")
-    alike = f"not arrays_overlap(own_a, own_b) and {sum(NEAR)} * (size(array_intersect(set_a, set_b)) + 2) >= {NEAR[0]} * (n_a + n_b)"
-    pairs = settle(pairs.unionByName(pairs_of(crowded, alike)).distinct(), "rest-pairs")
-    discard(rest, sets)
-    more = verified(docs, nodes, pairs, shingle)
-    discard(pairs)
+    more = verified(docs, nodes, pairs_of(rest).distinct(), shingle)
+    discard(rest)
     return near.unionByName(more)
 
 
-def pairs_of(rest: DataFrame, more: str) -> DataFrame:
-    """rest: key, node, component, n, fps and what `more` needs. Returns the pairs a > b of a bucket, of two components, that
-    can be near; none is made that sizes, fingerprints or `more` rule out."""
-    each = [c for c in rest.columns if c not in ("key", "node", "size")]
-    # Each part of a bucket meets the whole bucket in a task of its own.
+def pairs_of(rest: DataFrame) -> DataFrame:
+    """rest: key, node, component, n, bits and size. Returns the pairs a > b of a bucket, of two components, that can be near.
+
+    Each part of a bucket meets the whole bucket in a task of its own.
+    """
     parts, n = F.expr(f"cast(ceil(size / {PART}.0) as int)"), n_partitions(rest.sparkSession)
     part = {"a": F.pmod(F.xxhash64("node"), parts).cast("int"), "b": F.explode(F.sequence(F.lit(0), parts - 1))}
-    x, y = (rest.select("key", part[p].alias("part"), F.col("node").alias(p), *[F.col(c).alias(f"{c}_{p}") for c in each]).repartition(n, "key", "part") for p in ("a", "b"))
-    return x.join(y, ["key", "part"]).where(f"a > b and component_a != component_b and {likely('a', 'b')} and {more}").select("a", "b")
+    x, y = (rest.select("key", part[p].alias("part"), F.col("node").alias(p), *[F.col(c).alias(f"{c}_{p}") for c in ("component", "n", "bits")]).repartition(n, "key", "part") for p in ("a", "b"))
+    return x.join(y, ["key", "part"]).where(f"a > b and component_a != component_b and {may_be_near('a', 'b')}").select("a", "b")
 
 
 def near_classes(docs: DataFrame, shingle: int = 5) -> DataFrame:
     """doc_id and component_id of the documents that are near another one. Equal sets of shingles are one node."""
     marks = settle(signatures(docs, shingle), "signatures")
-    nodes = settle(marks.groupBy("node").agg(F.min("doc_id").alias("first_id"), *[F.first(c).alias(c) for c in ("n", "fps", "keys")]), "nodes")
+    nodes = settle(marks.groupBy("node").agg(F.min("doc_id").alias("first_id"), *[F.first(c).alias(c) for c in ("n", "bits", "keys")]), "nodes")
     ids = settle(marks.select("doc_id", "node"), "ids")
     discard(marks)
     member = components(near_links(docs, nodes, shingle))
