@@ -78,3 +78,30 @@ def test_parts_of_a_bucket_meet(spark, monkeypatch):
     pairs = {tuple(r) for r in simhash.pairs_of(rest).collect()}
     near = {(a, b) for b, a in itertools.combinations(range(80), 2) if 9 * len(np.intersect1d(sets[a], sets[b])) >= 4 * (len(sets[a]) + len(sets[b]))}
     assert near and near <= pairs
+
+
+def test_words_of_any_frequency_are_found_jointly():
+    """A pair that decides is found among thousands of more frequent words; chance finds none."""
+    from viaduct.llm import toxicity
+
+    rnd = random.Random(4)
+    docs, labels = [], []
+    for k in range(1200):
+        a, b = k % 30 < 15, k % 20 < 10
+        rare = k % 4 == 0
+        w = {f"w{rnd.randrange(6000)}" for _ in range(250)} | ({"insult"} if rare and a else set()) | ({"group"} if rare and b else set())
+        docs.append(np.array([toxicity.terms(x.encode())[0] for x in sorted(w)], np.int64))
+        labels.append(float(a == b) if rare else float(rnd.random() < 0.5))
+    found = set(toxicity.joint(docs, np.array(labels)).tolist())
+    assert found == {toxicity.terms(b"insult")[0], toxicity.terms(b"group")[0]}
+
+
+def test_every_language_is_learnt_from_windows_of_whole_texts(spark):
+    from viaduct.llm import language
+
+    texts = [(k, ("abc " if k % 2 else "xyz ") * 600, f"l{k % 2}" if k < 300 else f"rare{k}", "s", 0) for k in range(340)]
+    langs, x, mask, y = language.sample(spark.createDataFrame(texts, DOCS), 200)
+    assert len(langs) > 30 and "l0" in langs and all(np.bincount(y)[langs.index(k)] < 300 for k in ("l0", "l1"))
+    assert mask.sum() == (x > 0).sum() and x.shape[1] == language.WINDOW
+    small = language.sample(spark.createDataFrame([(1, "ab" * 500, "l", "s", 0), (1, "ab" * 500, "l", "s", 0), (2, None, "m", "s", 0), (3, "", "n", "s", 0)], DOCS), 1000)
+    assert small[0] == ["l"] and len(small[1]) == 11 and small[2].sum() == 1000

@@ -2,11 +2,13 @@
 
 The network reads windows of WINDOW bytes in both directions; at each position its two states give the probability of
 each language (every position is labelled), and a document's probabilities are the mean over all positions of its whole
-text. It is trained in numpy by backpropagation through time on a bounded sample, with Adam, and broadcast (some kB).
+text. It is trained in numpy by backpropagation through time with Adam, and broadcast (some kB). The sample is one of
+labelled windows: each window of each text that is not held out has the same chance to be in it, for each language the one
+that gives about SAMPLE windows, or fewer where there are very many languages. All languages are learnt.
 
 Defined results: null texts and texts without a letter are `und` with score 0; without training rows everything is `und`;
 repeated rows each get their prediction; other columns are ignored; of equal probabilities the language that comes first
-in the alphabet is taken; an empty table gives no rows. At most LANGS languages are learnt, those of most documents.
+in the alphabet is taken; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -23,14 +25,12 @@ from .common import held_out, map_arrow
 
 HIDDEN = 8
 WINDOW = 96
-#: The most documents of each language, and windows of each document, that a model is fitted on.
-SAMPLE = 400
-SAMPLE_WINDOWS = 3
+#: About the most windows of each language, and of all together, that a model is fitted on.
+SAMPLE = 1200
+SAMPLE_ALL = 40_000
 EPOCHS = 6
 BATCH = 128
 RATE = 0.02
-#: The most languages that a model learns; a column with more values is dirty, and its rarest ones are left out.
-LANGS = 256
 #: Windows worked on at once.
 WIDTH = 2048
 UNKNOWN = "und"
@@ -176,33 +176,34 @@ def document_probabilities(w: Weights, raws: list[bytes]) -> np.ndarray:
 
 
 def sample(docs: DataFrame, size: int) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-    """Languages, windows, masks and labels of about `size` documents a language at most that aren't held out.
+    """Languages, windows, masks and labels of about `size` windows a language at most, of texts that aren't held out.
 
-    Of a document it takes windows spread over its length; rows come to the driver as bytes of bounded number and size.
+    A window's chance is drawn by its document's id, so it is the same each time. A doc_id that repeats with one text is one
+    document. The driver gets a count for each language, and the sample.
     """
     known = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))).where(F.octet_length("text") > 0)
-    n = {r["lang"]: r["count"] for r in known.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(LANGS).collect()}
+    n = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.sum(F.ceil(F.octet_length("text") / WINDOW)).alias("n")).collect()}
     langs = sorted(n)
     if not langs:
         return [], np.empty((0, WINDOW), np.uint8), np.empty((0, WINDOW), np.float32), np.empty(0, np.int64)
-    shares = docs.sparkSession.createDataFrame([(k, min(1.0, size / n[k])) for k in langs], "lang string, share double")
-    chosen = known.join(F.broadcast(shares), "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.col("share") * 1_000_000)
-    # A doc_id that repeats is one document of the sample.
-    chosen = chosen.groupBy("doc_id").agg(F.min(F.struct("lang", "text")).alias("x")).select("x.*")
+    size = max(1, min(size, SAMPLE_ALL // len(langs)))
+    sent = docs.sparkSession.sparkContext.broadcast({k: min(1.0, size / n[k]) for k in langs})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        share = sent.value
         for batch in batches:
             rows = []
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            for seed, lang, text in zip(*(batch.column(c).to_pylist() for c in ("seed", "lang", "text")), strict=True):
                 raw = text.encode("utf-8", "surrogatepass")
-                last = max(0, len(raw) - WINDOW)
-                for at in sorted({last * k // max(SAMPLE_WINDOWS - 1, 1) for k in range(SAMPLE_WINDOWS)}):
-                    rows.append((lang, raw[at : at + WINDOW]))
-            cols = list(zip(*rows, strict=True)) if rows else [(), ()]
-            yield pa.record_batch([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.binary())], names=["lang", "raw"])
-
-    got = sorted(map(tuple, map_arrow(chosen, run, "lang string, raw binary").collect()))
-    x = np.concatenate([windows(bytes(r)) for _, r in got])
+                drawn = np.random.default_rng(seed).random(-(-len(raw) // WINDOW)) < share[lang]
+                rows += [(lang, seed, at, raw[at : at + WINDOW]) for at in (np.flatnonzero(drawn) * WINDOW).tolist()]
+            cols = list(zip(*rows, strict=True)) if rows else [(), (), (), ()]
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["lang", "seed", "at", "raw"])
+
+    seeded = known.select(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 62)).alias("seed"), "lang", "text")
+    got = sorted((k, bytes(r)) for k, _, _, r in map_arrow(seeded, run, "lang string, seed long, at long, raw binary").distinct().collect())
+    langs = sorted({k for k, _ in got})
+    x = np.concatenate([windows(r) for _, r in got])
     mask = np.array([np.arange(WINDOW) < len(r) for _, r in got], np.float32)
     place = {k: i for i, k in enumerate(langs)}
     return langs, x, mask, np.array([place[k] for k, _ in got])

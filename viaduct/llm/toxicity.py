@@ -5,16 +5,14 @@ inflected and compounded forms share a term. The score is the logistic of a bias
 of their factors: pairs such as an insult and a group's name count beyond the sum of their own weights.
 
 Two kinds of terms are in the machine. Those that tell by themselves enter with their log odds ratio in the sample as
-value. Those that tell jointly, though alike in both classes by themselves, enter with the value 1: of the PAIR_TERMS most
-frequent words every pair's counts in the classes are compared with what the more telling of the two words alone would
-give. All other terms have the value 0. The pair sum is divided by the number of the text's terms in the machine, so it
+value. Those that tell jointly, though alike in both classes by themselves, enter with the value 1: every pair's counts in
+the classes are compared with what the more telling of the two words alone would give. All other terms have the value 0. The pair sum is divided by the number of the text's terms in the machine, so it
 does not fade in long texts. The machine is trained in numpy by AdaGrad on a bounded sample of labelled documents and
 broadcast (BUCKETS * (2 + FACTORS) floats).
 
 Defined results: null and empty texts get the bias alone; a label table without rows gives the score 0 everywhere; an
 empty table gives no rows; repeated rows each get their score, and a document's repeated rows are one in the sample; other
-columns are ignored; of repeated labels of a document the larger one counts; a score of exactly 0.5 predicts 1; of words
-of equal frequency the one of the smaller bucket is taken into the pairs.
+columns are ignored; of repeated labels of a document the larger one counts; a score of exactly 0.5 predicts 1.
 """
 
 from __future__ import annotations
@@ -42,10 +40,11 @@ DECAY = 1e-3
 #: Only terms of so many sampled documents are learnt, whose share differs between the classes by so many standard errors.
 MIN_DOCS = 3
 CHANCE = 2.5
-#: So many of the most frequent words of the sample are tried in pairs; a pair needs so many documents and standard errors.
-PAIR_TERMS = 2048
+#: A pair of words needs so many documents; all pairs together find one by chance in one of a hundred samples. Pairs are
+#: looked for in documents of the sample that hold so many pairs of words.
 MIN_PAIR = 8
-PAIR_CHANCE = 6
+PAIR_ERROR = 0.01
+PAIR_WORK = 2_000_000_000
 #: Words that a worker remembers before it starts anew.
 MEMORY = 500_000
 
@@ -81,33 +80,49 @@ def telling(docs: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
 
 
 def joint(docs: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
-    """The terms of pairs that tell more than either term alone. docs: each document's word terms, without prefixes."""
-    if not len(docs):
-        return np.empty(0, np.int64)
+    """The terms of pairs that tell more than either term alone. docs: each document's word terms, without prefixes.
+
+    Every pair of words with MIN_PAIR documents in common is looked at: for one word after the other, the words of its
+    documents are counted in both classes. The first documents with together PAIR_WORK pairs of words are used.
+    """
     each = [np.unique(d) for d in docs]
-    count = np.bincount(np.concatenate([np.empty(0, np.int64), *each]), minlength=BUCKETS)
-    order = np.lexsort((np.arange(BUCKETS), -count))[:PAIR_TERMS]
-    chosen = np.sort(order[count[order] >= MIN_DOCS])
+    work = np.cumsum([len(d) ** 2 for d in each])
+    each = each[: int(np.searchsorted(work, PAIR_WORK, "right"))]
+    flat = np.concatenate([np.empty(0, np.int64), *each])
+    count = np.bincount(flat, minlength=BUCKETS)
+    chosen = np.flatnonzero(count >= MIN_PAIR)
     if not len(chosen):
         return chosen
     place = np.full(BUCKETS, -1)
     place[chosen] = np.arange(len(chosen))
-    both = np.zeros((2, len(chosen), len(chosen)), np.float32)
-    for y in (0, 1):
-        own = [place[d] for d, k in zip(each, labels, strict=True) if k == y]
-        for k in range(0, len(own), 1024):
-            x = np.zeros((min(1024, len(own) - k), len(chosen)), np.float32)
-            for row, d in zip(x, own[k : k + 1024], strict=True):
-                row[d[d >= 0]] = 1
-            both[y] += x.T @ x
-    n, ones = both[0] + both[1], both[1]
-    share = np.diag(ones) / np.diag(n)
-    low, high = np.minimum.outer(share, share), np.maximum.outer(share, share)
-    # Between the shares of the two words there is nothing that the words alone don't say.
-    expected = np.clip(ones / np.maximum(n, 1), low, high).clip(1e-3, 1 - 1e-3)
-    apart = np.abs(ones - n * expected) / np.sqrt(np.maximum(n, 1) * expected * (1 - expected))
-    apart[(n < MIN_PAIR) | np.eye(len(chosen), dtype=bool)] = 0
-    return chosen[(apart >= PAIR_CHANCE).any(axis=0)]
+    doc = np.repeat(np.arange(len(each)), [len(d) for d in each])
+    doc, word = doc[place[flat] >= 0], place[flat[place[flat] >= 0]]
+    ends = np.r_[0, np.cumsum(np.bincount(doc, minlength=len(each)))]
+    order = np.argsort(word, kind="stable")
+    starts = np.r_[0, np.cumsum(np.bincount(word, minlength=len(chosen)))]
+    y = labels[: len(each)]
+    share = np.bincount(word, y[doc], len(chosen)) / count[chosen]
+    surely = np.log(len(chosen) ** 2 / PAIR_ERROR)
+    out = np.zeros(len(chosen), bool)
+    for k in range(len(chosen)):
+        own = doc[order[starts[k] : starts[k + 1]]]
+        size = ends[own + 1] - ends[own]
+        at = np.repeat(ends[own] - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(size.sum())
+        n = np.bincount(word[at], minlength=len(chosen))
+        ones = np.bincount(word[at], np.repeat(y[own], size), len(chosen))
+        n[k] = 0
+        other = np.flatnonzero(n >= MIN_PAIR)
+        seen = ones[other] / n[other]
+        # Between the shares of the two words there is nothing that the words alone don't say.
+        expected = np.clip(seen, np.minimum(share[other], share[k]), np.maximum(share[other], share[k])).clip(1e-3, 1 - 1e-3)
+        out[k] = (n[other] * divergence(seen, expected) >= surely).any()
+    return chosen[out]
+
+
+def divergence(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Of a share p from an expected q: exp(-n * divergence) bounds the chance of such a share among n."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(p > 0, p * np.log(p / q), 0) + np.where(p < 1, (1 - p) * np.log((1 - p) / (1 - q)), 0)
 
 
 def fit(docs: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Machine:
