@@ -19,7 +19,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WS_CLASS, discard, n_partitions, settle, spread_join
+from .common import WS_CLASS, discard, n_partitions, settle, shared_dir, spread_join
 
 #: What a table of several batches is dealt into where no other division is given.
 BATCHES = 2
@@ -34,10 +34,11 @@ def digest_of(text: Column) -> Column:
 
 
 class DigestIndex:
-    """The persistent index. name: a table of the session's catalog; its files lie in the warehouse."""
+    """The persistent index. name: a table of the session's catalog; path: where its files lie, by default a folder of that
+    name in the shared folder, which all machines see."""
 
-    def __init__(self, spark: SparkSession, name: str, buckets: int | None = None) -> None:
-        self.spark, self.name = spark, name
+    def __init__(self, spark: SparkSession, name: str, buckets: int | None = None, path: str | None = None) -> None:
+        self.spark, self.name, self.path = spark, name, path or f"{shared_dir(spark)}/{name}"
         self.buckets = buckets or n_partitions(spark)
 
     def exists(self) -> bool:
@@ -64,6 +65,7 @@ class DigestIndex:
             .mode("append")
             .bucketBy(self.buckets, "digest")
             .sortBy("digest")
+            .option("path", self.path)
             .saveAsTable(self.name)
         )
 
@@ -75,6 +77,8 @@ class DigestIndex:
 
     def drop(self) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
 
     def unseen(self, groups: DataFrame, batch: str) -> DataFrame:
         """The groups whose digest other batches lack, by a sort-merge anti-join."""
