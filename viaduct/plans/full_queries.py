@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions import columns as C
 from ..operators import audit, extra, gold, places, rail, serve
-from ..sources import files
+from ..sources import files, layers
 from ..sources.tables import shared_dir
 from .rail_queries import CITY, EVENT, MASK, STEPS, Data, half_up, hav, lookup, mean, query, total
 from .serve_queries import compare, pct
@@ -79,6 +79,18 @@ def written_gold(d: Data) -> DataFrame:
     return rows.groupBy(F.col("country_partition").cast("string").alias("country_partition"), "departure_country").agg(F.count(F.lit(1)).alias("n"), C.exact_sum("distance_km", 2, 1).alias("km"))
 
 
+def upserted(d: Data) -> DataFrame:
+    """A table that two batches fill; the second one replaces two sources, adds rows without a source, and is run twice."""
+    table = layers.SourceTable(d.spark, place(d, "by-source"), "trip_id string, route_id string, source string")
+    trips = d.trips.select("trip_id", "route_id", "source")
+    table.upsert(trips, "first")
+    again = trips.where(F.col("source").isin("DE/feed-1", "CH/feed-2")).withColumn("trip_id", F.concat(F.lit("x"), "trip_id"))
+    unsourced = trips.where("source = 'FR/feed-0'").select(F.concat(F.lit("n"), "trip_id").alias("trip_id"), "route_id", F.lit(None).cast("string").alias("source"))
+    for _ in range(2):
+        table.upsert(again.unionByName(unsourced), "second")
+    return table.rows()
+
+
 def written_database(d: Data) -> DataFrame:
     """Through the database that comes with Spark. It is one file that one process opens, so this runs where Spark is local."""
     url = f"jdbc:derby:{place(d, 'derby').removeprefix('file://')};create=true"
@@ -104,6 +116,7 @@ query("write_star", written_star, "SELECT 'trips' AS \"table\", count(*) AS n FR
 query("write_gold_partitioned", written_gold, f"SELECT CASE WHEN departure_country IN {K.GOLD_COUNTRIES} THEN departure_country ELSE '{K.OTHER_COUNTRY}' END AS country_partition, coalesce(departure_country, '{K.OTHER_COUNTRY}') AS departure_country, count(*) AS n, {total('distance_km', 2, 1)} AS km FROM s_gold GROUP BY 1, 2")
 _LOADED = "source, trip_id, departure_country, arrival_country, route_type, is_night_train, distance_km"
 query("final_load_clean", lambda d: files.final_load_clean(d.gold().select(*_LOADED.split(", "))), f"SELECT source, trip_id, coalesce(upper(trim(departure_country)), 'XX') AS departure_country, coalesce(upper(trim(arrival_country)), 'XX') AS arrival_country, TRY_CAST(route_type AS SMALLINT) AS route_type, coalesce(is_night_train, false) AS is_night_train, distance_km FROM s_gold WHERE trip_id IS NOT NULL")
+query("upsert_by_source_table", upserted, "SELECT CASE WHEN source IN ('DE/feed-1', 'CH/feed-2') THEN 'x' ELSE '' END || trip_id AS trip_id, route_id, source FROM v_trips UNION ALL SELECT 'n' || trip_id, route_id, NULL FROM v_trips WHERE source = 'FR/feed-0'")
 query("write_jdbc", written_database, "SELECT CAST(f AS BIGINT) AS f, source FROM v_feeds UNION ALL SELECT CAST(f + 100 AS BIGINT), source FROM v_feeds")
 query("export_csv", exported, "SELECT * FROM v_cities WHERE country_code = 'FR'")
 

@@ -388,6 +388,7 @@ query("with_unmatched", lambda d: places.with_unmatched(d.matched(), d.stops_at(
 query("airport_filter", lambda d: d.air(), "SELECT * FROM s_airports")
 query("airport_pairs", lambda d: places.airport_pairs(d.air()), "SELECT * FROM s_air_pairs")
 query("air_scenarios", lambda d: places.air_scenarios(places.airport_pairs(d.air())), "SELECT * FROM s_air_typed")
+query("air_emission_ref", lambda d: places.air_scenarios(places.airport_pairs(d.air())).groupBy("trajet_type", "emission_ref").agg(F.count(F.lit(1)).alias("n")), "SELECT trajet_type, emission_ref, count(*) AS n FROM s_air_typed GROUP BY 1, 2")
 query("latest_per_country", lambda d: places.latest_per_country(d.intensity), "SELECT * FROM s_latest")
 query("iso3_to_iso2", lambda d: places.intensity_by_country(d.intensity), "SELECT * FROM s_intensity")
 query("air_factor_base", lambda d: places.air_factor_base(d.air_factors).select("class", F.round("kg_per_pkm", 6).alias("kg_per_pkm")), "SELECT class, round(kg_per_pkm, 6) AS kg_per_pkm FROM s_air_base")
