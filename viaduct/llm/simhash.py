@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import discard, map_arrow, n_partitions, settle, spread_join
 from .graph import components
-from .shingles import ODD, Hashes, mix, sequence_hash, shingle_set
+from .shingles import Hashes, sequence_hash, shingle_set
 
 BITS = 64
 SEED = 42
