@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +12,7 @@ from ..functions import columns as C
 from ..operators import audit, extra, gold, places, rail, serve
 from ..sources import files, layers
 from ..sources.tables import shared_dir
-from .rail_queries import CITY, EVENT, MASK, STEPS, Data, half_up, hav, lookup, mean, query, total
+from .rail_queries import CITY, EVENT, STEPS, Data, half_up, hav, lookup, mean, query, total
 from .serve_queries import compare, pct
 
 STEPS["s_city_table"] = f"SELECT CAST(row_number() OVER (ORDER BY city_country, city_name) AS INTEGER) AS city_id, city_name, city_country AS country_code, {lookup('city_country', K.COUNTRY_NAMES)} AS country_name FROM (SELECT city_name, city_country FROM s_stop_city UNION SELECT city_name, city_country FROM s_airport_city) WHERE length(city_country) = 2"

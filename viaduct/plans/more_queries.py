@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..operators import audit, extra, rail
-from .rail_queries import CITY, EVENT, OR_MASK, Data, _named, hav, half_up, mean, query
+from ..operators import audit, extra
+from .rail_queries import CITY, EVENT, OR_MASK, Data, hav, half_up, mean, query
 from .serve_queries import compare, gold, pct
 
 AGENCIES = {"FR/feed-0": ("X", "Line X", "Europe/Paris"), "DE/feed-1": ("Y", "Line Y", "Europe/Berlin")}

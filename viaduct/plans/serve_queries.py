@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions import columns as C
 from ..operators import audit, places, rail, serve
-from .rail_queries import CITY, EVENT, MASK, MINUTES, Data, half_up, mean, query, seconds, total
+from .rail_queries import CITY, EVENT, MASK, MINUTES, Data, mean, query, seconds, total
 
 
 def gold(d: Data) -> DataFrame:
