@@ -23,7 +23,7 @@ def allowed(spark, sets):
 
 def test_maps_rule_out_no_near_pair(spark):
     rnd, known, texts = random.Random(1), Hashes(), []
-    for size in (3, 6, 30, 120, 400, 3000):
+    for size in (3, 6, 30, 120, 255, 262, 400, 3000):
         base = [f"w{rnd.randrange(10**6)}" for _ in range(size)]
         for k in range(12):
             w = list(base)
@@ -34,7 +34,7 @@ def test_maps_rule_out_no_near_pair(spark):
     share = {(a, b): len(np.intersect1d(sets[a], sets[b])) / len(np.union1d(sets[a], sets[b])) for a, b in itertools.combinations(range(len(sets)), 2)}
     got = allowed(spark, sets)
     assert {p for p, j in share.items() if j >= 0.8} <= got
-    assert not [p for p in got if share[p] < 0.5 and len(sets[p[0]]) < 300]
+    assert not [p for p in got if share[p] < 0.6]
 
 
 def template(n, edits, seed):

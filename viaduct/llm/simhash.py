@@ -275,8 +275,9 @@ def with_nodes(marks: DataFrame, named: DataFrame) -> DataFrame:
 
 # ---- near copies of lower similarity: exact Jaccard of the shingle sets
 
-#: Words of 64 bits in a map of a set, in which each shingle marks one bit.
-WIDE = 16
+#: Words of 64 bits in a map of a set, in which each shingle marks one bit; sets of over FILL shingles have maps of twice as
+#: many words, and so on, so that at most a quarter of a map is marked.
+WIDE, FILL = 16, 256
 #: Texts are near from a Jaccard similarity of NEAR[0] / NEAR[1] on.
 NEAR = (4, 5)
 #: Shingles in the prefixes of over so many texts, and of over a millionth of all, come last in the order of prefixes.
@@ -285,9 +286,10 @@ COMMON = 32
 PART = 16_384
 
 
-def bit_map(hashed: np.ndarray, width: int = WIDE) -> np.ndarray:
+def bit_map(hashed: np.ndarray) -> np.ndarray:
     """Which of the bits of a map the hashes fall on. A bit that one map has and another lacks is a shingle that the other
-    lacks, so the bits bound from above what two sets share."""
+    lacks, so the bits bound from above what two sets share. The map of half the size is the or of a map's halves."""
+    width = WIDE << max(0, int(-(-len(hashed) // FILL) - 1).bit_length())
     out = np.zeros(width * BITS, np.uint8)
     out[(hashed % np.uint64(width * BITS)).astype(np.intp)] = 1
     return np.packbits(out, bitorder="little").view("<i8").astype(np.int64)
@@ -337,10 +339,16 @@ def sets_of(docs: DataFrame, wanted: DataFrame, shingle: int, common: np.ndarray
 
 def may_be_near(a: str, b: str) -> str:
     """Whether two sets can be near, by their sizes and maps (columns n and bits with these endings). No near pair is ruled
-    out: what a set shares is at most its size less the bits that the other lacks, and near sets share 4/9 of both sizes."""
-    lacks = lambda x, y: " + ".join(f"bit_count(bits_{x}[{j}] & ~bits_{y}[{j}])" for j in range(WIDE))
-    enough = lambda x, y: f"{sum(NEAR)} * (n_{x} - ({lacks(x, y)})) >= {NEAR[0]} * (n_{x} + n_{y})"
-    return f"{NEAR[1]} * least(n_{a}, n_{b}) >= {NEAR[0]} * greatest(n_{a}, n_{b}) and {enough(a, b)} and {enough(b, a)}"
+    out: what a set shares is at most its size less the bits that the other lacks, and near sets share 4/9 of both sizes.
+    Maps of near sets have the same size, or one twice the other's and is halved."""
+    short = lambda x, y: " + ".join(f"bit_count(bits_{x}[{j}] & ~bits_{y}[{j}])" for j in range(WIDE))
+    half = lambda x: f"zip_with(slice(bits_{x}, 1, size(bits_{x}) div 2), slice(bits_{x}, size(bits_{x}) div 2 + 1, size(bits_{x}) div 2), (p, q) -> p | q)"
+    fit = lambda x, y: f"if(size(bits_{x}) > size(bits_{y}), {half(x)}, bits_{x})"
+    long = lambda x, y: f"aggregate(zip_with({fit(x, y)}, {fit(y, x)}, (p, q) -> bit_count(p & ~q)), 0, (total, c) -> total + c)"
+    both_short = f"size(bits_{a}) = {WIDE} and size(bits_{b}) = {WIDE}"
+    enough = lambda x, y, lacks: f"{sum(NEAR)} * (n_{x} - ({lacks(x, y)})) >= {NEAR[0]} * (n_{x} + n_{y})"
+    tested = " else ".join([f"when {both_short} then {enough(a, b, short)} and {enough(b, a, short)}", f"{enough(a, b, long)} and {enough(b, a, long)}"])
+    return f"{NEAR[1]} * least(n_{a}, n_{b}) >= {NEAR[0]} * greatest(n_{a}, n_{b}) and case {tested} end"
 
 
 def side(nodes: DataFrame, p: str) -> DataFrame:
