@@ -268,6 +268,27 @@ def test_near_contents_are_found_in_crowded_buckets(spark, monkeypatch):
     assert sum((i + 60, i) in found for i in range(60)) >= 54 and all(a - 60 == b for a, b in found)
 
 
+def test_crowded_contents_are_brute_force(spark, monkeypatch):
+    """Variants of a few runs of words, edited anywhere: dense groups, whose members are near several others."""
+    rnd = random.Random(14)
+    bases = [[rnd.randrange(2**31) for _ in range(substrings.WORDS)] for _ in range(3)] + [[5] * substrings.WORDS]
+    rows = {}
+    for k in range(300):
+        w = list(rnd.choice(bases))
+        for _ in range(rnd.randrange(1, 3)):
+            w[rnd.choice([0, 0, 1, 12, 22, 23, 23])] = rnd.randrange(40)
+        rows[tuple(w)] = (k, rnd.randrange(100), w)
+    sets = {c: {tuple(w[j : j + 5]) for j in range(20)} for c, _, w in rows.values()}
+    ids = {c: i for c, i, _ in rows.values()}
+    near = lambda x, y: 5 * len(sets[x] & sets[y]) >= 4 * len(sets[x] | sets[y])
+    want = {x: min(found) for x in ids if (found := [ids[y] for y in ids if ids[y] < ids[x] and near(x, y)])}
+    assert len(want) > 100
+    words = spark.createDataFrame(list(rows.values()), "content long, id long, words array<int>").repartition(3)
+    for part in (8192, 16):
+        monkeypatch.setattr(substrings, "PART", part)
+        assert {r.content: r.near_id for r in substrings.near_crowded(words).collect()} == want
+
+
 def test_tuned_bands_reach_the_recall():
     b, r = substrings.tune(0.8, 0.95)
     assert 1 - (1 - 0.8**r) ** b >= 0.95 and 1 - (1 - 0.8**r) ** (b - 1) < 0.95
