@@ -95,12 +95,14 @@ def hot_limit(total: int) -> int:
 def spread_join(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:
     """Inner join of rows with groups (one row for each key, settled; `size` rows of `rows` have it, `total` in all).
 
-    Hot keys are broadcast with their values: under 1000 rows. All others are shuffled, without the rows of hot keys. Where
-    no key is hot, as one look at the groups tells, it is a plain join.
+    Hot keys are told by their hashes, under 1000 of them, which the driver sees and both sides are filtered by; their groups
+    are broadcast. All others are shuffled, without the rows of hot keys. Where no key is hot it is a plain join.
     """
-    limit = hot_limit(total)
-    hot = groups.where(F.col(size) > limit)
-    if hot.isEmpty():
+    kind = rows.schema[key].dataType
+    mark = F.xxhash64(F.col(key).cast(kind))
+    hot = [r[0] for r in groups.where(F.col(size) > hot_limit(total)).select(mark).collect()]
+    if not hot:
         return rows.join(groups, key)
-    cold = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(groups.where(F.col(size) <= limit), key)
-    return rows.join(F.broadcast(hot), key).unionByName(cold)
+    is_hot = mark.isin(hot)
+    cold = rows.where(~is_hot).join(groups.where(~is_hot), key)
+    return rows.where(is_hot).join(F.broadcast(groups.where(is_hot)), key).unionByName(cold)
