@@ -105,3 +105,52 @@ def test_every_language_is_learnt_from_windows_of_whole_texts(spark):
     assert mask.sum() == (x > 0).sum() and x.shape[1] == language.WINDOW
     small = language.sample(spark.createDataFrame([(1, "ab" * 500, "l", "s", 0), (1, "ab" * 500, "l", "s", 0), (2, None, "m", "s", 0), (3, "", "n", "s", 0)], DOCS), 1000)
     assert small[0] == ["l"] and len(small[1]) == 11 and small[2].sum() == 1000
+
+
+def test_a_paragraph_connects_all_that_it_is_near(spark, monkeypatch):
+    """Paragraphs with edits at either end are near the whole one, not each other: all are one component, in buckets of any size."""
+    from viaduct.llm import substrings
+    from viaduct.llm.graph import components
+
+    rnd, rows, ids = random.Random(3), [], []
+    for g in range(30):
+        whole = [rnd.randrange(2**31) for _ in range(substrings.WORDS)]
+        new = [rnd.randrange(2**31) for _ in range(4)]
+        for k, w in enumerate((new[:2] + whole[2:], whole[:-2] + new[2:], whole)):
+            rows.append((10 * g + k, 10 * g + k, w))
+            ids.append((g, 10 * g + k))
+    words = spark.createDataFrame(rows, "content long, id long, words array<int>").repartition(3)
+    keyed = spark.createDataFrame([(g, c, c, 3) for g, c in ids], "key long, content long, id long, size long")
+    for bucket, part in ((32, 8192), (2, 8192), (2, 2)):
+        monkeypatch.setattr(substrings, "BUCKET", bucket)
+        monkeypatch.setattr(substrings, "PART", part)
+        least, near = substrings.near_contents(keyed, words, True)
+        assert {r.content: r.near_id for r in least.collect()} == {10 * g + 2: 10 * g for g in range(30)}
+        assert {r.node: r.component for r in components(near).collect()} == {c: 10 * g for g, c in ids}
+    monkeypatch.undo()
+    monkeypatch.setattr(substrings, "tune", lambda: (12, 2))
+    report = substrings.report(spark.createDataFrame([(c, " ".join(map(str, w)), "en", "s", 0) for c, _, w in rows], DOCS))
+    assert {r.doc_id: r.component_id for r in report.collect()} == {c: 10 * g for g, c in ids}
+
+
+def test_links_between_parts_are_brute_force():
+    from viaduct.llm import substrings
+
+    rnd = random.Random(6)
+    bases = [[rnd.randrange(2**31) for _ in range(substrings.WORDS)] for _ in range(3)]
+    made = []
+    for _ in range(200):
+        w = list(rnd.choice(bases))
+        for _ in range(2):
+            w[rnd.choice([0, 0, 1, 12, 22, 23, 23])] = rnd.randrange(40)
+        made.append(w)
+    x, ids = np.array(made, np.int32), np.arange(200)
+    sets = [{tuple(w[j : j + 5]) for j in range(20)} for w in made]
+    roots = []
+    for pairs in ([(a, b) for a, b in itertools.combinations(range(200), 2) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])], zip(*substrings.links_between(x, ids, ids // 2, x, ids, ids // 2), strict=True)):
+        root = [k // 2 for k in range(200)]
+        for a, b in pairs:
+            low, high = sorted((root[a], root[b]))
+            root = [low if r == high else r for r in root]
+        roots.append(root)
+    assert roots[0] == roots[1] and 1 < len(set(roots[0])) < 90

@@ -13,7 +13,8 @@ tasks, in parts of a bounded size, and a task gives one row a content at most.
 A paragraph that repeats one of a text of a smaller id is removed. Paragraphs in a row that repeat the same run of the
 same text are one cut, which goes on to both sides for as long as some text of a smaller id has the same words there, up
 to WINDOW words: in a longer run the next paragraph is shared too. Overlapping cuts merge to a span. Documents are
-clustered by components over the links.
+clustered by components over all links: a paragraph that is near those of several texts connects all of them, though it is
+cut for the smallest id.
 
 Defined results: words are runs without white space, A-Z lower-cased for comparison; documents without doc_id, and texts
 of fewer than WORDS words, are left alone; repeats within one document stay; rows that repeat a doc_id never count as
@@ -299,45 +300,116 @@ def buckets(groups: DataFrame) -> DataFrame:
     return out
 
 
-def near_crowded(words: DataFrame) -> DataFrame:
-    """words: content, words, id. Returns content and near_id, the least smaller id of contents that are near it.
+def meetings(short: DataFrame, words: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """short: content, shingle (of its rarest); words: content, id, words, kin. Returns x and y, the members of two parts of the
+    contents of several kins that share a shingle (y is null for the one part of all), x_part and y_part; and what to discard.
 
-    Contents that share one of their rarest shingles are dealt over parts by their hash. Each part meets each part of the
-    same shingle in a task, which gives the least id for each content, so the rows made are in proportion to the contents
-    and the number of their parts, not to the pairs.
+    Contents that share one of their rarest shingles are dealt over parts by their hash. Each part meets each part of the same
+    shingle in a task, so the rows made are in proportion to the contents and the number of their parts, not to the pairs.
     """
-    met = settle(rarest(words.select("content", "words")).join(words.select("content", "id"), "content"), "met")
-    several = met.groupBy("shingle").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("size")).where("low < high").select("shingle", "size")
+    met = settle(short.join(words.select("content", "kin"), "content"), "met")
+    several = met.groupBy("shingle").agg(F.min("kin").alias("low"), F.max("kin").alias("high"), F.count(F.lit(1)).alias("size")).where("low < high").select("shingle", "size")
     several = settle(several.withColumn("parts", F.ceil(F.col("size") / PART).cast("int")), "several")
     dealt = spread_join(met.select("shingle", "content"), several, "shingle", "size", met.count()).join(words, "content")
     dealt = dealt.withColumn("part", F.pmod(F.xxhash64("content"), "parts").cast("int"))
-    lists = dealt.groupBy("shingle", "parts", "part").agg(F.collect_list(F.struct("content", "id", "words")).alias("members"))
+    lists = dealt.groupBy("shingle", "parts", "part").agg(F.collect_list(F.struct("content", "id", "words", "kin")).alias("members"))
     lists = settle(lists, "lists")
-    own = lists.where("parts = 1").select(F.col("members").alias("x"), F.lit(None).cast(lists.schema["members"].dataType).alias("y"))
-    x = lists.where("parts > 1").select("shingle", F.col("members").alias("x"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    y = lists.where("parts > 1").select("shingle", "part", F.col("members").alias("y"))
-    both = own.unionByName(x.join(y, ["shingle", "part"]).select("x", "y"))
+    discard(met, several)
+    own = lists.where("parts = 1").select(F.col("members").alias("x"), F.lit(None).cast(lists.schema["members"].dataType).alias("y"), F.lit(0).alias("x_part"), F.lit(0).alias("y_part"))
+    x = lists.where("parts > 1").select("shingle", F.col("members").alias("x"), F.col("part").alias("x_part"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("y_part"))
+    y = lists.where("parts > 1").select("shingle", F.col("part").alias("y_part"), F.col("members").alias("y"))
+    return own.unionByName(x.join(y, ["shingle", "y_part"]).select("x", "y", "x_part", "y_part")), lists
+
+
+def taken(members: pa.Array) -> tuple[np.ndarray, ...]:
+    """content, id, kin and words of the members of a part."""
+    return (*(members.field(c).to_numpy() for c in ("content", "id", "kin")), words_of(members.field("words")))
+
+
+def near_crowded(words: DataFrame, short: DataFrame | None = None) -> DataFrame:
+    """words: content, words, id. Returns content and near_id, the least smaller id of contents that are near it: a task gives
+    the least id for each content of its part."""
+    short = rarest(words.select("content", "words")) if short is None else short
+    both, lists = meetings(short, words.withColumn("kin", F.col("id")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        taken = lambda m: (m.field("content").to_numpy(), m.field("id").to_numpy(), words_of(m.field("words")))
         for batch in batches:
             for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-                content, ids, own = taken(x.values)
-                _, other_ids, other = taken(y.values) if y.is_valid else (content, ids, own)
+                content, ids, _, own = taken(x.values)
+                _, other_ids, _, other = taken(y.values) if y.is_valid else (content, ids, ids, own)
                 near = least_near(own, ids, other, other_ids)
                 some = near >= 0
                 yield pa.record_batch([pa.array(content[some]), pa.array(near[some])], names=["content", "near_id"])
 
-    out = settle(map_arrow(both, run, "content long, near_id long").groupBy("content").agg(F.min("near_id").alias("near_id")), "near-crowded")
-    discard(met, several, lists)
+    out = settle(map_arrow(both.select("x", "y"), run, "content long, near_id long").groupBy("content").agg(F.min("near_id").alias("near_id")), "near-crowded")
+    discard(lists)
     return out
 
 
-def near_contents(rows: DataFrame, words: DataFrame) -> DataFrame:
+def links_between(x: np.ndarray, x_ids: np.ndarray, x_kin: np.ndarray, y: np.ndarray, y_ids: np.ndarray, y_kin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of ids of near contents, one of x and one of y, that connect all kins of which there are such pairs.
+
+    Kins that are connected already are not compared again, so there are fewer pairs than kins.
+    """
+    kins, at_kin = np.unique(np.concatenate([x_kin, y_kin]), return_inverse=True)
+    label, in_x, in_y = np.arange(len(kins)), at_kin[: len(x)], at_kin[len(x) :]
+    maps_x, maps_y = bit_maps(x), bit_maps(y)
+    most = int((1 - SIMILARITY) * (WORDS - SHINGLE + 1) + 1e-9)
+    out_x, out_y = [], []
+    at, step = 0, 16
+    while at < len(y):
+        until = min(len(y), at + step)
+        for k in range(0, len(x), max(1, 2**20 // step)):
+            rows = slice(k, k + max(1, 2**20 // step))
+            can = label[in_x[rows]][:, None] != label[in_y[at:until]][None, :]
+            if not can.any():
+                continue
+            a, b = maps_x[rows][:, None, :], maps_y[None, at:until, :]
+            can &= (np.bitwise_count(a & ~b).sum(axis=2) <= most) & (np.bitwise_count(b & ~a).sum(axis=2) <= most)
+            i, j = np.nonzero(can)
+            near = alike(x[k + i], y[at + j])
+            i, j = k + i[near], at + j[near]
+            met, first = np.unique(np.column_stack([label[in_x[i]], label[in_y[j]]]), axis=0, return_index=True)
+            for (p, q), n in zip(met.tolist(), first.tolist(), strict=True):
+                while label[p] != p:
+                    p = label[p]
+                while label[q] != q:
+                    q = label[q]
+                if p != q:
+                    label[max(p, q)] = min(p, q)
+                    out_x.append(x_ids[i[n]])
+                    out_y.append(y_ids[j[n]])
+            while (label != label[label]).any():
+                label = label[label]
+        at, step = until, min(2048, 2 * step)
+    return np.array(out_x, np.int64), np.array(out_y, np.int64)
+
+
+def crowded_links(words: DataFrame, short: DataFrame, member: DataFrame) -> DataFrame:
+    """words: content, words, id; member: node (an id) and component. Links a > b of ids that connect the components of which
+    contents are near: with those that made the components, all near pairs are connected."""
+    kin = words.join(member.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("kin", F.coalesce("component", "id"))
+    both, lists = meetings(short, kin.drop("component"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
+                _, ids, kins, own = taken(x.values)
+                _, other_ids, other_kins, other = taken(y.values) if y.is_valid else (None, ids, kins, own)
+                a, b = links_between(own, ids, kins, other, other_ids, other_kins)
+                yield pa.record_batch([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["a", "b"])
+
+    out = settle(map_arrow(both.where("x_part <= y_part").select("x", "y"), run, "a long, b long").distinct(), "crowded-links")
+    discard(lists)
+    return out
+
+
+def near_contents(rows: DataFrame, words: DataFrame, linked: bool = False) -> tuple[DataFrame, DataFrame | None]:
     """rows: key, content, id, size; words: content, words, id (the smallest of texts that have it), one row a content.
 
-    Returns content and near_id, the least id of contents that are near it, if it is less than its own. In a small bucket
-    all contents meet. Those of crowded ones meet by their rarest shingles.
+    Returns content and near_id, the least id of contents that are near it, if it is less than its own; if linked, also links
+    a > b of ids that connect all near contents, those that are near a smaller id than theirs besides the least one too. In
+    a small bucket all contents meet. Those of crowded ones meet by their rarest shingles.
     """
     side = lambda p: words.select(F.col("content").alias(p), F.col("words").alias(f"words_{p}"), F.col("id").alias(f"id_{p}"))
     look = lambda pairs: verified(pairs.distinct().join(side("x"), "x").join(side("y"), "y"))
@@ -346,12 +418,18 @@ def near_contents(rows: DataFrame, words: DataFrame) -> DataFrame:
     found = settle(look(met), "near-small")
     crowded = settle(rows.where(F.col("size") > BUCKET).select("content").distinct().join(words, "content"), "crowded")
     least = found.groupBy(F.col("x").alias("content")).agg(F.min("id_y").alias("near_id"))
+    pairs = found.selectExpr("id_x as a", "id_y as b")
+    links = settle(pairs.distinct(), "near-links") if linked else None
     if not crowded.isEmpty():
-        least = least.unionByName(near_crowded(crowded)).groupBy("content").agg(F.min("near_id").alias("near_id"))
-        least = settle(least, "near-least")
-        discard(found)
+        short = settle(rarest(crowded.select("content", "words")), "rarest")
+        first = near_crowded(crowded, short)
+        least = settle(least.unionByName(first).groupBy("content").agg(F.min("near_id").alias("near_id")), "near-least")
+        if linked:
+            links = settle(links.unionByName(first.join(crowded, "content").selectExpr("id as a", "near_id as b")).distinct(), "near-links")
+            links = links.unionByName(crowded_links(crowded, short, components(links)))
+        discard(found, short)
     discard(crowded)
-    return least
+    return least, links
 
 
 # ---- cuts
@@ -425,6 +503,11 @@ def extended(runs: DataFrame, words: DataFrame) -> DataFrame:
 
 def links(docs: DataFrame) -> DataFrame:
     """doc_id, node, a, b (first word and word after the last), first_id: cuts that repeat a passage of first_id < doc_id."""
+    return cuts_and_links(docs, False)[0]
+
+
+def cuts_and_links(docs: DataFrame, linked: bool) -> tuple[DataFrame, DataFrame | None]:
+    """The rows of links(); if linked, also links a > b of documents that connect all of near paragraphs."""
     bands, rows = tune()
     marks = settle(marked(docs, bands, rows), "marks")
     own = [F.first(c).alias(c) for c in ("n", "starts", "contents", "keys")]
@@ -455,7 +538,8 @@ def links(docs: DataFrame) -> DataFrame:
     contents = met.select("content", "id", F.col("f_node").alias("node"), F.col("f_start").alias("at"))
     contents = settle(contents.join(words.where(F.col("kind") == PARAGRAPH), ["node", "at"]).select("content", "words", "id"), "contents")
     discard(runs, words)
-    near = settle(near_contents(bucketed, contents), "near-ids")
+    near, connected = near_contents(bucketed, contents, linked)
+    near = settle(near, "near-ids")
     discard(contents, bucketed)
     sized = settle(near.join(met.select("content", "size"), "content"), "sized")
     other = spread_join(each, sized, "content", "size", total).where("first_id > near_id")
@@ -465,7 +549,7 @@ def links(docs: DataFrame) -> DataFrame:
     copies = spread_join(ids, texts.where("copies > 1"), "node", "copies", ids.count()).where("doc_id > first_id")
     out = settle(cuts.unionByName(copies.select("doc_id", "node", F.lit(0).alias("a"), F.col("n").alias("b"), "first_id").distinct()), "links")
     discard(each, met, near, sized, same, texts, ids)
-    return out
+    return out, connected
 
 
 def spans(found: DataFrame) -> DataFrame:
@@ -486,9 +570,9 @@ def report(docs: DataFrame) -> DataFrame:
 
     doc_id, spans, n_removed (words), first_ids (documents that keep what this one loses), component_id.
     """
-    found = links(docs)
+    found, near = cuts_and_links(docs, True)
     own = spans(found).withColumn("n_removed", F.expr("aggregate(spans, 0, (n, x) -> n + x.b - x.a)").cast("long"))
-    member = components(found.select(F.col("doc_id").alias("a"), F.col("first_id").alias("b")).distinct())
+    member = components(found.select(F.col("doc_id").alias("a"), F.col("first_id").alias("b")).unionByName(near).distinct())
     out = member.withColumnRenamed("node", "doc_id").withColumnRenamed("component", "component_id").join(own.drop("node"), "doc_id", "left")
     return out.select("doc_id", "component_id", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"), F.coalesce("first_ids", F.array().cast("array<bigint>")).alias("first_ids"), F.coalesce("spans", F.array().cast("array<struct<a:int,b:int>>")).alias("spans"))
 
