@@ -204,6 +204,28 @@ def test_near_stage_is_exact_at_the_threshold(spark, monkeypatch):
         assert {i: got.get(i, i) for i in want} == want
 
 
+def test_near_stage_takes_candidates_by_fingerprints(spark, monkeypatch):
+    rnd = random.Random(19)
+    texts = []
+    for _ in range(40):
+        w = [f"w{rnd.randrange(10**6)}" for _ in range(400)]
+        texts += [w, w[:-1] + ["changed"], w[:-1] + ["again"]]
+    taken, made = {}, simhash.fingerprint_pairs
+
+    def noted(nodes):
+        out = made(nodes)
+        taken["fps"], taken["pairs"] = {r.node: r.fp for r in nodes.select("node", "fp").collect()}, {tuple(r) for r in out.collect()}
+        return out
+
+    monkeypatch.setattr(simhash, "fingerprint_pairs", noted)
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.near_classes(docs).collect()}
+    assert got == {i: i - i % 3 for i in range(120)}
+    fps, pairs = taken["fps"], taken["pairs"]
+    near = lambda a, b: ((fps[a] ^ fps[b]) & (2**64 - 1)).bit_count() <= 2
+    assert len(pairs) > 20 and brute_components(list(fps), near) == brute_components(list(fps), lambda a, b: (a, b) in pairs or (b, a) in pairs)
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(k + 1, k) for k in range(200)] + [(k, 500) for k in range(501, 700)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}

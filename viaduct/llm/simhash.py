@@ -273,15 +273,20 @@ def with_nodes(marks: DataFrame, named: DataFrame) -> DataFrame:
 
 
 
-# ---- near copies of lower similarity: exact Jaccard of the shingle sets
+# ---- near copies of lower similarity: candidates by fingerprints, then exact Jaccard of the shingle sets
+
+#: Fingerprints of near copies that the pigeonhole join finds; what differs by more bits meets by prefixes of the sets.
+RADIUS = 2
 
 #: Words of 64 bits in a map of a set, in which each shingle marks one bit; sets of over FILL shingles have maps of twice as
 #: many words, and so on, so that at most a quarter of a map is marked.
 WIDE, FILL = 16, 256
 #: Texts are near from a Jaccard similarity of NEAR[0] / NEAR[1] on.
 NEAR = (4, 5)
-#: Shingles in the prefixes of over so many texts, and of over a millionth of all, come last in the order of prefixes.
-COMMON = 32
+#: Shingles in the prefixes of over so many texts, and of over one in RARE of all, come last in the order of prefixes.
+COMMON, RARE = 32, 15_000
+#: Up to so many nodes (16 bytes each) are sent to all tasks that read texts, so the texts themselves aren't exchanged.
+SENT = 1_000_000
 #: Crowded buckets are compared in parts of about so many texts; a bucket of one part is not copied.
 PART = 16_384
 
@@ -303,37 +308,57 @@ def prefix(own: np.ndarray, common: np.ndarray) -> np.ndarray:
     return own[: len(own) - -(-NEAR[0] * len(own) // NEAR[1]) + 1]
 
 
-def signatures(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, node (hash of the shingle set), n (its size), bits (its map) and keys (the prefix by hashes alone)."""
+def common_keys(docs: DataFrame, shingle: int) -> np.ndarray:
+    """The hashes that are in the prefixes, by hashes alone, of too many texts, sorted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         none, known = np.empty(0, np.uint64), Hashes()
+        for batch in batches:
+            keys = [prefix(shingle_set(t.as_py(), shingle, known), none).view(np.int64) for t in batch.column("text")]
+            yield pa.record_batch([pa.array(np.concatenate([np.empty(0, np.int64), *keys]))], names=["key"])
+
+    named = docs.where("doc_id is not null").select("text")
+    limit = max(COMMON, named.count() // RARE)
+    found = settle(map_arrow(named, run, "key long").groupBy("key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > limit).select("key"), "common")
+    out = np.sort(np.array(found.toArrow().column(0).to_numpy(), np.int64).view(np.uint64))
+    discard(found)
+    return out
+
+
+def signatures(docs: DataFrame, shingle: int, common: np.ndarray) -> DataFrame:
+    """doc_id, node (hash of the shingle set), n (its size), fp (its fingerprint), bits (its map) and keys (its prefix)."""
+    sent = docs.sparkSession.sparkContext.broadcast(common)
+    names = ["doc_id", "node", "n", "fp", "bits", "keys"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        late, known = sent.value, Hashes()
         for batch in batches:
             sets = [shingle_set(t.as_py(), shingle, known) for t in batch.column("text")]
             nodes = pa.array([sequence_hash(s) for s in sets], pa.int64())
+            fps = pa.array([fingerprint(s) for s in sets], pa.int64())
             bits = pa.array([bit_map(s) for s in sets], pa.list_(pa.int64()))
-            keys = pa.array([prefix(s, none).view(np.int64) for s in sets], pa.list_(pa.int64()))
-            yield pa.record_batch([batch.column("doc_id"), nodes, pa.array([len(s) for s in sets], pa.int64()), bits, keys], names=["doc_id", "node", "n", "bits", "keys"])
+            keys = pa.array([prefix(s, late).view(np.int64) for s in sets], pa.list_(pa.int64()))
+            yield pa.record_batch([batch.column("doc_id"), nodes, pa.array([len(s) for s in sets], pa.int64()), fps, bits, keys], names=names)
 
     named = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
-    return map_arrow(named, run, "doc_id long, node long, n long, bits array<bigint>, keys array<bigint>")
+    return map_arrow(named, run, "doc_id long, node long, n long, fp long, bits array<bigint>, keys array<bigint>")
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame, shingle: int, common: np.ndarray | None = None) -> DataFrame:
-    """wanted: node, first_id. Returns node and its set as `hashes`; with common ones, their prefix instead."""
-    sent = docs.sparkSession.sparkContext.broadcast(common)
+def sets_of(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """wanted: node, first_id. Returns node and its set as `hashes`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        late, known = sent.value, Hashes()
+        known = Hashes()
         for batch in batches:
             sets = [shingle_set(t.as_py(), shingle, known) for t in batch.column("text")]
             nodes = np.array([sequence_hash(s) for s in sets], np.int64)
             # A doc_id that repeats with other texts brings those too.
             mine = np.flatnonzero(nodes == batch.column("node").to_numpy())
-            rows = [(sets[k] if late is None else prefix(sets[k], late)).view(np.int64) for k in mine]
-            yield pa.record_batch([pa.array(nodes[mine]), pa.array(rows, pa.list_(pa.int64()))], names=["node", "hashes"])
+            yield pa.record_batch([pa.array(nodes[mine]), pa.array([sets[k].view(np.int64) for k in mine], pa.list_(pa.int64()))], names=["node", "hashes"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("first_id"), "text").join(wanted.select("node", "first_id"), "first_id")
+    wanted = settle(wanted.select("node", "first_id"), "wanted")
+    asked = F.broadcast(wanted) if wanted.count() <= SENT else wanted
+    texts = docs.select(F.col("doc_id").cast("long").alias("first_id"), "text").join(asked, "first_id")
     return map_arrow(texts.select("node", "text"), run, "node long, hashes array<bigint>")
 
 
@@ -375,41 +400,54 @@ def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int)
     return out
 
 
-def near_links(docs: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
-    """Links a > b of nodes whose components are those of all near pairs: no pair and no bucket is left out.
+def fingerprint_pairs(nodes: DataFrame) -> DataFrame:
+    """nodes: node, fp. Pairs a > b of nodes whose fingerprints are within RADIUS, by the pigeonhole join.
 
-    Sets that are near share a hash of their prefixes. All members of such a bucket are held against its most popular
-    one, whose keys most others have: the text that a group of near copies is made from. That joins a large group at a
-    cost in proportion to it. Then the members of one bucket that are not connected yet are compared with each other; sizes
-    and maps of the sets rule out pairs that can't be near before they are made.
+    Nodes of one fingerprint are paired with the smallest of them, and those of two fingerprints that link with each other.
     """
-    wide = settle(nodes.select("node", F.explode("keys").alias("key")), "wide")
-    total = wide.count()
-    sizes = wide.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
-    common = np.sort(np.array(sizes.where(F.col("size") > max(COMMON, total // 1_000_000)).select("key").toArrow().column(0).to_numpy(), np.int64).view(np.uint64))
-    if len(common):
-        late = settle(docs.sparkSession.createDataFrame(pa.table({"key": common.view(np.int64)})), "common")
-        moved = settle(wide.join(F.broadcast(late), "key", "left_semi").select("node").distinct(), "moved")
-        again = sets_of(docs, moved.join(nodes.select("node", "first_id"), "node"), shingle, common).dropDuplicates(["node"])
-        both = wide.join(moved, "node", "left_anti").unionByName(again.select("node", F.explode("hashes").alias("key")))
-        both = settle(both, "wide")
-        discard(wide, late, moved)
-        wide = both
+    groups = settle(nodes.groupBy("fp").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("size")), "fingerprints")
+    edges = settle(links(groups.select("fp"), RADIUS, groups.count()), "links")
+    same = spread_join(nodes.select("node", "fp"), groups.where("size > 1"), "fp", "size", nodes.count()).where("node != least").select("node", "least")
+    both = edges.join(groups.select(F.col("fp").alias("a"), F.col("least").alias("node")), "a").join(groups.select(F.col("fp").alias("b"), "least"), "b").select("node", "least")
+    out = settle(same.unionByName(both).selectExpr("greatest(node, least) as a", "least(node, least) as b").distinct(), "fingerprint-pairs")
+    discard(groups, edges)
+    return out
+
+
+def near_links(docs: DataFrame, nodes: DataFrame, keys: DataFrame, shingle: int) -> DataFrame:
+    """Links a > b of nodes whose components are those of all near pairs: no pair and no bucket is left out. keys: node, keys;
+    it is discarded.
+
+    Pairs of fingerprints within RADIUS are the first candidates. Near sets may differ by more bits than any radius that
+    the pigeonhole join can afford, but share a hash of their prefixes. All members of such a bucket are held against its most
+    popular one, whose keys most others have: the text that a group of near copies is made from. That joins a large group at
+    a cost in proportion to it. The sets decide on both kinds of candidates. Then the members of one bucket that are not
+    connected yet are compared with each other; sizes and maps of the sets rule out pairs that can't be near before they
+    are made.
+    """
+    alike = fingerprint_pairs(nodes)
+    wide = keys.select("node", F.explode("keys").alias("key"))
+    total = keys.agg(F.sum(F.size("keys"))).first()[0] or 0
     shared = settle(wide.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "shared")
     rows = settle(spread_join(wide, shared, "key", "size", total), "rows")
-    discard(wide, shared)
+    discard(keys, shared)
     popular = rows.groupBy("node").agg(F.sum("size").alias("popularity"))
-    first = rows.join(popular, "node").groupBy("key").agg(F.max(F.struct("popularity", "node"))["node"].alias("first"), F.count(F.lit(1)).alias("of"))
-    star = spread_join(rows.select("key", "node"), settle(first, "first"), "key", "of", total).where("node != first")
-    star = star.selectExpr("greatest(node, first) as a", "least(node, first) as b").distinct()
-    star = star.join(side(nodes, "a"), "a").join(side(nodes, "b"), "b").where(may_be_near("a", "b")).select("a", "b")
-    near = verified(docs, nodes, star, shingle)
+    first = settle(rows.join(popular, "node").groupBy("key").agg(F.max(F.struct("popularity", "node"))["node"].alias("first"), F.count(F.lit(1)).alias("of")), "first")
+    star = spread_join(rows.select("key", "node"), first, "key", "of", total).where("node != first")
+    star = settle(star.selectExpr("greatest(node, first) as a", "least(node, first) as b").unionByName(alike).distinct(), "star")
+    discard(first, alike)
+    can = star.join(side(nodes, "a"), "a").join(side(nodes, "b"), "b").where(may_be_near("a", "b")).select("a", "b")
+    near = verified(docs, nodes, can, shingle)
+    discard(star)
     rest = rows.select("key", "node").join(components(near), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = rest.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size")).where("low < high").select("key", "size")
-    rest = settle(spread_join(rest, settle(mixed, "mixed"), "key", "size", total).join(nodes.select("node", "n", "bits"), "node"), "rest")
+    rest = settle(rest, "components")
     discard(rows)
-    more = verified(docs, nodes, pairs_of(rest).distinct(), shingle)
-    discard(rest)
+    mixed = rest.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size")).where("low < high").select("key", "size")
+    mixed = settle(mixed, "mixed")
+    met = settle(spread_join(rest, mixed, "key", "size", total).join(nodes.select("node", "n", "bits"), "node"), "rest")
+    discard(rest, mixed)
+    more = verified(docs, nodes, pairs_of(met).distinct(), shingle)
+    discard(met)
     return near.unionByName(more)
 
 
@@ -426,11 +464,12 @@ def pairs_of(rest: DataFrame) -> DataFrame:
 
 def near_classes(docs: DataFrame, shingle: int = 5) -> DataFrame:
     """doc_id and component_id of the documents that are near another one. Equal sets of shingles are one node."""
-    marks = settle(signatures(docs, shingle), "signatures")
-    nodes = settle(marks.groupBy("node").agg(F.min("doc_id").alias("first_id"), *[F.first(c).alias(c) for c in ("n", "bits", "keys")]), "nodes")
+    marks = settle(signatures(docs, shingle, common_keys(docs, shingle)), "signatures")
+    nodes = settle(marks.groupBy("node").agg(F.min("doc_id").alias("first_id"), *[F.first(c).alias(c) for c in ("n", "fp", "bits")]), "nodes")
     ids = settle(marks.select("doc_id", "node"), "ids")
+    keys = settle(marks.groupBy("node").agg(F.first("keys").alias("keys")), "keys")
     discard(marks)
-    member = components(near_links(docs, nodes, shingle))
+    member = components(near_links(docs, nodes, keys, shingle))
     least = member.join(nodes.select("node", "first_id"), "node").groupBy("component").agg(F.min("first_id").alias("component_id"))
     linked = member.join(least, "component").select("node", "component_id")
     copies = ids.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("size")).where("size > 1").select("node", "first_id")
