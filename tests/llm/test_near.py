@@ -154,3 +154,17 @@ def test_links_between_parts_are_brute_force():
             root = [low if r == high else r for r in root]
         roots.append(root)
     assert roots[0] == roots[1] and 1 < len(set(roots[0])) < 90
+
+
+def test_a_bucket_is_exchanged_once(spark, tmp_path):
+    texts, known = template(60, 1, 7), Hashes()
+    sets = [shingle_set(t, 5, known) for t in texts]
+    rows = [(0, k, k, len(s), simhash.bit_map(s).tolist(), len(sets)) for k, s in enumerate(sets)]
+    spark.createDataFrame(rows, "key long, node long, component long, n long, bits array<bigint>, size long").write.parquet(f"{tmp_path}/rest")
+    pairs = simhash.pairs_of(spark.read.parquet(f"{tmp_path}/rest"))
+    got = {tuple(r) for r in pairs.collect()}
+    near = {(a, b) for b, a in itertools.combinations(range(60), 2) if 9 * len(np.intersect1d(sets[a], sets[b])) >= 4 * (len(sets[a]) + len(sets[b]))}
+    assert near and near <= got
+    pairs.write.parquet(f"{tmp_path}/pairs")
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan.split("Initial Plan")[0]

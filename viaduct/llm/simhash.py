@@ -452,14 +452,24 @@ def near_links(docs: DataFrame, nodes: DataFrame, keys: DataFrame, shingle: int)
 
 
 def pairs_of(rest: DataFrame) -> DataFrame:
-    """rest: key, node, component, n, bits and size. Returns the pairs a > b of a bucket, of two components, that can be near.
+    """rest (settled): key, node, component, n, bits and size. Returns the pairs a > b of a bucket, of two components, that can
+    be near.
 
-    Each part of a bucket meets the whole bucket in a task of its own.
+    A bucket of up to PART members is exchanged once, for both sides. Each part of a larger one meets the whole bucket in a
+    task of its own.
     """
-    parts, n = F.expr(f"cast(ceil(size / {PART}.0) as int)"), n_partitions(rest.sparkSession)
+    n, columns = n_partitions(rest.sparkSession), ("node", "component", "n", "bits")
+    named = {p: [F.col("node").alias(p), *[F.col(c).alias(f"{c}_{p}") for c in columns[1:]]] for p in ("a", "b")}
+    can = f"a > b and component_a != component_b and {may_be_near('a', 'b')}"
+    one = rest.where(F.col("size") <= PART).select("key", *columns).repartition(n, "key")
+    out = one.select("key", *named["a"]).join(one.select("key", *named["b"]), "key").where(can).select("a", "b")
+    large = rest.where(F.col("size") > PART)
+    if large.isEmpty():
+        return out
+    parts = F.expr(f"cast(ceil(size / {PART}.0) as int)")
     part = {"a": F.pmod(F.xxhash64("node"), parts).cast("int"), "b": F.explode(F.sequence(F.lit(0), parts - 1))}
-    x, y = (rest.select("key", part[p].alias("part"), F.col("node").alias(p), *[F.col(c).alias(f"{c}_{p}") for c in ("component", "n", "bits")]).repartition(n, "key", "part") for p in ("a", "b"))
-    return x.join(y, ["key", "part"]).where(f"a > b and component_a != component_b and {may_be_near('a', 'b')}").select("a", "b")
+    x, y = (large.select("key", part[p].alias("part"), *named[p]).repartition(n, "key", "part") for p in ("a", "b"))
+    return out.unionByName(x.join(y, ["key", "part"]).where(can).select("a", "b"))
 
 
 def near_classes(docs: DataFrame, shingle: int = 5) -> DataFrame:
