@@ -304,3 +304,18 @@ def test_written_shards_hold_what_was_assigned(spark, tmp_path):
     want = {(r.doc_id, r.shard) for r in sharding.assign(docs, 500).collect()}
     assert {r.doc_id for r in back.collect()} == {d for d, _ in want}
     assert len(list((tmp_path / "shards").glob("shard=*"))) == len({s for _, s in want})
+
+
+def test_texts_are_not_exchanged_for_the_shard_report(spark, monkeypatch):
+    plans, settled = {}, sharding.settle
+
+    def noted(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return settled(df, name)
+
+    monkeypatch.setattr(sharding, "settle", noted)
+    docs = frame(spark, [(i, "x" * (i % 50)) for i in range(200)])
+    got = {tuple(r) for r in sharding.shard_report(docs, 500).select("doc_id", "n_bytes", "depth", "shard").collect()}
+    carried = [line for line in plans["shards"].splitlines() if "named_struct(" in line or "struct(" in line]
+    assert carried and not any("text, text" in line for line in carried)
+    assert got == {tuple(r) for r in sharding.assign(docs, 500).select("doc_id", "n_bytes", "depth", "shard").collect()}

@@ -25,6 +25,8 @@ SLACK = 6
 TOP = 10
 #: Overflow pages are numbered in salted parts of about so many rows.
 PAGE_ROWS = 10_000
+#: The columns that assign() adds.
+ADDED = ("n_bytes", "depth", "shard")
 
 
 def hash_of(doc_id: Column) -> Column:
@@ -56,9 +58,13 @@ def assign(docs: DataFrame, limit: int = LIMIT_BYTES) -> DataFrame:
 
     Columns of these names in docs are replaced; of any other name they stay.
     """
-    added = ("n_bytes", "depth", "shard")
+    return placed(docs, [c for c in docs.columns if c not in ADDED], limit)
+
+
+def placed(docs: DataFrame, carried: list[str], limit: int) -> DataFrame:
+    """The rows of assign() with only the carried columns of docs: what isn't carried isn't exchanged with the cells."""
     base = docs.select(
-        F.struct(*[c for c in docs.columns if c not in added]).alias("doc"),
+        F.struct(*carried).alias("doc"),
         F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
         hash_of(F.col("doc_id")).alias("h"),
         F.monotonically_increasing_id().alias("row"),
@@ -88,7 +94,7 @@ def assign(docs: DataFrame, limit: int = LIMIT_BYTES) -> DataFrame:
     out = out.withColumn("shard", F.when(F.col("depth") == 0, F.lit("")).otherwise(bits))
     if HASH_BITS in levels:
         out = overflow(out, limit)
-    return out.select("doc.*", *added)
+    return out.select("doc.*", *ADDED)
 
 
 def overflow(out: DataFrame, limit: int) -> DataFrame:
@@ -110,7 +116,7 @@ def overflow(out: DataFrame, limit: int) -> DataFrame:
 
 def shard_report(docs: DataFrame, limit: int = LIMIT_BYTES) -> DataFrame:
     """doc_id, n_bytes, depth, shard, shard_bytes, shard_docs."""
-    rows = settle(assign(docs.select("doc_id", "text"), limit).drop("text"), "shards")
+    rows = settle(placed(docs, ["doc_id"], limit), "shards")
     sums = rows.groupBy("shard").agg(F.sum("n_bytes").alias("shard_bytes"), F.count(F.lit(1)).alias("shard_docs"))
     return rows.join(sums, "shard").select("doc_id", "n_bytes", "depth", "shard", "shard_bytes", "shard_docs")
 
