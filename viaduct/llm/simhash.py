@@ -25,7 +25,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import discard, map_arrow, n_partitions, settle, spread_join
@@ -285,6 +285,8 @@ WIDE, FILL = 16, 256
 NEAR = (4, 5)
 #: Shingles in the prefixes of over so many texts, and of over one in RARE of all, come last in the order of prefixes.
 COMMON, RARE = 32, 15_000
+#: So many popular texts of a crowded bucket (over BUCKET_PAIRS) are tried before its members are compared with each other.
+LEADERS = 16
 #: Up to so many nodes (16 bytes each) are sent to all tasks that read texts, so the texts themselves aren't exchanged.
 SENT = 1_000_000
 #: Crowded buckets are compared in parts of about so many texts; a bucket of one part is not copied.
@@ -376,6 +378,12 @@ def may_be_near(a: str, b: str) -> str:
     return f"{NEAR[1]} * least(n_{a}, n_{b}) >= {NEAR[0]} * greatest(n_{a}, n_{b}) and case {tested} end"
 
 
+def first_common(a: str, b: str) -> str:
+    """Whether a key can be the first that two near sets have in common, by its places in their orders (pos, from 0). All that
+    near sets share, 4/9 of both sizes or more, then stands at or after it in both, so every near pair meets at such a key."""
+    return " and ".join(f"{sum(NEAR)} * (n_{x} - pos_{x}) >= {NEAR[0]} * (n_{a} + n_{b})" for x in (a, b))
+
+
 def side(nodes: DataFrame, p: str) -> DataFrame:
     return nodes.select(F.col("node").alias(p), F.col("n").alias(f"n_{p}"), F.col("bits").alias(f"bits_{p}"))
 
@@ -415,18 +423,22 @@ def fingerprint_pairs(nodes: DataFrame) -> DataFrame:
 
 
 def near_links(docs: DataFrame, nodes: DataFrame, keys: DataFrame, shingle: int) -> DataFrame:
-    """Links a > b of nodes whose components are those of all near pairs: no pair and no bucket is left out. keys: node, keys;
-    it is discarded.
+    """Links a > b of nodes whose components are those of all near pairs: no pair and no bucket is left out. keys: node, n,
+    keys; it is discarded.
 
     Pairs of fingerprints within RADIUS are the first candidates. Near sets may differ by more bits than any radius that
     the pigeonhole join can afford, but share a hash of their prefixes. All members of such a bucket are held against its most
     popular one, whose keys most others have: the text that a group of near copies is made from. That joins a large group at
-    a cost in proportion to it. The sets decide on both kinds of candidates. Then the members of one bucket that are not
-    connected yet are compared with each other; sizes and maps of the sets rule out pairs that can't be near before they
-    are made.
+    a cost in proportion to it. The sets decide on both kinds of candidates. Members of crowded buckets that this leaves apart
+    are held against further popular ones. Then the members of one bucket that are not connected yet are compared with each
+    other; the key's places, sizes and maps of the sets rule out pairs that can't be near before they are made.
+
+    The smaller of two near sets has their first common key in its first ninth, so a bucket without such a member (early) is
+    only of use for its popular texts.
     """
     alike = fingerprint_pairs(nodes)
-    wide = keys.select("node", F.explode("keys").alias("key"))
+    wide = keys.select("node", "n", F.posexplode("keys").alias("pos", "key"))
+    wide = wide.select("node", "key", "pos", F.expr(f"{sum(NEAR)} * (n - pos) >= {2 * NEAR[0]} * n").alias("early"))
     total = keys.agg(F.sum(F.size("keys"))).first()[0] or 0
     shared = settle(wide.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "shared")
     rows = settle(spread_join(wide, shared, "key", "size", total), "rows")
@@ -439,28 +451,65 @@ def near_links(docs: DataFrame, nodes: DataFrame, keys: DataFrame, shingle: int)
     can = star.join(side(nodes, "a"), "a").join(side(nodes, "b"), "b").where(may_be_near("a", "b")).select("a", "b")
     near = verified(docs, nodes, can, shingle)
     discard(star)
-    rest = rows.select("key", "node").join(components(near), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    rest = settle(rest, "components")
+    rest = settle(named_by(rows, components(near)), "components")
     discard(rows)
-    mixed = rest.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size")).where("low < high").select("key", "size")
-    mixed = settle(mixed, "mixed")
-    met = settle(spread_join(rest, mixed, "key", "size", total).join(nodes.select("node", "n", "bits"), "node"), "rest")
+    mixed = settle(mixed_of(rest).where(f"early or size > {BUCKET_PAIRS}").drop("early"), "mixed")
+    met = settle(spread_join(rest.drop("size"), mixed, "key", "size", total), "met")
     discard(rest, mixed)
-    more = verified(docs, nodes, pairs_of(met).distinct(), shingle)
+    crowded = met.where(F.col("size") > BUCKET_PAIRS)
+    if not crowded.isEmpty():
+        star = settle(leader_pairs(crowded), "leader-pairs")
+        can = star.join(side(nodes, "a"), "a").join(side(nodes, "b"), "b").where(may_be_near("a", "b")).select("a", "b")
+        near = near.unionByName(verified(docs, nodes, can, shingle))
+        rest = settle(named_by(met.drop("component", "size"), components(near)), "components")
+        mixed = settle(mixed_of(rest).where("early").drop("early"), "mixed")
+        discard(star, met)
+        met = settle(spread_join(rest, mixed, "key", "size", total), "met")
+        discard(rest, mixed)
+    rest = settle(met.drop("early").join(nodes.select("node", "n", "bits"), "node"), "rest")
     discard(met)
+    more = verified(docs, nodes, pairs_of(rest).distinct(), shingle)
+    discard(rest)
     return near.unionByName(more)
 
 
+def named_by(rows: DataFrame, member: DataFrame) -> DataFrame:
+    """rows with the component of their node, itself where it is connected with none."""
+    return rows.join(member, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
+def mixed_of(rows: DataFrame) -> DataFrame:
+    """key, size and early (whether any member is) of the buckets whose members are of several components."""
+    ends = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size"), F.max("early").alias("early"))
+    return ends.where("low < high").select("key", "size", "early")
+
+
+def leader_pairs(crowded: DataFrame) -> DataFrame:
+    """crowded: key, node, pos, component and size, of buckets of over LEADERS members. Pairs a > b of members of two components.
+
+    Each key of a text, by its place, is held against another one of the LEADERS most popular members of its
+    bucket: a row for each member and key at most. Texts of a large group share most of their keys, so many leaders are tried
+    on each.
+    """
+    popular = crowded.groupBy("node").agg(F.sum("size").alias("popularity"))
+    turns = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("popularity"), "node"))
+    ranked = crowded.join(popular, "node").select("key", turns.alias("turn"), F.col("node").alias("leader"), F.col("component").alias("led"))
+    leaders = ranked.where(F.col("turn") <= LEADERS).withColumn("turn", F.col("turn") - 1)
+    tried = crowded.withColumn("turn", F.col("pos") % LEADERS).join(leaders, ["key", "turn"]).where("component != led")
+    return tried.selectExpr("greatest(node, leader) as a", "least(node, leader) as b").distinct()
+
+
 def pairs_of(rest: DataFrame) -> DataFrame:
-    """rest (settled): key, node, component, n, bits and size. Returns the pairs a > b of a bucket, of two components, that can
-    be near.
+    """rest (settled): key, node, component, n, bits, size and pos, the key's place in the text's order (0 if there is no such
+    column). Returns the pairs a > b of a bucket, of two components, that can be near and have the key as their first.
 
     A bucket of up to PART members is exchanged once, for both sides. Each part of a larger one meets the whole bucket in a
     task of its own.
     """
-    n, columns = n_partitions(rest.sparkSession), ("node", "component", "n", "bits")
+    n, columns = n_partitions(rest.sparkSession), ("node", "component", "n", "pos", "bits")
+    rest = rest if "pos" in rest.columns else rest.withColumn("pos", F.lit(0))
     named = {p: [F.col("node").alias(p), *[F.col(c).alias(f"{c}_{p}") for c in columns[1:]]] for p in ("a", "b")}
-    can = f"a > b and component_a != component_b and {may_be_near('a', 'b')}"
+    can = f"a > b and component_a != component_b and {first_common('a', 'b')} and {may_be_near('a', 'b')}"
     one = rest.where(F.col("size") <= PART).select("key", *columns).repartition(n, "key")
     out = one.select("key", *named["a"]).join(one.select("key", *named["b"]), "key").where(can).select("a", "b")
     large = rest.where(F.col("size") > PART)
@@ -477,7 +526,7 @@ def near_classes(docs: DataFrame, shingle: int = 5) -> DataFrame:
     marks = settle(signatures(docs, shingle, common_keys(docs, shingle)), "signatures")
     nodes = settle(marks.groupBy("node").agg(F.min("doc_id").alias("first_id"), *[F.first(c).alias(c) for c in ("n", "fp", "bits")]), "nodes")
     ids = settle(marks.select("doc_id", "node"), "ids")
-    keys = settle(marks.groupBy("node").agg(F.first("keys").alias("keys")), "keys")
+    keys = settle(marks.groupBy("node").agg(F.first("n").alias("n"), F.first("keys").alias("keys")), "keys")
     discard(marks)
     member = components(near_links(docs, nodes, keys, shingle))
     least = member.join(nodes.select("node", "first_id"), "node").groupBy("component").agg(F.min("first_id").alias("component_id"))
